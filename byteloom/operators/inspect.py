@@ -54,9 +54,11 @@ def touched_bytes(catalog: FieldCatalog) -> DataFrame:
     """
     first, last = byte_span(F.col("byte_pos"), F.col("byte_size"), F.col("bit_size"))
     position = F.row_number().over(Window.partitionBy(*LAYOUT).orderBy("ord"))
-    spans = placed(catalog.fields).select(
+    # Numbered first: beside an explode the window would count exploded rows.
+    numbered = placed(catalog.fields).withColumn("position", position)
+    spans = numbered.select(
         *LAYOUT,
-        position.alias("position"),
+        "position",
         F.explode(F.sequence(F.greatest(first, F.lit(0)), last)).alias("byte"),
     )
     per_byte = spans.groupBy(*LAYOUT, "byte").agg(

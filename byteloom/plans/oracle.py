@@ -509,7 +509,7 @@ SELECT 'M' || p_partkey AS message, p_name AS description, 'float' AS type,
   CAST(2024 + p_partkey % 3 AS VARCHAR) AS model_year, p_size AS length FROM part""",
     "message_log": """
 SELECT 1700000000000 + event_id AS timestamp_ms, 1700000000 + event_id // 1000 AS seconds, message,
-  hex FROM (SELECT event_id, 'msg_a' AS message, msg_a AS hex FROM telemetry
+  nullif(hex, '') AS hex FROM (SELECT event_id, 'msg_a' AS message, msg_a AS hex FROM telemetry
     UNION ALL SELECT event_id, 'msg_b', msg_b FROM telemetry)""",
     "stage_table": "SELECT event_id, model_name, family, msg_a FROM joined",
 }

@@ -374,7 +374,11 @@ def decode_long(spark, sf):
 @query
 def decode_records(spark, sf):
     decoded = dec.decode_array(messages(spark, sf), field_catalog(spark))
-    records = decoded.select(*KEY, "message", F.explode("decoded").alias("r"))
+    # The outer form: for the plain one the optimizer adds a filter on the
+    # size of the array and so computes the array twice.
+    records = decoded.select(*KEY, "message", F.explode_outer("decoded").alias("r")).filter(
+        F.col("r").isNotNull()
+    )
     names = ["ord", "description", "decoded_value", "raw_position", "size", "msg_type", "msg_id",
              "raw_value", "units"]
     return records.select(*KEY, "message", *[F.col(f"r.{n}").alias(n) for n in names])
