@@ -6,10 +6,10 @@ field, so that the per-message work is a join and arithmetic.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -37,18 +37,31 @@ class FieldCatalog:
 
     fields: DataFrame
 
-    def persisted(self) -> "FieldCatalog":
-        """Keep the compiled rows; lost blocks are computed again."""
-        return FieldCatalog(self.fields.persist(StorageLevel.MEMORY_AND_DISK))
+    def stored(self, path: str) -> "FieldCatalog":
+        """Write the compiled rows and read them back.
+
+        Plans that use the catalog then hold a small scan instead of the joins
+        that compiled it, and a lost executor costs no recompilation.
+        """
+        self.fields.write.mode("overwrite").parquet(path)
+        schema = self.fields.schema
+        return FieldCatalog(self.fields.sparkSession.read.schema(schema).parquet(path))
 
     @cached_property
     def small(self) -> bool:
         return fits_broadcast(self.fields)
 
-    def only(self, requested: DataFrame) -> "FieldCatalog":
+    def only(self, requested: Iterable[tuple[str, str]]) -> "FieldCatalog":
         """Catalog of the requested (message, description) pairs."""
-        keys = requested.select("message", "description").distinct()
-        return FieldCatalog(self.fields.join(keys, ["message", "description"], "left_semi"))
+        by_message: dict[str, list[str]] = {}
+        for message, description in requested:
+            by_message.setdefault(message, []).append(description)
+        wanted = F.lit(False)
+        for message, descriptions in by_message.items():
+            wanted = wanted | (
+                (F.col("message") == message) & F.col("description").isin(descriptions)
+            )
+        return FieldCatalog(self.fields.filter(wanted))
 
     def packed(self) -> DataFrame:
         """One row per layout with its ordered fields."""

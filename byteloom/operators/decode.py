@@ -281,12 +281,7 @@ def decode_wide(
     catalog is turned into expressions when it has at most ``limit`` rows,
     otherwise the array form of the same rules is used.
     """
-    spark = df.sparkSession
-    wanted = catalog.only(
-        spark.createDataFrame(
-            [(c.message, c.description) for c in columns], "message string, description string"
-        )
-    )
+    wanted = catalog.only((c.message, c.description) for c in columns)
     rows = wanted.rows(limit)
     if rows is None:
         return _wide_by_array(df, wanted, columns, hex_columns)
@@ -389,28 +384,25 @@ def typed_value(f: Any, raw: Column, error: Column, label: Column | None, kind:
 
 
 def _wide_by_array(df, catalog, columns, hex_columns) -> DataFrame:
+    def picked(c: WideColumn) -> Column:
+        hits = F.filter("decoded", lambda r: r["description"] == F.lit(c.description))
+        return cast_text(F.get(hits, F.lit(0))["decoded_value"], c.type)
+
     result = df
     for message, column in hex_columns.items():
-        wanted = [c for c in columns if c.message == message]
         view = result.withColumns({"message": F.lit(message), "hex": F.col(column)})
-        joined = decode_array(view, catalog)
-        decoded = {
-            c.name: cast_text(
-                F.get(
-                    F.filter("decoded", lambda r, c=c: r["description"] == c.description),
-                    F.lit(0),
-                )["decoded_value"],
-                c.type,
-            )
-            for c in wanted
-        }
-        result = joined.withColumns(decoded).drop("decoded", "message", "hex", "layout_name")
-    missing = {
+        decoded = {c.name: picked(c) for c in columns if c.message == message}
+        result = (
+            decode_array(view, catalog)
+            .withColumns(decoded)
+            .drop("decoded", "message", "hex", "layout_name")
+        )
+    absent = {
         c.name: cast_text(F.lit(None).cast("string"), c.type)
         for c in columns
         if c.message not in hex_columns
     }
-    return result.withColumns(missing) if missing else result
+    return result.withColumns(absent) if absent else result
 
 
 def wide_envelopes(

@@ -63,7 +63,7 @@ def field_catalog(spark: SparkSession, **options) -> cat.FieldCatalog:
     """Compiled once per session and kept: it is the same for every query."""
     return cat.compile_catalog(
         fx.layouts(spark), fx.linear_table(spark), fx.enum_table(spark), **options
-    ).persisted()
+    ).stored(f"{sinks.scratch_folder(spark)}/catalog")
 
 
 def long_rows(spark: SparkSession, sf: str, **options) -> DataFrame:
@@ -397,7 +397,7 @@ def _by_shape(spark, sf, condition: Column) -> DataFrame:
     layouts = fx.layouts(spark).withColumns(shape).filter(condition).drop("_n", "_k")
     catalog = cat.compile_catalog(
         layouts, fx.linear_table(spark), fx.enum_table(spark), dedup="all"
-    ).persisted()
+    ).stored(f"{sinks.scratch_folder(spark)}/catalog")
     long = dec.decode_long(messages(spark, sf), catalog)
     return long.select(*KEY, "message", "ord", "raw", "error")
 
