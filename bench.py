@@ -12,6 +12,7 @@ import time
 from pyspark.sql import SparkSession
 
 from byteloom.plans import queries as plans
+from byteloom.plans.session import CALL_SITES
 
 HEADLINE = (
     "batch_pipeline",
@@ -43,6 +44,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config(CALL_SITES, "false")
         .getOrCreate()
     )
 

@@ -169,6 +169,16 @@ def extract_error(m: Message, f: Any) -> Column:
     ).cast("string")
 
 
+def is_readable(m: Message, f: Any) -> Column:
+    """True when :func:`extract_error` is NULL, without making its text."""
+    if any(e is not None for e in (f.early_error, f.middle_error, f.late_error)):
+        return F.lit(False)
+    digits_ok = _digits(m, f).rlike(HEX_TEXT)
+    if f.before_start is not None:
+        digits_ok = digits_ok & m.slice(f.before_start, 2).rlike(HEX_TEXT)
+    return (m.length >= f.need) & (m.clean | digits_ok)
+
+
 def raw_value(m: Message, f: Any) -> Column:
     """Raw integer of a field that has no extraction error."""
     digits = _digits(m, f)

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from byteloom import fixed_values as fixed
 from byteloom.functions.convert import ENUM, LINEAR, failed_text, numeric_value, text_value
-from byteloom.functions.hexbits import Message, extract_error, raw_value
-from byteloom.functions.types import cast_text
+from byteloom.functions.hexbits import Message, extract_error, is_readable, raw_value
+from byteloom.functions.types import TYPE_NAMES, cast_text
 from byteloom.operators.catalog import FIELD_COLUMNS, LAYOUT, FieldCatalog
 from byteloom.operators.lookup import lookup_join
 
@@ -339,12 +339,13 @@ def _wide_by_expression(df, rows, columns, hex_columns) -> DataFrame:
             here = F.col("_pair").isin(
                 sorted({number_of[(o.family, o.model_year)] for o in owners})
             )
-            e = extract_error(m, f)
-            raws[f"_e{no}_{k}"] = F.when(here & m.hex.isNotNull(), e)
+            # Only text columns show why a field cannot be read.
+            as_text = TYPE_NAMES[c.type.lower()] == "string"
+            ok = extract_error(m, f) if as_text else is_readable(m, f)
+            raws[f"_e{no}_{k}"] = F.when(here, ok)
             raws[f"_r{no}_{k}"] = F.when(here, raw_value(m, f))
             error_k, raw_k = F.col(f"_e{no}_{k}"), F.col(f"_r{no}_{k}")
-            label = _literal_label(f, raw_k)
-            result = typed_value(f, raw_k, error_k, label, c.type)
+            result = typed_value(f, raw_k, error_k, _literal_label(f, raw_k), c.type)
             result = F.when(here & m.hex.isNotNull(), result)
             value = result if value is None else F.coalesce(value, result)
         values[c.name] = value if value is not None else cast_text(F.lit(None).cast("string"), c.type)
@@ -371,16 +372,23 @@ def _literal_label(f: Row, raw: Column) -> Column | None:
     return chain
 
 
-def typed_value(f: Any, raw: Column, error: Column, label: Column | None, kind: str) -> Column:
-    """Typed result of one field; failed fields are text only."""
-    number_kind = kind.lower() in ("float", "double")
+def typed_value(f: Any, raw: Column, check: Column, label: Column | None, kind: str) -> Column:
+    """Typed result of one field.
+
+    ``check`` is the error text for text columns, else whether the field can be
+    read: a failed field is text and so no value of another type.
+    """
+    target = TYPE_NAMES[kind.lower()]
     num = numeric_value(raw, f, label)
-    if number_kind:
-        from_text = cast_text(label, kind) if label is not None else None
-        value = num if from_text is None else F.coalesce(num, from_text)
-        return F.when(error.isNull(), value)
-    value = text_value(raw, f, label, num)
-    return cast_text(F.when(error.isNotNull(), failed_text(error)).otherwise(value), kind)
+    if target == "string":
+        return F.when(check.isNull(), text_value(raw, f, label, num)).otherwise(
+            failed_text(check)
+        )
+    if target == "double":
+        value = num if label is None else F.coalesce(num, label.try_cast("double"))
+    else:
+        value = cast_text(text_value(raw, f, label, num), kind)
+    return F.when(check, value)
 
 
 def _wide_by_array(df, catalog, columns, hex_columns) -> DataFrame:

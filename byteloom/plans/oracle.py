@@ -245,7 +245,7 @@ SELECT event_id, vin, app_timestamp, msg_a AS "DIAG_BCM_A", msg_b AS "DIAG_BCM_B
 SELECT event_id, vin, dt FROM telemetry WHERE dt >= '2024-01-05' AND dt < '2024-01-20'""",
     "date_from": "SELECT event_id, vin, dt FROM telemetry WHERE dt >= '2024-01-25'",
     "parse_time": """
-SELECT event_id, epoch(strptime(app_timestamp, '%Y-%m-%d %H:%M:%S'))::BIGINT AS seconds,
+SELECT event_id, epoch(strptime(app_timestamp, '%Y-%m-%d %H:%M:%S'))::BIGINT % 86400 AS seconds,
   CAST(CAST(app_timestamp AS DATE) AS VARCHAR) AS day FROM telemetry""",
     "join_vehicle": "SELECT event_id, vin, family, model_year, model_name FROM joined",
     "any_message_present": """
@@ -292,7 +292,7 @@ SELECT p_partkey, replace(regexp_replace(p_name || ' - ' || p_brand || '.' || p_
   '[^a-zA-Z0-9_]', '_', 'g'), '__', '_') AS clean_name FROM part""",
     "cast_columns": """
 SELECT event_id, TRY_CAST(vin AS INTEGER) AS vin, TRY_CAST(voltage AS DOUBLE) AS voltage,
-  TRY_CAST(event_type AS DOUBLE) AS event_type, epoch(CAST(app_timestamp AS TIMESTAMP))::BIGINT AS seconds
+  TRY_CAST(event_type AS DOUBLE) AS event_type, epoch(CAST(app_timestamp AS TIMESTAMP))::BIGINT % 86400 AS seconds
 FROM telemetry""",
     "run_columns": """
 SELECT event_id, 'v1.0' AS pipeline_version, 'unknown' AS config_version FROM telemetry""",
@@ -494,7 +494,8 @@ SELECT substr(p_type, 1, 2) AS family, CAST(2024 + p_partkey % 3 AS VARCHAR) AS
     p_partkey // 500 ORDER BY p_partkey) - 1 AS row_ord,
   printf('$%X', p_partkey % 300) AS min, p_name AS encoding_name FROM part""",
     "layout_from_csv": """
-SELECT substr(p_brand, 7) AS message, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS INTEGER) AS ord,
+SELECT substr(p_brand, 7) || '-' || (p_partkey // 500) AS message,
+  CAST(row_number() OVER (PARTITION BY p_brand, p_partkey // 500 ORDER BY p_partkey) - 1 AS INTEGER) AS ord,
   p_size || ' [' || (p_partkey % 8) || ']' AS byte, p_name AS description, '1 [0]' AS size, 'L' AS type,
   p_type AS name, CAST(p_partkey AS VARCHAR) AS id,
   CASE WHEN p_partkey % 3 = 0 THEN 'd' || p_size END AS default_value FROM part""",

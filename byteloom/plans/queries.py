@@ -75,6 +75,10 @@ def part(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/part.parquet")
 
 
+def second_of_day(time: Column) -> Column:
+    return F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+
+
 def lower_names(df: DataFrame, old: list[str]) -> DataFrame:
     return df.select(*KEY, *[F.col(c).alias(c.lower()) for c in old])
 
@@ -108,7 +112,7 @@ def parse_time(spark, sf):
     parsed = reshape.add_date(tel.parse_time(fx.telemetry(spark, sf)), "day")
     return parsed.select(
         "event_id",
-        F.unix_timestamp("app_timestamp").alias("seconds"),
+        second_of_day(F.col("app_timestamp")).alias("seconds"),
         F.col("day").cast("string").alias("day"),
     )
 
@@ -227,7 +231,8 @@ def cast_columns(spark, sf):
     types = {"vin": "int", "voltage": "double", "event_type": "float", "app_timestamp": "timestamp",
              "not_there": "int"}
     cast = reshape.cast_columns(text, types)
-    return cast.withColumn("seconds", F.unix_timestamp("app_timestamp")).drop("app_timestamp")
+    seconds = second_of_day(F.col("app_timestamp"))
+    return cast.withColumn("seconds", seconds).drop("app_timestamp")
 
 
 @query
@@ -738,7 +743,7 @@ def layout_from_csv(spark, sf):
     k = F.col("p_partkey")
     folder = sinks.scratch_folder(spark)
     rows = part(spark, sf).select(
-        F.col("p_brand").alias("file"),
+        F.concat("p_brand", F.lit("-"), F.floor(k / 500)).alias("file"),
         k.alias("ord"),
         F.concat("p_size", F.lit(" ["), k % 8, F.lit("]")).alias("byte"),
         F.col("p_name").alias("description"),

@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+# A static setting, to be made "false" when the session is built: recording the
+# call site of every column operation costs much of the time it takes to build
+# a plan of many expressions.
+CALL_SITES = "spark.python.sql.dataFrameDebugging.enabled"
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Settings that may be changed while a session runs.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from byteloom.functions.names import clean_name, message_columns
 from byteloom.functions.types import cast_text, type_of
 from byteloom.operators import flatten, lookup, reshape, summary, timeline, validate
+from byteloom.sinks import tables
 from byteloom.sources import catalogs
 from byteloom.sources import telemetry as tel
 
@@ -178,3 +179,22 @@ def test_log_lines_have_file_order(spark, tmp_path):
     (tmp_path / "log.csv").write_text("h,a\n1,x\n\n2,y\n")
     rows = tel.log_lines(spark, str(tmp_path)).orderBy("file", "block", "position").collect()
     assert [r.line for r in rows] == ["h,a", "1,x", "", "2,y"]
+
+
+def test_tables_are_replaced_with_their_columns(spark):
+    tables.overwrite_table(spark.range(3).withColumn("old", F.lit(1)), "replaced")
+    tables.overwrite_table(spark.range(2), "replaced")
+    assert tel.scan(spark, "replaced").columns == ["id"]
+    assert tel.scan(spark, "replaced", ["id"]).count() == 2
+    spark.sql("DROP TABLE replaced")
+
+
+def test_scratch_folder_is_below_the_named_one(spark, tmp_path):
+    class Named:
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return "/shared/checkpoints" if name == "spark.checkpoint.dir" else default
+
+    assert tables.scratch_folder(Named).startswith("/shared/checkpoints/")
+    assert tables.scratch_folder(Named) != tables.scratch_folder(Named)
