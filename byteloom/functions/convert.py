@@ -12,6 +12,9 @@ from byteloom.functions.choice import as_column, choose, known
 from byteloom.functions.numbers import float_text, linear, round_half_even, truncate
 
 LINEAR, ENUM = "L", "T"
+# What a field gives without a label: the raw number, a scaled number, a text
+# known beforehand, one of two names, or the raw value in hex.
+PLAIN, SCALED, FIXED, YES_NO, CODE = range(5)
 
 
 def hex_bound(value: Column) -> Column:
@@ -45,8 +48,16 @@ def conversion_plan(
              for mark, yes, no in fixed.NAME_FALLBACKS]
     yes_text = F.coalesce(*[F.when(hit, F.lit(yes)) for hit, yes, _ in named])
     no_text = F.coalesce(*[F.when(hit, F.lit(no)) for hit, _, no in named])
+    scaled = has_row & F.coalesce(scalable, F.lit(False))
+    kind = (
+        F.when(scaled, F.lit(SCALED))
+        .when(has_row | (is_linear & (state == "bad_id")), F.lit(FIXED))
+        .when(yes_text.isNotNull(), F.lit(YES_NO))
+        .when(is_enum, F.lit(CODE))
+        .otherwise(F.lit(PLAIN))
+    )
     return {
-        "scaled": has_row & F.coalesce(scalable, F.lit(False)),
+        "kind": kind,
         "factor": F.when(has_row, row["factor"]),
         "offset": F.when(has_row, row["offset"]),
         "decimals": decimals,
@@ -56,7 +67,7 @@ def conversion_plan(
         "fixed_text": F.when(
             is_linear & (state == "bad_id"), F.format_string(fixed.CONVERSION_ERROR, bad_id)
         ).when(
-            has_row & ~F.coalesce(scalable, F.lit(False)),
+            has_row & ~scaled,
             F.when(decimals > 0, F.lit("NaN")).otherwise(
                 F.lit(fixed.CONVERSION_ERROR % fixed.NAN_TO_INT)
             ),
@@ -74,7 +85,7 @@ def conversion_plan(
 
 
 CONVERSION = (
-    "scaled", "factor", "offset", "decimals", "limit", "units", "fixed_text", "yes_text",
+    "kind", "factor", "offset", "decimals", "limit", "units", "fixed_text", "yes_text",
     "no_text", "hex_suffix",
 )
 
@@ -105,37 +116,36 @@ def numeric_value(raw: Column, f: Any, label: Any) -> Column:
             lambda: truncate(value).cast("double"),
         )
 
+    def nothing() -> Column:
+        return F.lit(None).cast("double")
+
     return choose(
         [
-            (
-                known(label) | known(f.fixed_text) | known(f.hex_suffix) | beyond_limit(raw, f),
-                lambda: F.lit(None).cast("double"),
-            ),
-            (f.scaled, scaled),
+            (f.kind == PLAIN, lambda: raw.cast("double")),
+            (f.kind > SCALED, nothing),
+            (known(label) | beyond_limit(raw, f), nothing),
         ],
-        lambda: raw.cast("double"),
+        scaled,
     )
 
 
 def text_value(raw: Column, f: Any, label: Any, num: Column) -> Column:
     """Value as text; ``num`` is the result of :func:`numeric_value`."""
+
+    def yes_or_no() -> Column:
+        return F.when(raw == 1, as_column(f.yes_text)).otherwise(as_column(f.no_text))
+
     return choose(
         [
+            (f.kind == PLAIN, lambda: raw.cast("string")),
             (known(label), lambda: label),
             (beyond_limit(raw, f), lambda: special_text(raw, f)),
-            (known(f.fixed_text), lambda: f.fixed_text),
-            ((f.scaled == True) & (f.decimals > 0), lambda: float_text(num)),  # noqa: E712
-            (f.scaled, lambda: num.cast("bigint").cast("string")),
-            (
-                known(f.yes_text),
-                lambda: F.when(raw == 1, as_column(f.yes_text)).otherwise(as_column(f.no_text)),
-            ),
-            (
-                known(f.hex_suffix),
-                lambda: F.concat(F.lit("0x"), F.hex(raw), as_column(f.hex_suffix)),
-            ),
+            ((f.kind == SCALED) & (f.decimals > 0), lambda: float_text(num)),
+            (f.kind == SCALED, lambda: num.cast("bigint").cast("string")),
+            (f.kind == FIXED, lambda: f.fixed_text),
+            (f.kind == YES_NO, yes_or_no),
         ],
-        lambda: raw.cast("string"),
+        lambda: F.concat(F.lit("0x"), F.hex(raw), as_column(f.hex_suffix)),
     )
 
 

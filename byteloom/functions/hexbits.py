@@ -92,6 +92,9 @@ def reading_plan(p: Column, b: Column, n: Column, k: Column) -> dict[str, Column
     width = F.when(mixed, n * 8 + k).otherwise(run * 8)
     little = ~(bits | whole)
     fits = width <= 63
+    bad_offset = little & (b > 7)
+    bad_bits = bits & ((b > 7) | (b + k > 8))
+    never = (mixed & (p == 0)) | (~bits & ~fits)
     one = F.lit(1).cast("bigint")
     low_bits = F.when(k < 63, shift_left(one, k) - 1)
     return {
@@ -108,6 +111,8 @@ def reading_plan(p: Column, b: Column, n: Column, k: Column) -> dict[str, Column
         "high_shift": F.when(mixed, n * 8).otherwise(F.lit(0)),
         "need": F.when(little, (p + run) * 2).otherwise(p * 2 + 2),
         "by_slice": whole,
+        # False where the definition alone already makes an error.
+        "sound": ~(bad_offset | bad_bits | (whole & (b > 7)) | never),
         "early_error": F.when(little & (b > 7), F.format_string(fixed.BAD_BIT_OFFSET, b)),
         "short_error": F.when(
             little, F.format_string(fixed.SHORT_DATA, p, p + run - 1)
@@ -126,7 +131,7 @@ def reading_plan(p: Column, b: Column, n: Column, k: Column) -> dict[str, Column
 
 READING = (
     "start", "chars", "swap", "borrow_need", "shift", "mask", "before_start", "high_mask",
-    "high_shift", "need", "by_slice", "early_error", "short_error", "middle_error", "late_error",
+    "high_shift", "need", "by_slice", "sound", "early_error", "short_error", "middle_error", "late_error",
 )
 
 
@@ -158,10 +163,15 @@ def extract_error(m: Message, f: Any) -> Column:
     short = F.replace(
         as_column(f.short_error), F.lit("{}"), F.floor(m.length / 2).cast("string")
     )
+    first = [
+        # Nearly every field of nearly every message ends here.
+        (f.sound & m.clean & (m.length >= f.need), lambda: F.lit(None).cast("string")),
+        (known(f.early_error), lambda: f.early_error),
+        (m.length < f.need, lambda: short),
+    ]
     return choose(
-        [
-            (known(f.early_error), lambda: f.early_error),
-            (m.length < f.need, lambda: short),
+        first
+        + [
             (known(f.middle_error), lambda: f.middle_error),
             (~m.clean, lambda: F.coalesce(_digit_error(m, f), as_column(f.late_error))),
         ],
@@ -171,7 +181,7 @@ def extract_error(m: Message, f: Any) -> Column:
 
 def is_readable(m: Message, f: Any) -> Column:
     """True when :func:`extract_error` is NULL, without making its text."""
-    if any(e is not None for e in (f.early_error, f.middle_error, f.late_error)):
+    if not f.sound:
         return F.lit(False)
     digits_ok = _digits(m, f).rlike(HEX_TEXT)
     if f.before_start is not None:
