@@ -15,7 +15,7 @@ from byteloom.plans import queries as plans
 from byteloom.plans.session import CALL_SITES
 
 HEADLINE = (
-    "batch_pipeline",
+    "batch_decode",
     "flatten_wide",
     "decode_long",
     "decode_records",

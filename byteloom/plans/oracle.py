@@ -456,7 +456,7 @@ LEFT JOIN decoded d ON d.event_id = b.event_id AND d.model_name = b.model_name A
   AND b.byte_index BETWEEN CASE WHEN d.n > 0 AND d.k > 0 THEN d.bp - 1 ELSE d.bp END
     AND d.bp + greatest(d.n, 1) - 1
 GROUP BY b.event_id, b.model_name, b.message, b.byte_index, b.hex""",
-    "batch_pipeline": f"""
+    "batch_decode": f"""
 SELECT f.event_id, f.model_name, f.family, f.model_year, p.voltage_reference, f.charge, f.level,
   f.state, f.counter FROM ({_flattened("back = 1")}) f
 JOIN (SELECT c.event_id, c.model_name, r.voltage_reference FROM ({_CHECKED_ROWS}) c JOIN (

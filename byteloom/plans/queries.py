@@ -618,7 +618,7 @@ def inspect_bytes(spark, sf):
 
 
 @query
-def batch_pipeline(spark, sf):
+def batch_decode(spark, sf):
     decoded = decode_batch(
         fx.telemetry(spark, sf),
         veh.vehicle_master(fx.vehicles(spark, sf)),
