@@ -16,6 +16,7 @@ from byteloom.operators.decode import (
     envelope,
 )
 from byteloom.functions.numbers import float_text
+from byteloom.operators.flatten import field_positions, flatten_messages
 from byteloom.plans import fixtures as fx
 from byteloom.plans.session import tune
 
@@ -260,3 +261,17 @@ def test_envelopes_tell_why(spark):
     ]
     quiet = {r.n: r.envelope is not None for r in envelope(messages, catalog).collect()}
     assert quiet == {0: True, 1: True, 2: False, 3: False, 4: False}
+
+
+def test_flatten_takes_every_described_field_of_the_layouts(spark):
+    entries = [
+        ("0 [0]", "Bus - Volt", "1 [0]", "L", "", "1"),
+        ("1 [0]", "Reserved", "1 [0]", "I", "", "1"),
+        ("1 [0]", "Count", "1 [0]", "I", "", "1"),
+    ]
+    catalog = catalog_of(spark, entries, [L1])
+    positions = {r.description: r.position for r in field_positions(catalog).collect()}
+    assert positions == {"Bus - Volt": 0, "Count": 2}
+    rows = spark.createDataFrame([("F", "1", "C807")], "family string, model_year string, m string")
+    flat = flatten_messages(rows, catalog, {"A": "m"}, {"A": {"Bus*": "float"}})
+    assert flat.select("Bus__Volt", "Count").collect() == [(20.0, "7")]
