@@ -4,9 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from byteloom.plans import oracle, queries
 
 SF = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +16,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLE) == set(entry.queries())
+    assert set(ORACLE) == set(queries.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(queries.queries()))
 def test_query_matches_oracle(spark, con, name):
-    result = compare.spark_rows(entry.queries()[name](spark, SF))
+    result = compare.spark_rows(queries.queries()[name](spark, SF))
     assert compare.difference(result, compare.oracle_rows(con, ORACLE[name])) is None
 
 
