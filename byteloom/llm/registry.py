@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from byteloom.llm import exact, mixing, sharding, toxicity
+from byteloom.llm import exact, mixing, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
+            simhash.op3_simhash,
             toxicity.op4_toxicity,
             sharding.op8_sharding,
             exact.op9_exact_dedup,
