@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from byteloom.llm import exact, mixing, sharding, simhash, toxicity
+from byteloom.llm import decontaminate, exact, mixing, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         for f in (
             simhash.op3_simhash,
             toxicity.op4_toxicity,
+            decontaminate.op6_decontamination,
             sharding.op8_sharding,
             exact.op9_exact_dedup,
             mixing.op10_mixing,
@@ -25,4 +26,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": exact.OP9_SQL, "op10_mixing": mixing.OP10_SQL}
+    return {
+        "op6_decontamination": decontaminate.OP6_SQL,
+        "op9_exact_dedup": exact.OP9_SQL,
+        "op10_mixing": mixing.OP10_SQL,
+    }
