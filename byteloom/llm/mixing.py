@@ -9,7 +9,6 @@ Copies are then sorted by a hash of (id, copy): a global shuffle.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from byteloom.llm import common
@@ -73,11 +72,12 @@ def repetition_rates(
         F.col("source").eqNullSafe(F.col("named")),
         "left",
     ).select("source", "n", F.coalesce("weight", F.lit(0.0)).alias("weight"))
-    sums = both.agg(F.sum("weight").alias("all_weight"), F.sum("n").alias("all_rows"))
-    wanted = F.col("all_rows") if total is None else F.lit(total)
-    rate = F.when(F.col("weight") > 0, F.col("weight") / F.col("all_weight") * wanted / F.col("n"))
-    # `sums` is one row.
-    return both.join(F.broadcast(sums)).select("source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
+    sums = both.agg(F.sum("weight"), F.sum("n")).first()
+    if not sums[0]:
+        return both.select("source", F.lit(0.0).alias("rate"))
+    wanted = float(sums[1] if total is None else total)
+    rate = F.when(F.col("weight") > 0, F.col("weight") / F.lit(sums[0]) * F.lit(wanted) / F.col("n"))
+    return both.select("source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
 
 
 def mix(
@@ -111,8 +111,9 @@ def mix(
             F.col("row")[source_col].cast("string").eqNullSafe(F.col("source")),
         )
         .select("row", key.alias("key"), poisson(key, F.col("rate"), seed).alias("copies"))
-        .where(F.col("copies") > 0)
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+        # Not explode(): Spark would repeat the draw in a filter below it.
+        .withColumn("copy", F.explode_outer(F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1))))
+        .where(F.col("copy").isNotNull())
         .withColumn(
             "order_key",
             F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("order"), "key", F.col("copy")).cast("binary")),
