@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from byteloom.llm import decontaminate, exact, mixing, sharding, simhash, toxicity
+from byteloom.llm import (
+    decontaminate,
+    exact,
+    html,
+    mixing,
+    sharding,
+    simhash,
+    tokenfiles,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,9 +24,11 @@ def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
+            html.op1_html_extraction,
             simhash.op3_simhash,
             toxicity.op4_toxicity,
             decontaminate.op6_decontamination,
+            tokenfiles.op7_token_files,
             sharding.op8_sharding,
             exact.op9_exact_dedup,
             mixing.op10_mixing,
