@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from byteloom.llm import (
+    common,
     decontaminate,
     exact,
     html,
+    lm,
     mixing,
     sharding,
     simhash,
@@ -20,13 +22,24 @@ from byteloom.llm import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def query(run: Query) -> Query:
+    """`run` in a session whose Python workers find this package as the driver does."""
+
+    def started(spark: SparkSession, sf_dir: str) -> DataFrame:
+        common.share_package(spark)
+        return run(spark, sf_dir)
+
+    return started
+
+
 def queries() -> dict[str, Query]:
     return {
-        f.__name__: f
+        f.__name__: query(f)
         for f in (
             html.op1_html_extraction,
             simhash.op3_simhash,
             toxicity.op4_toxicity,
+            lm.op5_lm_scoring,
             decontaminate.op6_decontamination,
             tokenfiles.op7_token_files,
             sharding.op8_sharding,

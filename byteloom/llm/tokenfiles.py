@@ -141,10 +141,14 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode().split() for t in texts]
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        return [b"".join(words) for words in self.encode_words([t.encode().split() for t in texts])]
+
+    def encode_words(self, texts: list[list[bytes]]) -> list[list[bytes]]:
+        """Ids of every word of every text."""
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        fresh = list(set().union(*split).difference(self.known)) if split else []
+        fresh = list(set().union(*texts).difference(self.known)) if texts else []
         known, once = self.known, {}
         for start in range(0, len(fresh), 50_000):
             some = fresh[start : start + 50_000]
@@ -153,7 +157,7 @@ class Encoder:
                 ids = np.array(code.ids, "<u4").tobytes()
                 (known if len(word) <= KNOWN_BYTES else once)[word] = ids
         get = {**known, **once}.__getitem__ if once else known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        return [list(map(get, words)) for words in texts]
 
 
 _ENCODERS: dict[str, Encoder] = {}
