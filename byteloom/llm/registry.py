@@ -15,6 +15,7 @@ from byteloom.llm import (
     mixing,
     sharding,
     simhash,
+    substrings,
     tokenfiles,
     toxicity,
 )
@@ -37,6 +38,7 @@ def queries() -> dict[str, Query]:
         f.__name__: query(f)
         for f in (
             html.op1_html_extraction,
+            substrings.op2_suffix_dedup,
             simhash.op3_simhash,
             toxicity.op4_toxicity,
             lm.op5_lm_scoring,
