@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from byteloom.llm import (
     common,
     decontaminate,
@@ -34,7 +35,7 @@ def query(run: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {
+    named = {
         f.__name__: query(f)
         for f in (
             html.op1_html_extraction,
@@ -49,6 +50,7 @@ def queries() -> dict[str, Query]:
             mixing.op10_mixing,
         )
     }
+    return named | {"pipeline": query(corpus_pipeline.run)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -178,6 +178,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     )
 
 
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that are likelier clean than toxic; rows and columns are as they came."""
+    fitted, at = model, docs.columns.index(text_col)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            latent = np.array([fitted.latent(t.as_py() or "") for t in batch.column(at)], float)
+            yield batch.filter(pa.array(fitted.at_least(latent)[:, 0] < 0.5))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Severity of every document; `toxic` where it is likelier toxic than not."""
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
