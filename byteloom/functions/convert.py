@@ -17,16 +17,26 @@ LINEAR, ENUM = "L", "T"
 PLAIN, SCALED, FIXED, YES_NO, CODE = range(5)
 
 
-def hex_bound(value: Column) -> Column:
-    """Bound of an encoding range: hex with or without ``$``; NULL if not hex."""
+def hex_bound(value: Column, upper: bool = False) -> Column:
+    """Bound of an encoding range: hex with or without ``$``; NULL if not hex.
+
+    Raw values have 63 bits.  A larger bound is NULL, as nothing reaches it; as
+    an ``upper`` bound it is the largest raw value, as everything is below it.
+    """
     digits = F.trim(F.replace(F.trim(value), F.lit("$"), F.lit("")))
-    return F.when(digits.rlike("^[0-9A-Fa-f]{1,15}$"), F.conv(digits, 16, 10).cast("bigint"))
+    short = F.regexp_replace(digits, "^0+(?=.)", "")
+    beyond = F.lit(2**63 - 1) if upper else F.lit(None).cast("bigint")
+    fits = short.rlike("^(?:[0-9A-Fa-f]{1,15}|[0-7][0-9A-Fa-f]{15})$")
+    return F.when(
+        digits.rlike("^[0-9A-Fa-f]+$"),
+        F.when(fits, F.conv(F.when(fits, short), 16, 10).cast("bigint")).otherwise(beyond),
+    )
 
 
 def limit_bound(value: Column) -> Column:
     """Raw maximum of a linear row: ``$`` marks hex, otherwise decimal."""
     trimmed = F.trim(value)
-    return F.when(trimmed.startswith("$"), hex_bound(trimmed)).when(
+    return F.when(trimmed.startswith("$"), hex_bound(trimmed, upper=True)).when(
         trimmed.rlike("^[+-]?[0-9]+$"), trimmed.try_cast("bigint")
     )
 

@@ -90,9 +90,19 @@ def compile_catalog(
     dedup -- which entry of a repeated description stays: 'last', 'first', 'all'
     hex_mode -- digits an enumeration code may have: 'both' or 'strict'
     require_tables -- drop layouts whose family/year lacks one of the tables
+
+    Tables with a repeated key are refused: which row counts would be chance.
     """
     tables_l = linear.select(*TABLE).distinct().withColumn("_has_linear", F.lit(True))
     tables_t = enumeration.select(*TABLE).distinct().withColumn("_has_enum", F.lit(True))
+    for what, table, unique in (
+        ("layout entries", layouts, [*LAYOUT, "ord"]),
+        ("linear rows", linear, [*TABLE, "id", "row_ord"]),
+        ("enumeration rows", enumeration, [*TABLE, "id", "row_ord"]),
+    ):
+        twice = repeated_keys(table, unique).first()
+        if twice is not None:
+            raise ValueError(f"{what} occur more than once: {twice.asDict()}")
     if require_tables:
         layouts = layouts.join(tables_l, list(TABLE), "left_semi").join(
             tables_t, list(TABLE), "left_semi"
@@ -197,16 +207,17 @@ def label_tables(
     singles = (
         encodings.filter(
             (F.col("low") == F.col("high"))
-            & F.col("low").rlike(r"^\$([0-9A-F]{2}|[1-9A-F][0-9A-F]{2,14})$")
+            & F.col("low").rlike(r"^\$([0-9A-F]{2}|[1-9A-F][0-9A-F]{2,15})$")
         )
         .withColumn("raw", hex_bound(F.col("low")))
+        .filter(F.col("raw").isNotNull())
         .groupBy(*TABLE, "type", "id_number", "raw")
         .agg(F.min_by("label", "row_ord").alias("label"), F.min("row_ord").alias("row_ord"))
     )
     spans = (
         encodings.filter(F.col("low") != F.col("high"))
         .withColumn("lo", hex_bound(F.col("low")))
-        .withColumn("hi", hex_bound(F.col("high")))
+        .withColumn("hi", hex_bound(F.col("high"), upper=True))
         .filter("lo <= hi")
         .select(*TABLE, "type", "id_number", "lo", "hi", "label", "row_ord")
     )
@@ -234,7 +245,7 @@ def enumeration_codes(enumeration: DataFrame, hex_mode: str = "both") -> DataFra
     """
     text = F.trim("min")
     raw = F.when(
-        text.rlike(r"^\$([0-9A-F]|[0-9A-F]{2}|[1-9A-F][0-9A-F]{2,14})$"), hex_bound(text)
+        text.rlike(r"^\$([0-9A-F]|[0-9A-F]{2}|[1-9A-F][0-9A-F]{2,15})$"), hex_bound(text)
     )
     short = F.length(text) == 2
     if hex_mode == "both":
@@ -267,12 +278,16 @@ def enumeration_codes(enumeration: DataFrame, hex_mode: str = "both") -> DataFra
 def disjoint(spans: DataFrame) -> DataFrame:
     """Cut overlapping ranges at each other's ends; the first row keeps a piece."""
     key = [*TABLE, "type", "id_number"]
+    # Ends are exclusive and decimal: the largest raw value has a successor too.
+    after = (F.col("hi").cast("decimal(20,0)") + 1).cast("decimal(20,0)")
     cuts = spans.select(
-        *key, F.explode(F.array("lo", F.col("hi") + 1)).alias("lo")
+        *key, F.explode(F.array(F.col("lo").cast("decimal(20,0)"), after)).alias("lo")
     ).distinct()
-    pieces = cuts.withColumn(
-        "hi", F.lead("lo").over(Window.partitionBy(*key).orderBy("lo")) - 1
-    ).filter(F.col("hi").isNotNull())
+    pieces = (
+        cuts.withColumn("hi", F.lead("lo").over(Window.partitionBy(*key).orderBy("lo")) - 1)
+        .filter(F.col("hi").isNotNull())
+        .withColumns({"lo": F.col("lo").cast("bigint"), "hi": F.col("hi").cast("bigint")})
+    )
     owners = spans.select(
         *key, F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), "label", "row_ord"
     )

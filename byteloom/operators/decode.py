@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from byteloom import fixed_values as fixed
-from byteloom.functions.convert import ENUM, LINEAR, failed_text, numeric_value, text_value
+from byteloom.functions.convert import ENUM, LINEAR, SCALED, failed_text, numeric_value, text_value
 from byteloom.functions.hexbits import Message, extract_error, is_readable, raw_value
 from byteloom.functions.types import TYPE_NAMES, cast_text
 from byteloom.operators.catalog import FIELD_COLUMNS, LAYOUT, FieldCatalog
@@ -273,14 +273,21 @@ def decode_wide(
     columns: list[WideColumn],
     hex_columns: dict[str, str],
     limit: int = WIDE_EXPRESSION_LIMIT,
+    when: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add one typed column per requested field of the wide messages of ``df``.
 
     Needs family and model_year columns; ``hex_columns`` maps message to hex
-    column.  Unknown descriptions give NULL columns.  The requested part of the
-    catalog is turned into expressions when it has at most ``limit`` rows,
-    otherwise the array form of the same rules is used.
+    column.  Unknown descriptions give NULL columns.  ``when`` maps a message to
+    a flag column: where it is not true, the message's columns are NULL and the
+    row stays.  The requested part of the catalog is turned into expressions
+    when it has at most ``limit`` rows, otherwise the array form is used; the
+    values are the same.
     """
+    if when:
+        gated, hex_columns = _gated(df, hex_columns, when)
+        helpers = [c for c in gated.columns if c not in df.columns]
+        return decode_wide(gated, catalog, columns, hex_columns, limit).drop(*helpers)
     wanted = catalog.only((c.message, c.description) for c in columns)
     rows = wanted.rows(limit)
     if rows is None:
@@ -288,7 +295,23 @@ def decode_wide(
     return _wide_by_expression(df, rows, columns, hex_columns)
 
 
+def _gated(
+    df: DataFrame, hex_columns: dict[str, str], when: dict[str, str]
+) -> tuple[DataFrame, dict[str, str]]:
+    """Hex columns that are NULL where the flag of their message is not true."""
+    own = {m: f"_when_{m}" for m in hex_columns if m in when}
+    gated = df.withColumns({own[m]: F.when(F.col(when[m]), F.col(hex_columns[m])) for m in own})
+    return gated, hex_columns | own
+
+
 def _wide_by_expression(df, rows, columns, hex_columns) -> DataFrame:
+    # Of entries with one description the first counts, as in the array form.
+    firsts: dict[tuple, Row] = {}
+    for f in rows:
+        key = (f.family, f.model_year, f.message, f.description)
+        if key not in firsts or f.ord < firsts[key].ord:
+            firsts[key] = f
+    rows = list(firsts.values())
     # Equal definitions of several families and years share one expression.
     groups: dict[tuple, dict[str, list]] = {}
     for f in rows:
@@ -384,7 +407,7 @@ def typed_value(f: Any, raw: Column, check: Column, label: Column | None, kind:
         return F.when(check.isNull(), text_value(raw, f, label, num)).otherwise(
             failed_text(check)
         )
-    if target == "double":
+    if target == "double" and f.kind <= SCALED:
         value = num if label is None else F.coalesce(num, label.try_cast("double"))
     else:
         value = cast_text(text_value(raw, f, label, num), kind)
@@ -402,6 +425,8 @@ def _wide_by_array(df, catalog, columns, hex_columns) -> DataFrame:
         decoded = {c.name: picked(c) for c in columns if c.message == message}
         result = (
             decode_array(view, catalog)
+            # One element: keeps the optimizer from repeating the array for every column.
+            .withColumn("decoded", F.explode_outer(F.array("decoded")))
             .withColumns(decoded)
             .drop("decoded", "message", "hex", "layout_name")
         )
@@ -414,9 +439,20 @@ def _wide_by_array(df, catalog, columns, hex_columns) -> DataFrame:
 
 
 def wide_envelopes(
-    df: DataFrame, catalog: FieldCatalog, hex_columns: dict[str, str], on_error: str = "null"
+    df: DataFrame,
+    catalog: FieldCatalog,
+    hex_columns: dict[str, str],
+    on_error: str = "null",
+    when: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Add ``decoded_<message>``: the envelope of each wide message column."""
+    """Add ``decoded_<message>``: the envelope of each wide message column.
+
+    With ``when`` a message is decoded where its flag column is true.
+    """
+    if when:
+        gated, hex_columns = _gated(df, hex_columns, when)
+        helpers = [c for c in gated.columns if c not in df.columns]
+        return wide_envelopes(gated, catalog, hex_columns, on_error).drop(*helpers)
     result = df
     for message, column in hex_columns.items():
         view = result.withColumns({"message": F.lit(message), "hex": F.col(column)})

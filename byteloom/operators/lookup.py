@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
 
 def fits_broadcast(
@@ -32,24 +31,17 @@ def lookup_join(
     how: str = "inner",
     condition: Column | None = None,
     small: bool | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``big`` with ``lookup`` on equal keys (and an extra condition).
 
     A lookup whose measured size is small is broadcast: no shuffle of ``big``
-    and no skew.  A larger one is shuffled with salted keys, so rows of a hot
-    key spread over ``salts`` tasks; each row of ``big`` still meets each of
-    its matches exactly once.  ``small`` passes on an earlier measurement.
+    and no skew.  A larger one is shuffled by the keys; the adaptive skew join
+    splits the rows of a hot key over many tasks.  ``small`` passes on an
+    earlier measurement.
     """
     if small is None:
         small = fits_broadcast(lookup)
-    if small:
-        return _join(big, F.broadcast(lookup), list(keys), how, condition)
-    salted_big = big.withColumn(
-        "_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
-    )
-    salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return _join(salted_big, salted_lookup, [*keys, "_salt"], how, condition).drop("_salt")
+    return _join(big, F.broadcast(lookup) if small else lookup, list(keys), how, condition)
 
 
 def _join(

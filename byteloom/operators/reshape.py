@@ -58,15 +58,22 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     )
 
 
-def add_date(df: DataFrame, column: str = "dt", source: str = "app_timestamp") -> DataFrame:
-    """Date of a timestamp column, unless the column exists already."""
+def add_date(
+    df: DataFrame, column: str = "dt", source: str = "app_timestamp", pattern: str | None = None
+) -> DataFrame:
+    """Date of a timestamp column, unless the column exists already.
+
+    With a pattern the source is text in that form; other text gives NULL.
+    """
     if column in df.columns:
         return df
-    return df.withColumn(column, F.to_date(F.col(source)))
+    if pattern is None:
+        return df.withColumn(column, F.to_date(F.col(source)))
+    return df.withColumn(column, F.to_date(F.try_to_timestamp(F.col(source), F.lit(pattern))))
 
 
 def zip_log_lines(
-    lines: DataFrame, columns: Sequence[str], file: str, order: str, bucket: Column
+    lines: DataFrame, columns: Sequence[str], file: str, order: str | Sequence[str], bucket: Column
 ) -> DataFrame:
     """Pair the i-th time stamp of a file with its i-th data line.
 
@@ -75,25 +82,26 @@ def zip_log_lines(
 
     Lines beyond the number of time stamps have no partner and drop out.
     """
+    order = [order] if isinstance(order, str) else list(order)
     cells = lines.withColumn("_cells", F.split(F.trim("line"), ","))
     stamp = F.trim(F.get("_cells", F.lit(0))).try_cast("bigint")
     is_data = F.col("line").contains(",") & reduce(
         lambda a, b: a | b, [F.col("line").contains(mark) for mark in DATA_ROW_MARKERS]
     )
-    stamps = cells.select(file, order, stamp.alias("timestamp_ms"), bucket.alias("_cut")).filter(
+    stamps = cells.select(file, *order, stamp.alias("timestamp_ms"), bucket.alias("_cut")).filter(
         F.col("timestamp_ms").isNotNull()
     )
     data = cells.filter(is_data).select(
         file,
-        order,
+        *order,
         bucket.alias("_cut"),
         *[
             F.coalesce(F.get("_cells", F.lit(i + 1)), F.lit("")).alias(c)
             for i, c in enumerate(columns)
         ],
     )
-    left = number_rows(stamps, [file], [order], F.col("_cut"), "ordinal")
-    right = number_rows(data, [file], [order], F.col("_cut"), "ordinal")
+    left = number_rows(stamps, [file], order, F.col("_cut"), "ordinal")
+    right = number_rows(data, [file], order, F.col("_cut"), "ordinal")
     return left.select(file, "ordinal", "timestamp_ms").join(
         right.select(file, "ordinal", *columns), [file, "ordinal"]
     )

@@ -12,16 +12,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, TimestampType
 
 # --- fixed values: characters of "yyyy-MM-dd HH:mm:ss" up to each unit ----
 PREFIX = {"day": 10, "hour": 13, "minute": 16, "second": 19}
+SECONDS = {"day": 86_400, "hour": 3_600, "minute": 60, "second": 1}
+# Above this, Spark no longer limits the rows of a group before the shuffle.
+GROUP_LIMIT = 1_000
 
 
 def time_bucket(df: DataFrame, column: str, unit: str = "hour") -> Column:
     """Bucket that never decreases along ``column`` (text or timestamp)."""
     if isinstance(df.schema[column].dataType, StringType):
         return F.coalesce(F.substring(column, 1, PREFIX[unit]), F.lit(""))
+    if isinstance(df.schema[column].dataType, TimestampType):
+        # Of the instant, not of the local time, which runs back at a clock change.
+        micros = F.unix_micros(F.col(column))
+        return F.coalesce(F.floor(micros / F.lit(SECONDS[unit] * 1_000_000)), F.lit(-(2**63)).cast("bigint"))
     return F.coalesce(
         F.date_trunc(unit, F.col(column)).cast("string"), F.lit("")
     )
@@ -118,14 +125,20 @@ def first_per_group(
     tiebreak: Sequence[str] = (),
     required: str | None = None,
     members: Sequence[str] | None = None,
+    unit: str = "hour",
 ) -> DataFrame:
     """First ``n`` rows per group in time order.
 
-    Every map task keeps at most ``n`` rows of a group before the shuffle.
+    Up to GROUP_LIMIT every map task keeps at most ``n`` rows of a group before
+    the shuffle; for larger ``n`` rows are numbered by time bucket, so that no
+    task gets a group.
     """
     rows = df if required is None else df.filter(F.col(required).isNotNull())
     if members is not None:
         rows = rows.filter(F.col(group).isin(*members))
+    if n > GROUP_LIMIT:
+        numbered = number_rows(rows, [group], [order, *tiebreak], time_bucket(rows, order, unit), "_rank")
+        return numbered.filter(F.col("_rank") <= n).drop("_rank")
     window = Window.partitionBy(group).orderBy(order, *tiebreak)
     return (
         rows.withColumn("_rank", F.row_number().over(window))

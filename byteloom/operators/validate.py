@@ -62,7 +62,13 @@ def all_messages_valid(flagged: DataFrame, messages: list[str]) -> DataFrame:
 
 
 def any_length_matches(df: DataFrame, lengths: DataFrame, hex_columns: dict[str, str]) -> DataFrame:
-    """Rows where at least one message has exactly its expected length."""
+    """Rows where at least one message has exactly its expected length.
+
+    Only columns that exist count; without any, all rows stay.
+    """
+    hex_columns = {m: c for m, c in hex_columns.items() if c in df.columns}
+    if not hex_columns:
+        return df
     checked = with_lengths(df, lengths, list(hex_columns))
     hits = [F.length(F.col(c)) == F.col(f"{m}_reference_len") for m, c in hex_columns.items()]
     return checked.filter(reduce(or_, hits)).drop(*[f"{m}_reference_len" for m in hex_columns])
@@ -80,6 +86,8 @@ def with_length_columns(
         )
         for m, c in existing.items()
     }
+    if not existing:
+        return df.withColumn(ALL_VALID, F.lit(True))
     flags[ALL_VALID] = reduce(and_, flags.values())
     return checked.withColumns(flags)
 

@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from byteloom.sources.telemetry import spread
 
 # --- fixed values: layouts, conversion tables and lengths of the fixture ----
 # (ord, byte, description, size, type, name, id)
@@ -246,7 +245,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     a, b = F.col("full_a"), F.col("full_b")
     return (
-        spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+        spark.read.parquet(f"{sf_dir}/events.parquet")
         .select(
             "event_id",
             u.alias("vin"),

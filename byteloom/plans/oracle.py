@@ -368,15 +368,20 @@ SELECT event_id, model_name, message, ord, raw, value FROM decoded WHERE type =
     "enum_values": """
 SELECT event_id, model_name, message, ord, raw, value FROM decoded WHERE type = 'T' AND error IS NULL""",
     "enum_strict": """
-SELECT event_id, model_name, message, ord, raw, coalesce(
+SELECT event_id, model_name, message, ord, raw, CASE WHEN state <> 'row' THEN value ELSE coalesce(
     (SELECT arg_min(t.encoding_name, t.row_ord) FROM enums t WHERE t.family = d.family
       AND t.model_year = d.model_year AND t.id = TRY_CAST(d.id AS BIGINT)
       AND d.raw <= 9 AND trim(t.min) = printf('$%X', d.raw)),
     (SELECT arg_min(t.encoding_name, t.row_ord) FROM enums t WHERE t.family = d.family
       AND t.model_year = d.model_year AND t.id = TRY_CAST(d.id AS BIGINT)
       AND (d.raw = 0 OR d.raw > 9) AND trim(t.min) = printf('$%02X', d.raw)),
-    printf('0x%X', raw) || ' (No match)') AS value
-FROM decoded d WHERE type = 'T' AND error IS NULL AND state = 'row' AND id IN ('201', '205', '206')""",
+    CASE WHEN contains(name, 'Present/Not present') THEN CASE WHEN raw = 1 THEN 'Present' ELSE 'Not present' END
+      WHEN contains(name, 'Fault/No Fault') THEN CASE WHEN raw = 1 THEN 'Fault' ELSE 'No Fault' END
+      WHEN contains(name, 'False / True') THEN CASE WHEN raw = 1 THEN 'True' ELSE 'False' END
+      ELSE printf('0x%X', raw) || ' (No match)' END) END AS value
+FROM decoded d WHERE type = 'T' AND error IS NULL
+  AND EXISTS (SELECT 1 FROM linear l WHERE l.family = d.family AND l.model_year = d.model_year)
+  AND EXISTS (SELECT 1 FROM enums e WHERE e.family = d.family AND e.model_year = d.model_year)""",
     "field_errors": """
 SELECT message, description, error, count(*) AS n FROM decoded WHERE error IS NOT NULL GROUP BY ALL""",
     "decode_null_mode": """
@@ -428,8 +433,8 @@ SELECT count(DISTINCT message) AS columns_with_errors, 2 AS decoded_columns,
   printf('%.1f%%', (2 - count(DISTINCT message)) * 100.0::DOUBLE / 2) AS success_rate_text
 FROM ({_JSON_ERRORS}) WHERE error IS NOT NULL""",
     "inspect_fields": """
-SELECT event_id, model_name, message, ord, value, coalesce(id, 'N/A') AS msg_id,
-  coalesce(CAST(raw_value AS VARCHAR), 'N/A') AS raw_value,
+SELECT event_id, model_name, message, ord, description, value, byte AS raw_position, size, type AS msg_type,
+  coalesce(id, 'N/A') AS msg_id, coalesce(CAST(raw_value AS VARCHAR), 'N/A') AS raw_value,
   CASE WHEN hi < lo THEN 'N/A' ELSE substr(hex, 2 * lo + 1, 2 * (hi - lo + 1)) END AS raw_hex,
   CASE WHEN hi < lo THEN 'N/A'
     WHEN n = 0 AND k > 0 THEN CASE WHEN regexp_full_match(substr(hex, 2 * bp + 1, 2), '[0-9A-Fa-f]+')
@@ -461,8 +466,7 @@ SELECT f.event_id, f.model_name, f.family, f.model_year, p.voltage_reference, f.
   f.state, f.counter FROM ({_flattened("back = 1")}) f
 JOIN (SELECT c.event_id, c.model_name, r.voltage_reference FROM ({_CHECKED_ROWS}) c JOIN (
     SELECT event_id, last_value(voltage IGNORE NULLS) OVER (PARTITION BY vin ORDER BY app_timestamp, event_id
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS voltage_reference FROM telemetry
-    WHERE dt >= '2024-01-03') r ON r.event_id = c.event_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS voltage_reference FROM telemetry) r ON r.event_id = c.event_id
   WHERE {_OK_A} AND {_OK_B}) p
 ON p.event_id = f.event_id AND p.model_name = f.model_name""",
     "sink_overwrite": "SELECT event_id, vin, msg_a FROM telemetry",
@@ -512,9 +516,36 @@ SELECT 'M' || p_partkey AS message, p_name AS description, 'float' AS type,
 SELECT 1700000000000 + event_id AS timestamp_ms, 1700000000 + event_id // 1000 AS seconds, message,
   nullif(hex, '') AS hex FROM (SELECT event_id, 'msg_a' AS message, msg_a AS hex FROM telemetry
     UNION ALL SELECT event_id, 'msg_b', msg_b FROM telemetry)""",
+    "layout_mixed_csv": """
+SELECT p_size || ' [0]' AS byte, p_name AS description, '1 [0]' AS size,
+  CASE WHEN p_partkey % 3 < 2 THEN 'L' END AS type, p_type AS name, CAST(p_partkey AS VARCHAR) AS id,
+  CASE WHEN p_partkey % 6 = 1 THEN 'd' || p_partkey END AS default_value FROM part""",
+    "layout_tree": """
+SELECT CASE p_partkey % 5 WHEN 4 THEN 'FU' ELSE 'MA' END AS family,
+  CASE p_partkey % 5 WHEN 4 THEN '2026' ELSE '2025' END AS model_year,
+  CASE p_partkey % 5 WHEN 1 THEN 'B001' ELSE 'A001' END AS message, 'n' AS layout_name,
+  CAST(row_number() OVER (PARTITION BY p_partkey % 5 ORDER BY p_partkey) - 1 AS INTEGER) AS ord,
+  p_name AS description, p_type AS name, CAST(p_partkey AS VARCHAR) AS id
+FROM part WHERE p_partkey % 5 IN (0, 1, 4)""",
     "stage_table": "SELECT event_id, model_name, family, msg_a FROM joined",
 }
 
 
+_OF_MESSAGE = ", ".join(
+    f"CASE WHEN {_OK_A if row[0] == 'A' else _OK_B} THEN f.{row[3]} END AS {row[3]}" for row in fx.COLUMN_ROWS
+)
+_SQL |= {
+    "flatten_wide_array": _SQL["flatten_wide"],
+    "zip_log_files": _SQL["zip_log_lines"],
+    "forward_fill_minute": _SQL["forward_fill"],
+    "decode_when_valid": f"""
+SELECT f.event_id, f.model_name, {_OF_MESSAGE} FROM ({_flattened("back = 1")}) f
+JOIN ({_CHECKED_ROWS}) c ON c.event_id = f.event_id AND c.model_name = f.model_name""",
+    "first_n_large": """
+SELECT event_id, model_name, family FROM joined
+QUALIFY row_number() OVER (PARTITION BY family ORDER BY app_timestamp, event_id, model_name) <= 1500""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: with_views(sql) for name, sql in _SQL.items()}
+    return {name: with_views(sql) for name, sql in _SQL.items()}
\ No newline at end of file

@@ -303,6 +303,22 @@ def forward_fill(spark, sf):
     )
 
 
+@query
+def forward_fill_minute(spark, sf):
+    """The same by instants and minutes."""
+    rows = tel.parse_time(fx.telemetry(spark, sf))
+    filled = timeline.forward_fill(rows, ["voltage", "key_on"], tiebreak=["event_id"], unit="minute")
+    return filled.select(
+        "event_id", "vin", "voltage", "key_on", "voltage_reference", "key_on_reference"
+    )
+
+
+@query
+def first_n_large(spark, sf):
+    """More rows of a group than a task keeps before the shuffle."""
+    return timeline.first_per_group(joined(spark, sf), 1500, tiebreak=TIEBREAK).select(*KEY, "family")
+
+
 @query
 def first_n_per_family(spark, sf):
     return timeline.first_per_group(
@@ -353,14 +369,22 @@ def _log_lines(spark, sf) -> DataFrame:
 
 @query
 def zip_log_lines(spark, sf):
-    path = f"{sinks.scratch_folder(spark)}/lines"
-    sinks.write_path(_log_lines(spark, sf), path, True)
     bucket = F.floor(F.col("position") / 1000).cast("bigint")
     return reshape.zip_log_lines(
-        tel.scan(spark, path), ["msg_a", "msg_b"], "file", "position", bucket
+        _log_lines(spark, sf), ["msg_a", "msg_b"], "file", "position", bucket
     )
 
 
+@query
+def zip_log_files(spark, sf):
+    """The same from text files: lines in the order (block, position) of their file."""
+    path = f"{sinks.scratch_folder(spark)}/logs"
+    lines = _log_lines(spark, sf).repartition("file").sortWithinPartitions("file", "position")
+    lines.select("file", "line").write.partitionBy("file").text(path)
+    read = tel.log_lines(spark, path).withColumn("file", F.regexp_extract("file", "file=([^/]+)/", 1))
+    return reshape.zip_log_lines(read, ["msg_a", "msg_b"], "file", ["block", "position"], F.col("block"))
+
+
 # --- decode --------------------------------------------------------------------
 
 
@@ -441,7 +465,7 @@ def enum_values(spark, sf):
 @query
 def enum_strict(spark, sf):
     long = long_rows(spark, sf, hex_mode="strict", require_tables=True)
-    return _of_type(long.filter(F.col("msg_id").isin("201", "205", "206")), "T")
+    return _of_type(long, "T")
 
 
 @query
@@ -485,6 +509,22 @@ def flatten_wide(spark, sf):
     return wide.select(*KEY, *PAIR, *COLUMN_NAMES)
 
 
+@query
+def flatten_wide_array(spark, sf):
+    """The wide form of a catalog too large for expressions: the same values."""
+    wide = dec.decode_wide(joined(spark, sf), field_catalog(spark), COLUMNS, fx.HEX_COLUMNS, limit=0)
+    return wide.select(*KEY, *PAIR, *COLUMN_NAMES)
+
+
+@query
+def decode_when_valid(spark, sf):
+    """A message is decoded where its own length is right; rows stay."""
+    flagged = validate.with_validity(joined(spark, sf), fx.lengths(spark), fx.HEX_COLUMNS)
+    flags = {m: f"{m}_is_valid" for m in fx.HEX_COLUMNS}
+    wide = dec.decode_wide(flagged, field_catalog(spark), COLUMNS, fx.HEX_COLUMNS, when=flags)
+    return wide.select(*KEY, *COLUMN_NAMES)
+
+
 @query
 def flatten_pivot(spark, sf):
     names = fx.output_columns(spark).select("message", "description", "clean_name")
@@ -599,8 +639,9 @@ def quality_report(spark, sf):
 def inspect_fields(spark, sf):
     view = inspect.inspect_fields(long_rows(spark, sf))
     return view.select(
-        *KEY, "message", "ord", "value", "msg_id", "raw_value", "raw_hex", "binary"
-    )
+        *KEY, "message", "ord", "description", "value", "raw_position", "size", "msg_type", "msg_id",
+        "raw_value", "raw_hex", "binary",
+    )
 
 
 @query
@@ -628,7 +669,6 @@ def batch_decode(spark, sf):
         fx.HEX_COLUMNS,
         fill=["voltage"],
         tiebreak=["event_id"],
-        start="2024-01-03",
     )
     return decoded.select(
         *KEY, *PAIR, "voltage_reference", "charge", "level", "state", "counter"
@@ -719,7 +759,8 @@ def linear_csv(spark, sf):
         _pair_file(LINEAR_FILE).alias("_file"),
     )
     _write_csv(rows, path)
-    return src.linear_tables(spark, path, glob="*.csv")
+    rows = src.linear_tables(spark, path, glob="*.csv", tree=False)
+    return rows.drop("description", "size", "value_type", "scaled_min", "scaled_max")
 
 
 @query
@@ -734,7 +775,7 @@ def enum_csv(spark, sf):
         _pair_file(ENUM_FILE).alias("_file"),
     )
     _write_csv(rows, path)
-    return src.enum_tables(spark, path, glob="*.csv")
+    return src.enum_tables(spark, path, glob="*.csv", tree=False)
 
 
 @query
@@ -785,6 +826,55 @@ def layout_legacy_csv(spark, sf):
     )
 
 
+@query
+def layout_mixed_csv(spark, sf):
+    """One folder of current, default-valued and legacy files, each read by its own header."""
+    path = f"{sinks.scratch_folder(spark)}/csv"
+    k = F.col("p_partkey")
+    base = part(spark, sf).select(
+        "p_partkey",
+        F.concat("p_size", F.lit(" [0]")).alias("ByteBit"),
+        F.col("p_name").alias("ByteBit_Description"),
+        F.lit("1 [0]").alias("Size"),
+        F.lit("L").alias("Type"),
+        F.col("p_type").alias("Name"),
+        k.cast("string").alias("ID"),
+        F.when(k % 6 == 1, F.concat(F.lit("d"), k)).alias("Default_Value"),
+        (k % 3).alias("_file"),
+    )
+    _write_csv(base.filter(k % 3 == 0).drop("Default_Value"), f"{path}/current")
+    _write_csv(base.filter(k % 3 == 1), f"{path}/valued")
+    legacy = base.filter(k % 3 == 2).drop("Default_Value", "Type")
+    _write_csv(legacy.withColumnsRenamed({"Name": "Type", "ID": "Name"}), f"{path}/legacy")
+    return src.layout_csv(spark, path).drop("file", "ord")
+
+
+@query
+def layout_tree(spark, sf):
+    """Layout documents of a tree that also holds a kept copy and a file of another year."""
+    root = sinks.scratch_folder(spark)
+    k = F.col("p_partkey")
+    entry = F.struct(
+        F.lit("0 [0]").alias("byte"), F.col("p_name").alias("description"), F.lit("1 [0]").alias("size"),
+        F.lit("L").alias("type"), F.col("p_type").alias("name"), k.cast("string").alias("id"),
+    )
+    rows = part(spark, sf).groupBy((k % 5).alias("no")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct(k, entry.alias("entry")))), lambda e: e["entry"]).alias("entries")
+    )
+    documents = rows.select(F.to_json(F.struct(F.lit("n").alias("name"), "entries")).alias("value"), "no")
+    for no, folder, name in (
+        (0, "MA/2025", "DDT_BCM_A001_MA_2025.json"),
+        (1, "MA/2025", "DDT_BCM_B001_MA_2025.json"),
+        (2, "MA/2025-hold", "DDT_BCM_A001_MA_2025.json"),
+        (3, "MA/2026", "DDT_BCM_A001_MA_2025.json"),
+        (4, "FU/2026", "DDT_BCM_A001_FU_2026.json"),
+    ):
+        sinks.write_text_file(documents.filter(F.col("no") == no).select("value"), f"{root}/{folder}/{name}")
+    return src.load_layouts(spark, root).select(
+        "family", "model_year", "message", "layout_name", "ord", "description", "name", "id"
+    )
+
+
 @query
 def config_documents(spark, sf):
     """Configuration documents, one per part, read as relational metadata."""

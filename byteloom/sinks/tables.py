@@ -17,11 +17,14 @@ OVERWRITE_TEXTS = ("true", "True")
 def scratch_folder(spark: SparkSession) -> str:
     """New folder for stage outputs, below the one the cluster names.
 
-    A folder of this machine is used only where none is named, as in tests.
+    A local session without one gets a folder of this machine; any other
+    session must name one in spark.checkpoint.dir.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return f"{named}/byteloom-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="byteloom-")
 
 
@@ -62,6 +65,22 @@ def write_report(summary: DataFrame, path: str) -> None:
     report_lines(summary).write.mode("overwrite").text(path)
 
 
+def write_text_file(df: DataFrame, path: str) -> None:
+    """One text column of one small table as a single file of that name.
+
+    Written by Spark beside it and moved into place, so any file system that
+    Spark reaches will do.
+    """
+    held = f"{path}.parts-{uuid.uuid4().hex}"
+    df.coalesce(1).write.text(held)
+    jvm = df.sparkSession.sparkContext._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(held), jvm.org.apache.hadoop.fs.Path(path)
+    fs = source.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{held}/part-*")):
+        fs.rename(status.getPath(), target)
+    fs.delete(source, True)
+
+
 def write_layouts(documents: DataFrame, path: str) -> None:
     """Layout documents (layout_name, entries) as JSON, one document per line."""
     documents.select(F.col("layout_name").alias("name"), "entries").write.mode(

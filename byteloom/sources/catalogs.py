@@ -13,13 +13,10 @@ from pyspark.sql import functions as F
 
 from byteloom import fixed_values as fixed
 
-# --- fixed values: columns of the conversion table and layout files -------
-LINEAR_COLUMNS = (
-    "ID", "Description", "Size", "Factor (m)", "Offset (b)", "Type", "Decimal Places", "Units",
-    "Scaled Min", "Scaled Max", "Raw Min", "Raw Max", "Encoding Name",
-)
-LAYOUT_COLUMNS = ("ByteBit", "ByteBit_Description", "Size", "Type", "Name", "ID")
-LEGACY_LAYOUT_COLUMNS = ("ByteBit", "ByteBit_Description", "Size", "Type", "Name")
+#: Columns a CSV file may have.
+CSV_COLUMNS = 64
+
+# --- fixed values: schemas of the layout and configuration documents -------
 ENTRY = (
     "struct<byte:string,description:string,size:string,type:string,name:string,id:string,"
     "default_value:string>"
@@ -39,34 +36,59 @@ def _pattern(template: str, ecu: str) -> str:
     )
 
 
+def _in_place(df: DataFrame, path: Column, tree: bool) -> DataFrame:
+    """Files whose folders are those their name says: <family>/<year>/<file>.
+
+    Copies kept in other folders, and files of another year, are not read.
+    """
+    if not tree:
+        return df
+    folder = r"/([^/]+)/([^/]+)/[^/]+$"
+    return df.filter(
+        (F.regexp_extract(path, folder, 1) == F.col("family"))
+        & (F.regexp_extract(path, folder, 2) == F.col("model_year"))
+    )
+
+
 def _read_csv(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    """CSV files below ``root`` as text columns with their file order."""
-    return (
-        spark.read.option("header", True)
+    """CSV files below ``root``: cells as text, each file's own header, and the row's place.
+
+    The files may have different columns in any order; see :func:`_text`.
+    Files are definition tables, so one file is one window partition.
+    """
+    cells = F.array(*[F.col(f"c{i}") for i in range(CSV_COLUMNS)])
+    rows = (
+        spark.read.schema(", ".join(f"c{i} string" for i in range(CSV_COLUMNS)))
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .csv(root)
         .select(
-            "*",
+            cells.alias("_cells"),
             F.col("_metadata.file_path").alias("_path"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_line"),
         )
     )
-
-
-def _with_row_order(df: DataFrame) -> DataFrame:
-    """Number the rows of each file; files are definition tables."""
     window = Window.partitionBy("_path").orderBy("_block", "_line")
-    return df.withColumn("row_ord", (F.row_number().over(window) - 1).cast("bigint"))
+    plain = F.transform("_cells", lambda c: F.trim(F.replace(c, F.lit("\ufeff"), F.lit(""))))
+    return (
+        rows.withColumns(
+            {
+                "_header": F.first(plain).over(window),
+                "row_ord": (F.row_number().over(window) - 2).cast("bigint"),
+            }
+        )
+        .filter(F.col("row_ord") >= 0)
+    )
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    return F.trim(F.col(name)).try_cast("double") if name in df.columns else F.lit(None).cast("double")
+def _text(name: str) -> Column:
+    """Cell of the named column; NULL where the file has no such column."""
+    return F.get("_cells", (F.array_position("_header", F.lit(name)) - 1).cast("int"))
 
 
-def _text(df: DataFrame, name: str) -> Column:
-    return F.col(name) if name in df.columns else F.lit(None).cast("string")
+def _number(name: str) -> Column:
+    return F.trim(_text(name)).try_cast("double")
 
 
 def whole_number(value: Column) -> Column:
@@ -77,50 +99,65 @@ def whole_number(value: Column) -> Column:
 
 
 def linear_tables(
-    spark: SparkSession, root: str, ecu: str = "BCM", glob: str | None = None
+    spark: SparkSession, root: str, ecu: str = "BCM", glob: str | None = None, tree: bool = True
 ) -> DataFrame:
-    """Linear conversion rows of all families and years below ``root``."""
+    """Linear conversion rows of all families and years below ``root``.
+
+    With ``tree`` only files in <root>/<family>/<year>/ count.
+    """
     glob = glob or fixed.LINEAR_FILE.format(ecu=ecu, family="*", year="*")
-    raw = _with_row_order(_read_csv(spark, root, glob))
+    raw = _read_csv(spark, root, glob)
     named = _pattern(fixed.LINEAR_FILE, ecu)
-    return raw.select(
+    rows = raw.select(
         F.regexp_extract("_path", named, 1).alias("family"),
         F.regexp_extract("_path", named, 2).alias("model_year"),
-        F.trim("ID").try_cast("bigint").alias("id"),
+        F.trim(_text("ID")).try_cast("bigint").alias("id"),
         "row_ord",
-        _number(raw, "Factor (m)").alias("factor"),
-        _number(raw, "Offset (b)").alias("offset"),
-        whole_number(F.col("Decimal Places")).alias("decimals"),
-        _text(raw, "Units").alias("units"),
-        _text(raw, "Raw Min").alias("raw_min"),
-        _text(raw, "Raw Max").alias("raw_max"),
-        _text(raw, "Encoding Name").alias("encoding_name"),
+        _number("Factor (m)").alias("factor"),
+        _number("Offset (b)").alias("offset"),
+        whole_number(_text("Decimal Places")).alias("decimals"),
+        _text("Units").alias("units"),
+        _text("Raw Min").alias("raw_min"),
+        _text("Raw Max").alias("raw_max"),
+        _text("Encoding Name").alias("encoding_name"),
+        _text("Description").alias("description"),
+        _text("Size").alias("size"),
+        _text("Type").alias("value_type"),
+        _number("Scaled Min").alias("scaled_min"),
+        _number("Scaled Max").alias("scaled_max"),
+        "_path",
     )
+    return _in_place(rows, F.col("_path"), tree).drop("_path")
 
 
 def enum_tables(
-    spark: SparkSession, root: str, ecu: str = "BCM", glob: str | None = None
+    spark: SparkSession, root: str, ecu: str = "BCM", glob: str | None = None, tree: bool = True
 ) -> DataFrame:
-    """Enumeration rows of all families and years below ``root``."""
+    """Enumeration rows of all families and years below ``root``; ``tree`` as for linear tables."""
     glob = glob or fixed.ENUM_FILE.format(ecu=ecu, family="*", year="*")
-    raw = _with_row_order(_read_csv(spark, root, glob))
+    raw = _read_csv(spark, root, glob)
     named = _pattern(fixed.ENUM_FILE, ecu)
-    return raw.select(
+    rows = raw.select(
         F.regexp_extract("_path", named, 1).alias("family"),
         F.regexp_extract("_path", named, 2).alias("model_year"),
-        F.trim("ID").try_cast("bigint").alias("id"),
+        F.trim(_text("ID")).try_cast("bigint").alias("id"),
         "row_ord",
-        F.col("Min").alias("min"),
-        F.col("Encoding Name").alias("encoding_name"),
+        _text("Min").alias("min"),
+        _text("Encoding Name").alias("encoding_name"),
+        "_path",
     )
+    return _in_place(rows, F.col("_path"), tree).drop("_path")
 
 
-def layout_documents(spark: SparkSession, root: str, ecu: str = "BCM") -> DataFrame:
-    """Layout documents below ``root``: (family, model_year, message, name, entries)."""
+def layout_documents(spark: SparkSession, root: str, ecu: str = "BCM", tree: bool = True) -> DataFrame:
+    """Layout documents below ``root``: (family, model_year, message, name, entries).
+
+    With ``tree`` only files in <root>/<family>/<year>/ count.
+    """
     glob = fixed.LAYOUT_FILE.format(ecu=ecu, message="*", family="*", year="*")
     named = _pattern(fixed.LAYOUT_FILE, ecu)
     path = F.col("_metadata.file_path")
-    return (
+    rows = (
         spark.read.schema(LAYOUT_SCHEMA)
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
@@ -132,8 +169,10 @@ def layout_documents(spark: SparkSession, root: str, ecu: str = "BCM") -> DataFr
             F.regexp_extract(path, named, 1).alias("message"),
             F.coalesce("name", F.lit("Unknown")).alias("layout_name"),
             "entries",
+            path.alias("_path"),
         )
     )
+    return _in_place(rows, F.col("_path"), tree).drop("_path")
 
 
 def explode_entries(documents: DataFrame) -> DataFrame:
@@ -143,8 +182,8 @@ def explode_entries(documents: DataFrame) -> DataFrame:
     return exploded.select(*keep, "ord", "entry.*")
 
 
-def load_layouts(spark: SparkSession, root: str, ecu: str = "BCM") -> DataFrame:
-    return explode_entries(layout_documents(spark, root, ecu))
+def load_layouts(spark: SparkSession, root: str, ecu: str = "BCM", tree: bool = True) -> DataFrame:
+    return explode_entries(layout_documents(spark, root, ecu, tree))
 
 
 def layout_csv(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
@@ -153,18 +192,18 @@ def layout_csv(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame
     The legacy files have no ID header: their Type column holds the name and
     their Name column the id.
     """
-    raw = _with_row_order(_read_csv(spark, root, glob))
-    legacy = "ID" not in raw.columns
+    raw = _read_csv(spark, root, glob)
+    legacy = F.array_position("_header", F.lit("ID")) == 0
     return raw.select(
         F.regexp_extract("_path", "([^/]+)$", 1).alias("file"),
         F.col("row_ord").cast("int").alias("ord"),
-        F.col("ByteBit").alias("byte"),
-        F.col("ByteBit_Description").alias("description"),
-        F.col("Size").alias("size"),
-        (F.lit(None).cast("string") if legacy else F.col("Type")).alias("type"),
-        F.col("Type" if legacy else "Name").alias("name"),
-        F.col("Name" if legacy else "ID").alias("id"),
-        _text(raw, "Default_Value").alias("default_value"),
+        _text("ByteBit").alias("byte"),
+        _text("ByteBit_Description").alias("description"),
+        _text("Size").alias("size"),
+        F.when(~legacy, _text("Type")).alias("type"),
+        F.when(legacy, _text("Type")).otherwise(_text("Name")).alias("name"),
+        F.when(legacy, _text("Name")).otherwise(_text("ID")).alias("id"),
+        _text("Default_Value").alias("default_value"),
     )
 
 
@@ -226,11 +265,6 @@ def config_lengths(config: DataFrame) -> DataFrame:
     )
 
 
-def config_pairs(config: DataFrame) -> DataFrame:
-    """Distinct (family, model_year) of a configuration."""
-    return config_lengths(config).select("family", "model_year").distinct()
-
-
 def length_catalog(
     spark: SparkSession,
     lengths: Mapping[str, Mapping[str, Mapping[str, int]]] = fixed.EXPECTED_LENGTHS,

@@ -8,11 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from byteloom.fixed_values import TIMESTAMP_FORMAT
-from byteloom.functions.names import message_columns
-
-__all__ = [
-    "scan", "date_window", "parse_time", "message_columns", "message_log", "log_lines", "spread",
-]
 
 
 def scan(spark: SparkSession, source: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -65,11 +60,3 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
         )
     )
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of few files as many partitions as there are task slots.
-
-    A scan of many files already has them and stays as it is.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
