@@ -33,8 +33,8 @@ CHECKSUM_FLAG = 0x80
 
 #: Ids in a frame, unless one document has more.
 FRAME_IDS = 1 << 16
-#: Words whose ids a worker remembers, and the longest of them in bytes.
-KNOWN_WORDS, KNOWN_BYTES = 400_000, 48
+#: Words whose ids a worker remembers in each of two generations, and the longest of them in bytes.
+KNOWN_WORDS, KNOWN_BYTES = 600_000, 48
 
 INDEX = np.dtype([("doc_id", "<i8"), ("is_null", "u1"), ("frame", "<u4"), ("at", "<u8"), ("n", "<u8")])
 
@@ -138,7 +138,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(self.path)
-        self.known: dict[bytes, bytes] = {}
+        # When the recent words are many, they become the older ones, and words
+        # that are met again move back; so frequent words stay.
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -146,17 +149,22 @@ class Encoder:
 
     def encode_words(self, texts: list[list[bytes]]) -> list[list[bytes]]:
         """Ids of every word of every text."""
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        fresh = list(set().union(*texts).difference(self.known)) if texts else []
-        known, once = self.known, {}
+        if len(self.recent) > KNOWN_WORDS:
+            self.recent, self.older = {}, self.recent
+        recent, older, once = self.recent, self.older, {}
+        met = set().union(*texts).difference(recent) if texts else set()
+        again = met.intersection(older)
+        recent.update(zip(again, map(older.__getitem__, again)))
+        fresh = list(met.difference(again))
         for start in range(0, len(fresh), 50_000):
             some = fresh[start : start + 50_000]
             coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
             for word, code in zip(some, coded):
                 ids = np.array(code.ids, "<u4").tobytes()
-                (known if len(word) <= KNOWN_BYTES else once)[word] = ids
-        get = {**known, **once}.__getitem__ if once else known.__getitem__
+                (recent if len(word) <= KNOWN_BYTES else once)[word] = ids
+        if once:
+            return [[recent[w] if w in recent else once[w] for w in words] for words in texts]
+        get = recent.__getitem__
         return [list(map(get, words)) for words in texts]
 
 
