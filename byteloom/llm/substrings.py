@@ -27,7 +27,7 @@ from byteloom.llm import common, suffixarray
 
 LENGTH, ANCHOR = 400, 64
 #: Different segments of one anchor in a suffix-array block.
-BUCKET_SEGMENTS = 256
+BUCKET_SEGMENTS = 4096
 #: Segments in a block, of all its anchors.
 BLOCK_SEGMENTS = 8_000
 #: Bytes of a text whose windows are found at once.
@@ -151,7 +151,7 @@ _PART = "id bigint, text_key bigint, start bigint, windows int"
 
 def _cut(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """The wanted segments with their bytes; a text is read once for all of them."""
-    lists = wanted.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "windows", "anchor", "kinds", "times")).alias("parts"))
+    lists = wanted.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "windows", "place", "anchor", "kinds")).alias("parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,9 +170,9 @@ def _cut(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
     schema = pa.schema(
         [("id", pa.int64()), ("text_key", pa.int64()), ("start", pa.int64()), ("windows", pa.int32()), ("anchor", pa.int64()),
-         ("kinds", pa.int64()), ("times", pa.int64()), ("bytes", pa.binary())]
+         ("place", pa.int32()), ("kinds", pa.int64()), ("bytes", pa.binary())]
     )
-    return rows.join(lists, ["id", "text_key"]).mapInArrow(run, f"{_PART}, anchor bigint, kinds bigint, times bigint, bytes binary")
+    return rows.join(lists, ["id", "text_key"]).mapInArrow(run, f"{_PART}, anchor bigint, place int, kinds bigint, bytes binary")
 
 
 def _by_blocks(cut: DataFrame, length: int) -> DataFrame:
@@ -188,8 +188,14 @@ def _by_blocks(cut: DataFrame, length: int) -> DataFrame:
                 picked.append(i)
         table = table.take(picked)
         pieces = table["bytes"].to_pylist()
-        sizes = np.array([len(p) for p in pieces])
-        offset = np.cumsum(sizes) - sizes
+        # Every anchor lies on a multiple of the period, so equal windows have one residue.
+        period, offset, end = suffixarray.PERIOD, [], 0
+        for i, place in enumerate(table["place"].to_pylist()):
+            gap = -(end + place) % period
+            pieces[i] = bytes(gap) + pieces[i]
+            offset.append(end + gap)
+            end += len(pieces[i])
+        offset = np.array(offset, np.int64)
         windows = table["windows"].to_numpy().astype(np.int64)
         starts = np.concatenate([np.arange(o, o + w) for o, w in zip(offset, windows)])
         marked = suffixarray.repeated(b"".join(pieces), starts, length)
@@ -237,13 +243,16 @@ def _by_digests(cut: DataFrame, length: int) -> DataFrame:
 
 def repeated_windows(rows: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """(id, text_key, start, windows): runs of windows that also start anywhere else."""
-    found = common.checkpointed(_segments(rows, length, anchor).join(_anchors(rows, length, anchor), "anchor"))
+    # Both sides of the joins come from shuffles of their own, so that Spark can split a hot anchor.
+    again = common.checkpointed(_anchors(rows, length, anchor))
+    found = common.checkpointed(_segments(rows, length, anchor).join(again, "anchor"))
     kinds = found.groupBy("anchor", "a", "b").agg(
-        F.count("*").alias("times"), F.min(F.struct("id", "text_key", "start", "windows")).alias("first")
+        F.count("*").alias("times"), F.min(F.struct("id", "text_key", "start", "windows", "place")).alias("first")
     )
     whole = found.join(kinds.where("times > 1").select("anchor", "a", "b"), ["anchor", "a", "b"], "left_semi")
-    many = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    mixed = kinds.join(many, "anchor").select("anchor", "kinds", "times", "first.*")
+    kinds = common.checkpointed(kinds)
+    many = common.checkpointed(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    mixed = kinds.join(many, "anchor").select("anchor", "kinds", "first.*")
     cut = common.checkpointed(_cut(rows, mixed))
     few = F.col("kinds") <= BUCKET_SEGMENTS
     return (

@@ -60,25 +60,46 @@ def _order(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def sample_ranks(text: Text) -> np.ndarray:
     """Ranks of all suffixes that start on the cover; -1 elsewhere."""
-    size = text.size + PERIOD
+    size = text.size
     at = (np.arange(-(-size // PERIOD))[:, None] * PERIOD + COVER[None, :]).ravel()
     at = at[at < size]
-    rank = np.full(size + PERIOD, -1, np.int64)
-    order, new = _order([text.word(np.minimum(at + 8 * i, text.size + PERIOD)) for i in range(PERIOD // 8)])
+    rank = np.full(size + 2 * PERIOD, -1, np.int64)
+    order, new = _order([text.word(at + 8 * i) for i in range(PERIOD // 8)])
     rank[at[order]] = np.cumsum(new)
     known = PERIOD
     # Doubled until no two are alike, so that comparisons at different shifts agree.
     while not new.all() and known < 2 * size:
         # A position one length further is on the cover too; beyond the end all are alike.
         further = np.where(at + known < len(rank), rank[np.minimum(at + known, len(rank) - 1)], 0)
-        order, new = _order([rank[at], further])
+        key = rank[at] << 32 | np.maximum(further, 0)
+        order = np.argsort(key)
+        key = key[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
         rank[at[order]] = np.cumsum(new)
         known *= 2
     return rank
 
 
 def _resolve(starts: np.ndarray, group: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Sort starts within groups of equal first PERIOD bytes, by merges that compare sample ranks.
+    """Sort starts within groups of equal first PERIOD bytes by sample ranks.
+
+    Starts of one residue share their shift, so a group of one residue is
+    sorted by the ranks there.  Groups of several residues are merged.
+    """
+    residue = starts % PERIOD
+    begin = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    size = np.diff(np.append(begin, len(group)))
+    alike = np.repeat(np.maximum.reduceat(residue, begin) == np.minimum.reduceat(residue, begin), size)
+    out = starts.copy()
+    own = starts[alike]
+    out[alike] = own[np.lexsort((rank[own + SHIFTS[residue[alike], residue[alike]]], group[alike]))]
+    if not alike.all():
+        out[~alike] = _merge(starts[~alike], group[~alike], rank)
+    return out
+
+
+def _merge(starts: np.ndarray, group: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Sort within groups by comparing pairs at the shift of their residues.
 
     All groups are merged at once, level by level: every start finds its place
     among the sibling run by a binary search.
@@ -158,7 +179,7 @@ def repeated(data: bytes, starts: np.ndarray, length: int) -> np.ndarray:
             some = np.concatenate([last, some])
         a, b = some[:-1], some[1:]
         alike = np.arange(len(a))
-        for at in [*range(0, length - 7, 8), length - 8]:
+        for at in [*range(0, length - 8, 8), length - 8]:
             alike = alike[text.words[a[alike] + at] == text.words[b[alike] + at]]
             if not len(alike):
                 break
