@@ -2,8 +2,9 @@
 
 P(grade >= k) = sigmoid(w . x - t_k) with one weight vector and ordered
 thresholds t_1 < ... < t_K; the expected severity is the sum of these
-probabilities.  x holds log(1 + count) of the words that tell toxic from clean
-labelled documents apart.
+probabilities.  x holds log(1 + count) of the words that toxic labelled
+documents have more often than clean ones; a text without any has latent
+score 0, as most clean documents.
 
 The labels are 0 or 1.  Grades of toxic documents are the terciles of their
 number of telling words: 1 to 3; clean documents have grade 0.
@@ -120,7 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     told = (
         counts.where(F.col("a") + F.col("b") >= LEAST_DOCUMENTS)
         .select("word", odds.alias("odds"), (odds / error).alias("z"))
-        .orderBy(F.abs("z").desc(), "word")
+        .where(F.col("odds") > 0)
+        .orderBy(F.col("z").desc(), "word")
         .limit(FEATURES)
         .collect()
     )
@@ -138,10 +140,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         .agg(F.count("*").alias("n"))
         .toArrow()
     )
-    ids, rows = np.unique(found["doc_id"].to_numpy(), return_inverse=True)
+    # At most sample_rows ids: documents without any of the words count too.
+    read = docs.select("doc_id").join(F.broadcast(picked), "doc_id").distinct().toArrow()
+    order = np.argsort(read["doc_id"].to_numpy())
+    ids, toxic = read["doc_id"].to_numpy()[order], read["toxic"].to_numpy()[order].astype(int)
+    rows = np.searchsorted(ids, found["doc_id"].to_numpy())
     columns, n = found["i"].to_numpy(), found["n"].to_numpy().astype(float)
-    toxic = np.zeros(len(ids), int)
-    toxic[rows] = found["toxic"].to_numpy()
     severity = np.bincount(rows, n * telling[columns], len(ids))
     cuts = np.quantile(severity[toxic == 1], [1 / 3, 2 / 3]) if toxic.any() else [0, 0]
     grades = np.where(toxic == 1, 1 + (severity > cuts[0]).astype(int) + (severity > cuts[1]), 0)
