@@ -79,6 +79,8 @@ def with_length_columns(
 ) -> DataFrame:
     """valid_length_<m>, has_valid_length_<m> and the flag over all messages."""
     existing = {m: c for m, c in hex_columns.items() if c in df.columns}
+    if not existing:
+        return df.withColumn(ALL_VALID, F.lit(True))
     checked = with_lengths(df, lengths, list(existing), "valid_length_{}")
     flags = {
         f"has_valid_length_{m}": F.coalesce(
@@ -86,8 +88,6 @@ def with_length_columns(
         )
         for m, c in existing.items()
     }
-    if not existing:
-        return df.withColumn(ALL_VALID, F.lit(True))
     flags[ALL_VALID] = reduce(and_, flags.values())
     return checked.withColumns(flags)
 

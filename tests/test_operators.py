@@ -198,3 +198,72 @@ def test_scratch_folder_is_below_the_named_one(spark, tmp_path):
 
     assert tables.scratch_folder(Named).startswith("/shared/checkpoints/")
     assert tables.scratch_folder(Named) != tables.scratch_folder(Named)
+
+
+def test_fill_and_chunks_across_a_clock_change(spark):
+    """Instants decide the order: 01:59 EDT comes before 01:05 EST of the same night."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from byteloom.operators import timeline
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        start = 1730610000  # 2024-11-03 01:00 EDT
+        rows = [(i, start + i * 131, float(i) if i % 4 == 0 else None) for i in range(60)]
+        frame = spark.createDataFrame(rows, "i int, s bigint, a double").select(
+            "i", F.timestamp_seconds("s").alias("app_timestamp"), "a", F.lit("v").alias("vin")
+        )
+        whole = Window.partitionBy("vin").orderBy("app_timestamp").rowsBetween(Window.unboundedPreceding, 0)
+        want = {r.i: r.x for r in frame.withColumn("x", F.last("a", True).over(whole)).collect()}
+        for unit in ("day", "hour", "minute", "second"):
+            got = {r.i: r.a_reference for r in timeline.forward_fill(frame, ["a"], unit=unit).collect()}
+            assert got == want, unit
+            chunks = timeline.row_chunks(frame, 7, groups=["vin"], unit=unit)
+            assert {r.i: r.chunk for r in chunks.collect()} == {i: i // 7 for i in range(60)}, unit
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_repeated_catalog_keys_are_refused(spark):
+    import pytest
+
+    from byteloom.operators.catalog import compile_catalog
+    from byteloom.plans import fixtures as fx
+
+    layouts = fx.layouts(spark)
+    with pytest.raises(ValueError, match="more than once"):
+        compile_catalog(layouts.union(layouts.limit(1)), fx.linear_table(spark), fx.enum_table(spark))
+
+
+def test_bounds_of_many_digits(spark):
+    from pyspark.sql import functions as F
+
+    from byteloom.functions.convert import hex_bound
+
+    texts = ["$FF", "00000000000000000001F", "7FFFFFFFFFFFFFFF", "$8000000000000000", "FFFFFFFFFFFFFFFFFFFF", "xyz", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", hex_bound(F.col("t")).alias("exact"), hex_bound(F.col("t"), upper=True).alias("upper")
+    )
+    top = 2**63 - 1
+    assert [(r.exact, r.upper) for r in rows.collect()] == [
+        (255, 255), (31, 31), (top, top), (None, top), (None, top), (None, None), (None, None)
+    ]
+
+
+def test_checks_without_message_columns(spark):
+    from byteloom.operators import validate
+    from byteloom.plans import fixtures as fx
+
+    rows = spark.createDataFrame([("MA", "2025")], "family string, model_year string")
+    assert validate.any_length_matches(rows, fx.lengths(spark), {"A": "absent"}).collect() == rows.collect()
+    assert validate.with_length_columns(rows, fx.lengths(spark), {"A": "absent"}).columns[-1] == validate.ALL_VALID
+
+
+def test_date_by_pattern(spark):
+    from byteloom.operators.reshape import add_date
+
+    rows = spark.createDataFrame([("11-03-2024",), ("2024-11-03",), (None,)], "app_timestamp string")
+    got = [r.dt and str(r.dt) for r in add_date(rows, pattern="MM-dd-yyyy").collect()]
+    assert got == ["2024-11-03", None, None]
