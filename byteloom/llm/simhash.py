@@ -24,6 +24,9 @@ SEED = 42
 #: Buckets up to this size compare all their pairs; larger ones link by stars.
 SMALL_BUCKET = 16
 
+#: The stage: rounds of leaders, and rows of a bucket that then compare all their pairs.
+LEADERS, LEFT_BUCKET = 4, 256
+
 #: The contract's form: 3-word shingles, 64 bits, links at 2 bits; 2 of 4 blocks stay whole.
 BLOCKS, WHOLE = 4, 2
 
@@ -234,8 +237,9 @@ def similar_links(nodes: DataFrame) -> DataFrame:
 
     Every bucket compares its rows with its least node; rows that are not
     close to it go on to the next round, where the least of them leads.  A
-    dense bucket is done after one round whatever its size; buckets of up to
-    SMALL_BUCKET rows compare all their pairs instead.
+    dense bucket is done after one round whatever its size.  Buckets of up to
+    SMALL_BUCKET rows, and of up to LEFT_BUCKET that LEADERS rounds left, compare
+    all their pairs instead.
     """
     limit = int(64 * STAGE_WORDS * STAGE_SHARE)
     keyed = nodes.select("node", F.explode("blocks").alias("block"))
@@ -247,16 +251,16 @@ def similar_links(nodes: DataFrame) -> DataFrame:
             lambda x, y: x + y, (distance(F.col(a)[i], F.col(b)[i]) for i in range(STAGE_WORDS))
         )
 
-    small = met.where(F.col("n") <= SMALL_BUCKET)
-    other = small.select("block", F.col("node").alias("other"), F.col("signature").alias("its"))
-    found = (
-        small.join(other, "block")
-        .where((F.col("node") > F.col("other")) & (apart("signature", "its") <= limit))
-        .select(F.col("node").alias("u"), F.col("other").alias("v"))
-        .distinct()
-    )
-    found = common.checkpointed(found)
-    open_rows = met.where(F.col("n") > SMALL_BUCKET).drop("n")
+    def pairs(rows: DataFrame) -> DataFrame:
+        other = rows.select("block", F.col("node").alias("other"), F.col("signature").alias("its"))
+        return (
+            rows.join(other, "block")
+            .where((F.col("node") > F.col("other")) & (apart("signature", "its") <= limit))
+            .select(F.col("node").alias("u"), F.col("other").alias("v"))
+        )
+
+    found = common.checkpointed(pairs(met.where(F.col("n") <= SMALL_BUCKET)).distinct())
+    open_rows, rounds = met.where(F.col("n") > SMALL_BUCKET).drop("n"), 0
     while not open_rows.isEmpty():
         lead = open_rows.groupBy("block").agg(F.min(F.struct("node", "signature")).alias("lead"))
         round_ = common.checkpointed(
@@ -265,10 +269,13 @@ def similar_links(nodes: DataFrame) -> DataFrame:
             .where(F.col("node") != F.col("hub"))
             .withColumn("close", apart("signature", "its") <= limit)
         )
-        found = common.checkpointed(
-            found.union(round_.where("close").select(F.col("node").alias("u"), F.col("hub").alias("v"))).distinct()
-        )
-        open_rows = round_.where(~F.col("close")).select("block", "node", "signature")
+        rest = round_.where(~F.col("close")).select("block", "node", "signature")
+        rounds += 1
+        bound = SMALL_BUCKET if rounds < LEADERS else LEFT_BUCKET
+        left = common.checkpointed(rest.join(rest.groupBy("block").agg(F.count("*").alias("n")), "block"))
+        links = round_.where("close").select(F.col("node").alias("u"), F.col("hub").alias("v"))
+        found = common.checkpointed(found.union(links).union(pairs(left.where(F.col("n") <= bound))).distinct())
+        open_rows = left.where(F.col("n") > bound).drop("n")
     return found
 
 
