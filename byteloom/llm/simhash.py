@@ -3,13 +3,13 @@
 A fingerprint is cut into blocks.  Fingerprints that differ in few bits leave
 some blocks whole, so they meet in a bucket of those blocks; only rows of one
 bucket are compared.  Equal fingerprints are one node throughout, so copies
-never make pairs.
+never make pairs.  The stage of the pipeline compares shingle sets themselves,
+which meet by a prefix of each set.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -21,19 +21,17 @@ from pyspark.sql import functions as F
 from byteloom.llm import common
 
 SEED = 42
-#: Buckets up to this size compare all their pairs; larger ones link by stars.
+#: Buckets up to this size compare all their pairs; larger ones link by stars, those of the stage in cells.
 SMALL_BUCKET = 16
 
-#: The stage: rounds of leaders, and rows of a bucket that then compare all their pairs.
-LEADERS, LEFT_BUCKET = 4, 256
+#: The stage: rows of a block of a large bucket, and shingles that a cell compares at a time.
+CELL, SLAB = 256, 4096
 
 #: The contract's form: 3-word shingles, 64 bits, links at 2 bits; 2 of 4 blocks stay whole.
 BLOCKS, WHOLE = 4, 2
 
-#: The near-duplicate stage: 5-word shingles, similarity 0.8.
-STAGE_SHINGLE, STAGE_WORDS, STAGE_TABLES, STAGE_BLOCK = 5, 4, 24, 32
-#: Equal shares of set members of 0.8 are a cosine of 0.89, an angle of 0.151 of a half turn.
-STAGE_SHARE = 0.151
+#: The near-duplicate stage: 5-word shingles, similarity 0.8; counters that order shingles.
+STAGE_SHINGLE, COUNTERS = 5, 1 << 18
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _LANES = (np.arange(8) * 256)[None, :]
@@ -199,99 +197,230 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the stage: 5-word shingles, similarity 0.8 --------------------------------
 
 
+def shingle_set(text: str) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the runs of 5 words; fewer words give one run of them all."""
+    words = hashes(text.encode().lower().split())
+    if not len(words):
+        return words
+    k = min(STAGE_SHINGLE, len(words))
+    n = len(words) - k + 1
+    runs = np.full(n, k, np.uint64)
+    for i in range(k):
+        runs = mixed(runs ^ words[i : i + n], i)
+    return np.unique(runs)
+
+
+def counters(docs: DataFrame, text_col: str) -> np.ndarray:
+    """How many shingles of the texts fall on each of COUNTERS; they only order shingles, rare ones first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                sets = [shingle_set(t.as_py()) for t in batch.column(0)[start : start + 256]]
+                total += np.bincount((np.concatenate(sets) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        found = np.nonzero(total)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["counter", "n"])
+
+    # At most COUNTERS rows, whatever the corpus.
+    rows = docs.select(common.text_of(text_col).alias("body")).mapInArrow(run, "counter bigint, n bigint")
+    rows = rows.groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(COUNTERS, np.int64)
+    out[rows["counter"].to_numpy()] = rows["n"].to_numpy()
+    return out
+
+
+def prefix(grams: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The first shingles in the order of all texts; two sets of share 0.8 or more have one of them in common.
+
+    A set of n has at least 4n/5 members in common with any such other set, so
+    the first of the common ones is among the first n - ceil(4n/5) + 1 of both.
+    """
+    n = len(grams)
+    order = np.lexsort((grams, count[(grams % np.uint64(COUNTERS)).astype(np.int64)]))
+    return grams[order[: n - (4 * n + 4) // 5 + 1]]
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, body_a, body_b, blocks, signature) of every row.
+    """(id, body_a, body_b, node, size, tokens) of every row.
 
-    `signature` is a 256-bit SimHash of the set of 5-word shingles: its
-    distance is what decides.  `blocks` are the 32-bit blocks of a 768-bit
-    SimHash of the set of words, of which an edited word touches one member
-    instead of five; they only find candidates.
+    `node` is a hash of the set of 5-word shingles, `size` their number and
+    `tokens` the prefix of the set by which it meets others.
     """
+    count = docs.sparkSession.sparkContext.broadcast(counters(docs, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks, marks = [], []
+            nodes, sizes, tokens = [], [], []
             for t in batch.column(3):
-                text = t.as_py()
-                words = hashes(list(set(text.encode().lower().split())))
-                runs = hashes(list(set(shingles(text, STAGE_SHINGLE))))
-                by_word = np.array([majority(mixed(words, i)) for i in range(STAGE_TABLES // 2)], np.uint64)
-                halves = by_word.view(np.uint32).astype(np.int64)
-                blocks.append(halves + (np.arange(STAGE_TABLES, dtype=np.int64) << 32))
-                marks.append(np.array([majority(mixed(runs, 100 + i)) for i in range(STAGE_WORDS)], np.uint64).view(np.int64))
+                grams = shingle_set(t.as_py())
+                nodes.append(xxhash.xxh64_intdigest(grams.tobytes(), SEED))
+                sizes.append(len(grams))
+                tokens.append(prefix(grams, count.value).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(3)), pa.array(blocks, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64()))],
-                ["id", "body_a", "body_b", "blocks", "signature"],
+                [
+                    *(batch.column(i) for i in range(3)), pa.array(np.array(nodes, np.uint64).view(np.int64)),
+                    pa.array(sizes, pa.int64()), pa.array(tokens, pa.list_(pa.int64())),
+                ],
+                ["id", "body_a", "body_b", "node", "size", "tokens"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
     body = common.text_of(text_col)
     return docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(body).alias("body_a"),
-        F.xxhash64(F.lit(1), body).alias("body_b"), body.alias("body"),
-    ).mapInArrow(run, f"id {kind}, body_a bigint, body_b bigint, blocks array<bigint>, signature array<bigint>")
+        F.col(id_col).alias("id"), *body_keys(body), body.alias("body")
+    ).mapInArrow(run, f"id {kind}, body_a bigint, body_b bigint, node bigint, size bigint, tokens array<bigint>")
+
 
+def body_keys(body: Column) -> list[Column]:
+    return [F.xxhash64(body).alias("body_a"), F.xxhash64(F.lit(1), body).alias("body_b")]
 
-def similar_links(nodes: DataFrame) -> DataFrame:
-    """(u, v) links of signature nodes (node, blocks, signature) at similarity 0.8.
 
-    Every bucket compares its rows with its least node; rows that are not
-    close to it go on to the next round, where the least of them leads.  A
-    dense bucket is done after one round whatever its size.  Buckets of up to
-    SMALL_BUCKET rows, and of up to LEFT_BUCKET that LEADERS rounds left, compare
-    all their pairs instead.
+def sets_of(docs: DataFrame, some: DataFrame, text_col: str) -> DataFrame:
+    """(node, grams): the shingle sets of the nodes of `some` (node, body_a, body_b), one text for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = [shingle_set(t.as_py()).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.list_(pa.int64()))], ["node", "grams"])
+
+    body = common.text_of(text_col)
+    texts = docs.select(body.alias("body"), *body_keys(body)).join(some, ["body_a", "body_b"]).select("node", "body")
+    return texts.mapInArrow(run, "node bigint, grams array<bigint>").dropDuplicates(["node"])
+
+
+def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect what the pairs of share 0.8 or more connect; all pairs are compared."""
+    n = len(sets)
+    size = np.array([len(s) for s in sets])
+    values, place = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(n), size)
+    shared = np.bincount(place, minlength=len(values)) > 1
+    keep = shared[place]
+    row, place = row[keep], (np.cumsum(shared) - 1)[place[keep]]
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    both = np.zeros((n, n), np.float32)
+    for start in range(0, int(shared.sum()), SLAB):
+        lo, hi = np.searchsorted(place, [start, start + SLAB])
+        here = np.zeros((n, min(SLAB, int(place[hi - 1]) - start + 1)), np.float32)
+        here[row[lo:hi], place[lo:hi] - start] = 1
+        both += here @ here.T
+    near = 9 * both.astype(np.int64) >= 4 * (size[:, None] + size[None, :])
+    links, fresh = [], np.ones(n, bool)
+    for first in range(n):
+        if not fresh[first]:
+            continue
+        fresh[first], open_ = False, [first]
+        while open_:
+            at = open_.pop()
+            met = np.nonzero(near[at] & fresh)[0].tolist()
+            fresh[met] = False
+            open_ += met
+            links += [(at, other) for other in met]
+    return links
+
+
+def cell_links(cells: DataFrame, grams: DataFrame) -> DataFrame:
+    """(u, v) links of the cells (cell, node); each compares all its pairs and has some hundred rows."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        nodes = rows["node"].to_numpy()
+        links = forest([g.values.to_numpy() for g in rows["grams"]]) if len(nodes) > 1 else []
+        u, v = nodes[[a for a, _ in links]], nodes[[b for _, b in links]]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return cells.join(grams, "node").select("cell", "node", "grams").groupBy("cell").applyInArrow(run, "u bigint, v bigint")
+
+
+def with_roots(met: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold more than one component of the links, with `root`."""
+    rooted = met.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
+    return common.checkpointed(rooted.join(several, "token"))
+
+
+def similar_links(nodes: DataFrame, grams_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(u, v) links that connect all nodes (node, size, tokens) whose shingle sets share 0.8 or more.
+
+    Nodes meet in a bucket of each of their tokens.  First every node is
+    compared within its largest bucket, in cells of CELL rows, and the links
+    found are made components.  Then a bucket of several components compares
+    all pairs of different ones: small buckets as pairs, large ones in cells of
+    two blocks, of which one at least is outside the largest component.  Only
+    pairs that are connected already are not compared, so no link is lost
+    whatever the size of a bucket.
     """
-    limit = int(64 * STAGE_WORDS * STAGE_SHARE)
-    keyed = nodes.select("node", F.explode("blocks").alias("block"))
-    sizes = keyed.groupBy("block").agg(F.count("*").alias("n")).where("n > 1")
-    met = common.checkpointed(keyed.join(sizes, "block").join(nodes.select("node", "signature"), "node"))
-
-    def apart(a: str, b: str) -> Column:
-        return reduce(
-            lambda x, y: x + y, (distance(F.col(a)[i], F.col(b)[i]) for i in range(STAGE_WORDS))
-        )
-
-    def pairs(rows: DataFrame) -> DataFrame:
-        other = rows.select("block", F.col("node").alias("other"), F.col("signature").alias("its"))
-        return (
-            rows.join(other, "block")
-            .where((F.col("node") > F.col("other")) & (apart("signature", "its") <= limit))
-            .select(F.col("node").alias("u"), F.col("other").alias("v"))
-        )
-
-    found = common.checkpointed(pairs(met.where(F.col("n") <= SMALL_BUCKET)).distinct())
-    open_rows, rounds = met.where(F.col("n") > SMALL_BUCKET).drop("n"), 0
-    while not open_rows.isEmpty():
-        lead = open_rows.groupBy("block").agg(F.min(F.struct("node", "signature")).alias("lead"))
-        round_ = common.checkpointed(
-            open_rows.join(lead, "block")
-            .select("block", "node", "signature", F.col("lead.node").alias("hub"), F.col("lead.signature").alias("its"))
-            .where(F.col("node") != F.col("hub"))
-            .withColumn("close", apart("signature", "its") <= limit)
-        )
-        rest = round_.where(~F.col("close")).select("block", "node", "signature")
-        rounds += 1
-        bound = SMALL_BUCKET if rounds < LEADERS else LEFT_BUCKET
-        left = common.checkpointed(rest.join(rest.groupBy("block").agg(F.count("*").alias("n")), "block"))
-        links = round_.where("close").select(F.col("node").alias("u"), F.col("hub").alias("v"))
-        found = common.checkpointed(found.union(links).union(pairs(left.where(F.col("n") <= bound))).distinct())
-        open_rows = left.where(F.col("n") > bound).drop("n")
-    return found
+    keyed = nodes.select("node", "size", F.posexplode("tokens").alias("place", "token"))
+    member = F.xxhash64("node")
+    sizes = keyed.groupBy("token").agg(
+        F.count("*").alias("n"), F.bit_xor(member).alias("x"), F.sum(F.shiftright(member, 20)).alias("s")
+    ).where("n > 1")
+    # Of large buckets of the same nodes one is enough; small ones keep their places for the bound below.
+    large_sizes = sizes.where(F.col("n") > SMALL_BUCKET).groupBy("n", "x", "s").agg(F.min("token").alias("token"))
+    sizes = sizes.where(F.col("n") <= SMALL_BUCKET).select("token", "n").union(large_sizes.select("token", "n"))
+    met = common.checkpointed(keyed.join(sizes, "token"))
+    grams = common.checkpointed(grams_of(met.select("node").distinct()))
+
+    block = F.ceil(F.col("n") / CELL)
+    top = met.groupBy("node").agg(F.max(F.struct("n", "token")).alias("top")).select("node", "top.n", "top.token")
+    cells = top.select(
+        "node", "token", block.alias("blocks"), F.explode(F.sequence(F.lit(0), F.when(F.col("n") > CELL, 1).otherwise(0))).alias("salt")
+    ).select("node", F.struct("token", "salt", F.pmod(F.xxhash64("node", "salt"), "blocks").alias("block")).alias("cell"))
+    found = common.checkpointed(cell_links(cells, grams))
+    rest = with_roots(met, found)
+
+    small = rest.where(F.col("n") <= SMALL_BUCKET)
+    other = small.select("token", *(F.col(c).alias(f"its_{c}") for c in ("node", "size", "place", "root")))
+    # The first token that two sets have in common leaves room for the share that is asked for.
+    room = F.least(F.col("size") - F.col("place"), F.col("its_size") - F.col("its_place"))
+    pairs = (
+        small.join(other, "token")
+        .where((F.col("node") > F.col("its_node")) & (F.col("root") != F.col("its_root")))
+        .where(9 * room >= 4 * (F.col("size") + F.col("its_size")))
+        .select(F.col("node").alias("u"), F.col("its_node").alias("v")).distinct()
+        .join(grams.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u")
+        .join(grams.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
+        .where(9 * F.size(F.array_intersect("a", "b")) >= 4 * (F.size("a") + F.size("b")))
+        .select("u", "v")
+    )
+    found = common.checkpointed(found.union(pairs))
+
+    rest = with_roots(met.where(F.col("n") > SMALL_BUCKET), found)
+    main = (
+        rest.groupBy("token", "root").agg(F.count("*").alias("of_root"))
+        .groupBy("token").agg(F.max(F.struct("of_root", "root")).alias("main"))
+        .select("token", F.col("main.root").alias("main"), F.col("main.of_root").alias("of_main"))
+    )
+    outside, inside = F.ceil((F.col("n") - F.col("of_main")) / CELL), F.ceil(F.col("of_main") / CELL)
+    is_main = F.col("root") == F.col("main")
+    own = F.when(is_main, F.col("outside") + F.pmod(F.xxhash64("node"), "inside")).otherwise(F.pmod(F.xxhash64("node"), "outside"))
+    against = F.when(is_main, F.col("outside")).otherwise(F.col("outside") + F.col("inside"))
+    cells = (
+        rest.join(main, "token").withColumn("outside", outside).withColumn("inside", inside)
+        .select("node", "token", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), against - 1)).alias("its"))
+        .select("node", F.struct("token", F.least("own", "its").alias("a"), F.greatest("own", "its").alias("b")).alias("cell"))
+    )
+    return common.checkpointed(found.union(cell_links(cells, grams)).distinct())
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` without near duplicates: the least id of each group stays.
 
-    Near means a similarity of 0.8 of the sets of 5-word shingles, as the
-    distance of 256-bit SimHashes estimates it; groups are what such links
-    connect.  NULL is the empty text; texts without words are one group.  Of
-    repeated rows one stays; a NULL id stays only where a group has no other.
+    Near means that the sets of 5-word shingles share 0.8 or more of their
+    union; groups are what such links connect.  NULL is the empty text; texts
+    without words are one group.  Of repeated rows one stays; a NULL id stays
+    only where a group has no other.
     """
     rows = common.checkpointed(signatures(docs, id_col, text_col))
-    node = F.xxhash64(F.to_json(F.struct("blocks", "signature")))
-    rows = rows.withColumn("node", node)
-    nodes = common.checkpointed(rows.groupBy("node").agg(F.first("blocks").alias("blocks"), F.first("signature").alias("signature")))
-    roots = components(similar_links(nodes))
+    nodes = rows.groupBy("node").agg(F.first("size").alias("size"), F.first("tokens").alias("tokens"))
+
+    def grams_of(some: DataFrame) -> DataFrame:
+        body = F.min(F.struct("body_a", "body_b")).alias("body")
+        texts = rows.join(some, "node").groupBy("node").agg(body).select("node", "body.body_a", "body.body_b")
+        return sets_of(docs, texts, text_col)
+
+    roots = components(similar_links(nodes, grams_of))
     rank = F.struct(F.col("id").isNull().alias("null_id"), F.col("id"), F.col("body_a"), F.col("body_b"))
     best = rows.groupBy("node").agg(F.min(rank).alias("best")).join(
         roots.withColumnRenamed("node", "n2"), F.col("node") == F.col("n2"), "left"

@@ -148,3 +148,47 @@ def test_near_duplicate_stage(docs, texts):
     assert all(ids[i] for i in clean if len((texts[i][1] or "").split()) > 5)
     # A passage that texts share does not make them duplicates.
     assert sum(ids[i] for i in range(110, 122)) >= 10
+
+
+def stage_set(text):
+    w = text.lower().split()
+    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def shares(a, b):
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
+def kept_by_brute_force(texts):
+    sets = [stage_set(t) for t in texts]
+    root = by_components(range(len(texts)), lambda a, b: shares(sets[a], sets[b]))
+    least = {}
+    for i in range(len(texts)):
+        least.setdefault(root[i], i)
+    return sorted(least.values())
+
+
+def stage(spark, texts):
+    from byteloom.llm import common
+
+    common.share_package(spark)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    return sorted(r.doc_id for r in simhash.drop_near_duplicates(rows).collect())
+
+
+def test_stage_links_copies_that_tie_only_through_the_original(spark):
+    """1,000 edited copies, near to the original but hardly to each other, are one group whatever the bucket's size."""
+    rng = random.Random(11)
+    original = [f"w{i}" for i in range(220)]
+    copies = []
+    for i in range(1000):
+        copy = list(original)
+        for j in range(4):
+            copy[10 + 50 * j + rng.randrange(30)] = f"e{i}x{j}"
+        copies.append(" ".join(copy))
+    sets = [stage_set(t) for t in copies[:40]]
+    assert all(shares(s, stage_set(" ".join(original))) for s in sets)
+    assert sum(shares(a, b) for k, a in enumerate(sets) for b in sets[:k]) < 40
+    assert stage(spark, copies + [" ".join(original)]) == [0]
+    without = copies[:400]
+    assert stage(spark, without) == kept_by_brute_force(without)
