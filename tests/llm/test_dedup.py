@@ -192,3 +192,16 @@ def test_stage_links_copies_that_tie_only_through_the_original(spark):
     assert stage(spark, copies + [" ".join(original)]) == [0]
     without = copies[:400]
     assert stage(spark, without) == kept_by_brute_force(without)
+
+
+def test_prefixes_of_near_sets_meet():
+    """Any two sets that share 0.8 have a token in common, at the bound too; an order by any counts will do."""
+    rng = np.random.default_rng(8)
+    for _ in range(2000):
+        n = int(rng.integers(1, 60))
+        drop, add = int(rng.integers(0, n // 5 + 1)), int(rng.integers(0, n // 4 + 1))
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[drop:], rng.integers(0, 2**63, add).astype(np.uint64)]))
+        if shares(set(a.tolist()), set(b.tolist())):
+            count = rng.integers(0, 3, simhash.COUNTERS)
+            assert set(simhash.prefix(a, count).tolist()) & set(simhash.prefix(b, count).tolist())
