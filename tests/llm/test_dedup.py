@@ -194,6 +194,34 @@ def test_stage_links_copies_that_tie_only_through_the_original(spark):
     assert stage(spark, without) == kept_by_brute_force(without)
 
 
+def changed(rng, words, kind, share):
+    """The words with scattered edits, cut off, or with others appended, at about the share given."""
+    n = len(words)
+    if kind == "cut":
+        return words[: int(n * share)]
+    if kind == "appended":
+        return words + [f"a{rng.random()}" for _ in range(int(n / share) - n)]
+    out = list(words)
+    for at in rng.sample(range(n), max(1, int(n * (1 - share) / (1 + share) / 5))):
+        out[at] = f"e{rng.random()}"
+    return out
+
+
+@pytest.mark.parametrize("kind", ["cut", "appended", "edited"])
+def test_stage_by_type_of_change(spark, kind):
+    """Copies on both sides of 0.8 are dropped exactly where brute force drops them."""
+    rng = random.Random(kind)
+    texts = []
+    for share in (0.72, 0.76, 0.79, 0.8, 0.81, 0.82, 0.85, 0.9):
+        for _ in range(12):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(40, 500))]
+            texts += [" ".join(words), " ".join(changed(rng, words, kind, share))]
+    want = kept_by_brute_force(texts)
+    near = len(texts) - len(want)
+    assert 24 <= near <= 90
+    assert stage(spark, texts) == want
+
+
 def test_prefixes_of_near_sets_meet():
     """Any two sets that share 0.8 have a token in common, at the bound too; an order by any counts will do."""
     rng = np.random.default_rng(8)
