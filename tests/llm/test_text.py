@@ -194,6 +194,18 @@ def test_lm_scoring(spark, docs, texts, monkeypatch, frequent):
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
 
 
+def test_lm_scores_do_not_depend_on_words_in_memory(spark, docs, monkeypatch):
+    """Words that are joined are scored by their exact counts like those in memory."""
+
+    def scores(frequent):
+        monkeypatch.setattr(lm, "FREQUENT", frequent)
+        return sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm.score(docs, TOKENIZER).collect())
+
+    few, all_ = scores(50), scores(200_000)
+    assert [r[:2] for r in few] == [r[:2] for r in all_]
+    assert np.allclose([r[2] for r in few], [r[2] for r in all_], rtol=1e-6)
+
+
 def test_lm_of_no_rows(no_docs):
     assert lm.score(no_docs, TOKENIZER).count() == 0
 
