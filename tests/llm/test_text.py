@@ -168,6 +168,30 @@ def test_gradients():
         assert abs((up - down) / 2e-5 - g[at]) < 1e-4, name
 
 
+def test_layer_and_reach():
+    """The tanh layer has right gradients and is scored as it is fitted; an id sees 9 ids before it at least."""
+    ids = np.random.default_rng(4).integers(0, 60, attention.STRIDE)
+    model = attention.Attention(attention.vocabulary(np.arange(60, 0, -1).astype(float), [np.arange(60)] * 2))
+    model.add_layer()
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    x, y = model._windows([ids])
+
+    def loss():
+        model.tables = None
+        return -model.score([ids]).sum() * math.log(10) / len(ids)
+
+    grads = model._gradients(x, y)
+    for name, at in (("A", (3, 5)), ("a", (2,)), ("V", (1, 4)), ("U", (6, 7))):
+        old = model.p[name][at]
+        model.p[name][at] = old + 1e-2
+        up = loss()
+        model.p[name][at] = old - 1e-2
+        down = loss()
+        model.p[name][at] = old
+        assert abs((up - down) / 2e-2 - grads[name][at]) < 1e-3, name
+    assert attention.WINDOW - attention.STRIDE + 1 >= 9 and attention.EMBEDDED >= 4096 and attention.GROUPS >= 96
+
+
 def test_windows_score_each_id_once_with_its_context():
     """Windows in batches give what one window at a time gives, and need nothing behind an id."""
     rng = np.random.default_rng(3)
