@@ -45,6 +45,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written as a table in the shared folder and read from there: rows, order keys and lineage are fixed."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_of(column: str | Column = "text") -> Column:
     """The text; NULL is the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

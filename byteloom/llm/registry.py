@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from byteloom.llm import (
+    centroids,
+    chat,
     common,
     decontaminate,
     exact,
     html,
     lm,
     mixing,
+    resampling,
     sharding,
     simhash,
     substrings,
@@ -48,6 +51,9 @@ def queries() -> dict[str, Query]:
             sharding.op8_sharding,
             exact.op9_exact_dedup,
             mixing.op10_mixing,
+            centroids.op11_centroid_clustering,
+            chat.op12_chat_formatting,
+            resampling.op13_importance_resampling,
         )
     }
     return named | {"pipeline": query(corpus_pipeline.run)}
@@ -58,4 +64,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": decontaminate.OP6_SQL,
         "op9_exact_dedup": exact.OP9_SQL,
         "op10_mixing": mixing.OP10_SQL,
+        "op11_centroid_clustering": centroids.OP11_SQL,
+        "op12_chat_formatting": chat.OP12_SQL,
+        "op13_importance_resampling": resampling.OP13_SQL,
     }
