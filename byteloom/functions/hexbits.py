@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from byteloom import fixed_values as fixed
 from byteloom.functions.choice import as_column, choose, known, missing, shift_left, shift_right
+from byteloom.functions.wholes import normal, shifted_little
 
 HEX_TEXT = "^[0-9A-Fa-f]+$"
 BAD_PAIR = "^(?:[0-9A-Fa-f]{2})*?([^0-9A-Fa-f].|.[^0-9A-Fa-f])"
-WIDE_FIELD = "Field of %d bits exceeds 63 bits"
 
 
 @dataclass(frozen=True)
@@ -85,18 +85,19 @@ def reading_plan(p: Column, b: Column, n: Column, k: Column) -> dict[str, Column
                          low bits, the byte before gives ``k`` high bits
     single n = 0, k = 0  one byte, read like mixed without high bits
 
+    Fields of more than 63 bits are marked ``wide``; they are read as hex text.
     Checks come in the order early, length (``need``), middle, digits, late.
     """
     bits, whole, mixed = (n == 0) & (k > 0), (n > 0) & (k == 0), (n > 0) & (k > 0)
     run = F.greatest(n, F.lit(1))
     width = F.when(mixed, n * 8 + k).otherwise(run * 8)
     little = ~(bits | whole)
-    fits = width <= 63
+    wide = ~bits & (width > 63)
     bad_offset = little & (b > 7)
     bad_bits = bits & ((b > 7) | (b + k > 8))
-    never = (mixed & (p == 0)) | (~bits & ~fits)
     one = F.lit(1).cast("bigint")
-    low_bits = F.when(k < 63, shift_left(one, k) - 1)
+    # The byte before has eight bits to give.
+    low_bits = shift_left(one, F.least(k, F.lit(8))) - 1
     return {
         "start": p * 2 + 1,
         "chars": F.when(bits, F.lit(2)).otherwise(run * 2),
@@ -105,14 +106,15 @@ def reading_plan(p: Column, b: Column, n: Column, k: Column) -> dict[str, Column
         "shift": F.when(whole, F.lit(0)).otherwise(b),
         "mask": F.when(bits, low_bits)
         .when(whole, F.lit(-1).cast("bigint"))
-        .when(fits, shift_left(one, run * 8) - 1),
+        .when(~wide, shift_left(one, run * 8) - 1),
         "before_start": F.when(mixed, p * 2 - 1),
         "high_mask": F.when(mixed, low_bits),
         "high_shift": F.when(mixed, n * 8).otherwise(F.lit(0)),
         "need": F.when(little, (p + run) * 2).otherwise(p * 2 + 2),
         "by_slice": whole,
+        "wide": wide,
         # False where the definition alone already makes an error.
-        "sound": ~(bad_offset | bad_bits | (whole & (b > 7)) | never),
+        "sound": ~(bad_offset | bad_bits | (whole & (b > 7)) | (mixed & (p == 0))),
         "early_error": F.when(little & (b > 7), F.format_string(fixed.BAD_BIT_OFFSET, b)),
         "short_error": F.when(
             little, F.format_string(fixed.SHORT_DATA, p, p + run - 1)
@@ -123,15 +125,13 @@ def reading_plan(p: Column, b: Column, n: Column, k: Column) -> dict[str, Column
                 b + k > 8, F.format_string(fixed.BAD_BIT_RANGE, b, k)
             ),
         ).when(whole & (b > 7), F.format_string(fixed.BAD_BIT_POS, b)),
-        "late_error": F.when(mixed & (p == 0), F.lit(fixed.NO_BYTE_BEFORE)).when(
-            ~bits & ~fits, F.format_string(WIDE_FIELD, width)
-        ),
+        "late_error": F.when(mixed & (p == 0), F.lit(fixed.NO_BYTE_BEFORE)),
     }
 
 
 READING = (
     "start", "chars", "swap", "borrow_need", "shift", "mask", "before_start", "high_mask",
-    "high_shift", "need", "by_slice", "sound", "early_error", "short_error", "middle_error", "late_error",
+    "high_shift", "need", "by_slice", "wide", "sound", "early_error", "short_error", "middle_error", "late_error",
 )
 
 
@@ -202,6 +202,18 @@ def raw_value(m: Message, f: Any) -> Column:
     return choose([(known(f.high_mask), with_high_bits)], lambda: low)
 
 
+def wide_value(m: Message, f: Any) -> Column:
+    """Hex text of a wide field that has no extraction error."""
+    digits = _digits(m, f)
+    low = choose([(f.by_slice, lambda: digits)], lambda: shifted_little(digits, f.shift, f.chars))
+
+    def with_high_bits() -> Column:
+        before = number(m.slice(f.before_start, 2)).bitwiseAND(as_column(f.high_mask))
+        return F.concat(F.hex(before), low)
+
+    return normal(choose([(known(f.high_mask), with_high_bits)], lambda: low))
+
+
 def byte_span(p: Column, n: Column, k: Column) -> tuple[Column, Column]:
     """First and last byte a field touches."""
     first = F.when((n > 0) & (k > 0), p - 1).otherwise(p)

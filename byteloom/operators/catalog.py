@@ -10,18 +10,19 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from byteloom.functions.convert import CONVERSION, ENUM, LINEAR, conversion_plan, hex_bound
+from byteloom.functions.convert import CONVERSION, ENUM, LINEAR, conversion_plan, whole_bound
 from byteloom.functions.hexbits import READING, bracket_part, position_part, reading_plan
-from byteloom.operators.lookup import fits_broadcast
+from byteloom.functions.wholes import LARGEST, sortable, to_bigint
+from byteloom.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS
 
 LAYOUT = ("family", "model_year", "message")
 TABLE = ("family", "model_year")
 
 DESCRIPTIVE = ("ord", "description", "raw_position", "size", "type", "name", "id")
-LABELS = ("has_labels", "points", "ranges")
+LABELS = ("starts", "names", "big_starts", "big_names")
 FIELD_COLUMNS = (*DESCRIPTIVE, *READING, *CONVERSION, *LABELS)
 
 
@@ -29,13 +30,14 @@ FIELD_COLUMNS = (*DESCRIPTIVE, *READING, *CONVERSION, *LABELS)
 class FieldCatalog:
     """Compiled layouts: one row per (family, model_year, message, ord).
 
-    A row says how to read the field and how to convert it; ``points`` maps a
-    raw value to (label, row_ord), ``ranges`` lists labels of disjoint raw
-    ranges.  Rows, maps and lists are message definitions: they do not grow
-    with the telemetry.
+    A row says how to read the field and how to convert it; ``starts`` and
+    ``names`` are the label pieces of its raw values.  Rows and lists are
+    message definitions: they do not grow with the telemetry.
     """
 
     fields: DataFrame
+    #: Layouts without entries: (family, model_year, message, layout_name).
+    empty: tuple[tuple, ...] = ()
 
     def stored(self, path: str) -> "FieldCatalog":
         """Write the compiled rows and read them back.
@@ -45,11 +47,25 @@ class FieldCatalog:
         """
         self.fields.write.mode("overwrite").parquet(path)
         schema = self.fields.schema
-        return FieldCatalog(self.fields.sparkSession.read.schema(schema).parquet(path))
+        return FieldCatalog(self.fields.sparkSession.read.schema(schema).parquet(path), self.empty)
 
     @cached_property
+    def facts(self) -> Row:
+        """Measured once, in one pass: rows, bytes, pieces of the largest label tables, wide fields."""
+        texts = ("description", "name", "fixed_text", "early_error", "short_error")
+        width = F.lit(500) + sum(F.coalesce(F.length(c), F.lit(0)) for c in texts)
+        pieces = F.coalesce(F.aggregate("names", F.lit(0), lambda n, x: n + 8 + F.coalesce(F.length(x), F.lit(0))), F.lit(0))
+        size = {name: F.coalesce(F.max(F.size(name)), F.lit(0)).alias(name) for name in ("starts", "big_starts")}
+        return self.fields.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum((width + pieces).cast("bigint")), F.lit(0)).alias("size"),
+            *size.values(),
+            *[F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in ("wide", "large")],
+        ).first()
+
+    @property
     def small(self) -> bool:
-        return fits_broadcast(self.fields)
+        return self.facts["n"] <= BROADCAST_ROWS and self.facts["size"] <= BROADCAST_BYTES
 
     def only(self, requested: Iterable[tuple[str, str]]) -> "FieldCatalog":
         """Catalog of the requested (message, description) pairs."""
@@ -61,19 +77,34 @@ class FieldCatalog:
             wanted = wanted | (
                 (F.col("message") == message) & F.col("description").isin(descriptions)
             )
-        return FieldCatalog(self.fields.filter(wanted))
+        return FieldCatalog(self.fields.filter(wanted), self.empty)
 
     def packed(self) -> DataFrame:
-        """One row per layout with its ordered fields."""
+        """One row per layout with its ordered fields; layouts without entries have none."""
         field = F.struct(*FIELD_COLUMNS)
-        return self.fields.groupBy(*LAYOUT).agg(
+        packed = self.fields.groupBy(*LAYOUT).agg(
             F.first("layout_name").alias("layout_name"),
             F.array_sort(F.collect_list(field), lambda a, b: a["ord"] - b["ord"]).alias("fields"),
         )
+        if not self.empty:
+            return packed
+        names = [*LAYOUT, "layout_name"]
+        bare = self.fields.sparkSession.createDataFrame(
+            list(self.empty), ", ".join(f"{name} string" for name in names)
+        )
+        return packed.unionByName(
+            bare.withColumn("fields", F.array().cast(packed.schema["fields"].dataType))
+        )
 
     def rows(self, limit: int) -> list[Row] | None:
         """Compiled rows on the driver, or None beyond ``limit`` rows."""
-        rows = self.fields.limit(limit + 1).collect()
+        if "_rows" not in self.__dict__:
+            rows = self.fields.limit(limit + 1).collect()
+            if len(rows) > limit:
+                return None
+            # All rows: kept for later plans.
+            self.__dict__["_rows"] = rows
+        rows = self.__dict__["_rows"]
         return rows if len(rows) <= limit else None
 
 
@@ -92,7 +123,10 @@ def compile_catalog(
     require_tables -- drop layouts whose family/year lacks one of the tables
 
     Tables with a repeated key are refused: which row counts would be chance.
+    A row without ``ord`` stands for a layout without entries.
     """
+    empty = layouts.filter(F.col("ord").isNull()).select(*LAYOUT, "layout_name").distinct().collect()
+    layouts = layouts.filter(F.col("ord").isNotNull())
     tables_l = linear.select(*TABLE).distinct().withColumn("_has_linear", F.lit(True))
     tables_t = enumeration.select(*TABLE).distinct().withColumn("_has_enum", F.lit(True))
     for what, table, unique in (
@@ -139,7 +173,8 @@ def compile_catalog(
         F.col("byte_pos"), F.col("bit_pos"), F.col("byte_size"), F.col("bit_size")
     )
     conversion = conversion_plan(
-        F.col("type"), F.col("name"), F.col("id"), F.col("state"), F.col("row")
+        F.col("type"), F.col("name"), F.col("id"), F.col("state"), F.col("row"),
+        F.greatest(F.col("byte_size"), F.lit(1)) * 8 + F.col("bit_size"),
     )
     return FieldCatalog(
         parsed.withColumn("state", state).select(
@@ -148,10 +183,9 @@ def compile_catalog(
             *DESCRIPTIVE,
             *[reading[name].alias(name) for name in READING],
             *[conversion[name].alias(name) for name in CONVERSION],
-            (F.col("points").isNotNull() | F.col("ranges").isNotNull()).alias("has_labels"),
-            "points",
-            "ranges",
-        )
+            *LABELS,
+        ),
+        tuple(map(tuple, empty)),
     )
 
 
@@ -188,53 +222,115 @@ def deduplicate(layouts: DataFrame, dedup: str) -> DataFrame:
     )
 
 
-def label_tables(
-    linear: DataFrame, enumeration: DataFrame, hex_mode: str = "both"
-) -> tuple[DataFrame, DataFrame]:
-    """Labels by raw value and by raw range, first row of the file first."""
-    codes = enumeration_codes(enumeration, hex_mode)
+def label_spans(linear: DataFrame, enumeration: DataFrame, hex_mode: str = "both") -> DataFrame:
+    """Raw values and ranges with a label: (key, low, high, label, row_ord); ends are sortable texts."""
+    columns = [*TABLE, "type", "id_number", "low", "high", "label", "row_ord"]
     encodings = linear.filter(F.col("encoding_name").isNotNull()).select(
         *TABLE,
         F.lit(LINEAR).alias("type"),
         F.col("id").alias("id_number"),
         "row_ord",
-        F.trim("raw_min").alias("low"),
-        F.trim("raw_max").alias("high"),
+        F.trim("raw_min").alias("low_text"),
+        F.trim("raw_max").alias("high_text"),
         F.col("encoding_name").alias("label"),
+    ).withColumns(
+        {"low": sortable(whole_bound(F.col("low_text"))), "high": sortable(whole_bound(F.col("high_text")))}
     )
     # A single value is compared as text with the two-digit form of the raw
     # value, so a padded text such as $01FF never matches.
-    singles = (
-        encodings.filter(
-            (F.col("low") == F.col("high"))
-            & F.col("low").rlike(r"^\$([0-9A-F]{2}|[1-9A-F][0-9A-F]{2,15})$")
+    single = (F.col("low_text") == F.col("high_text")) & F.col("low_text").rlike(
+        r"^\$([0-9A-F]{2}|[1-9A-F][0-9A-F]{2,})$"
+    )
+    spans = encodings.filter(single | ((F.col("low_text") != F.col("high_text")) & (F.col("low") <= F.col("high"))))
+    return enumeration_codes(enumeration, hex_mode).select(*columns).union(spans.select(*columns))
+
+
+def label_pieces(spans: DataFrame) -> DataFrame:
+    """Disjoint pieces (key, cut, label) of overlapping spans; the first row keeps a piece.
+
+    A piece begins at its cut and ends before the next one of its key: a
+    sortable text with "0" for the number itself, "1" for what follows it.  A
+    piece that no span covers has a NULL label.  Every span is spread over
+    blocks of 1, 2, 4, ... pieces, two of a size at most, and every piece asks
+    the blocks that hold it: n log n rows for n spans, whatever they overlap.
+    """
+    key = [*TABLE, "type", "id_number"]
+    ends = spans.select(
+        "*", F.concat("low", F.lit("0")).alias("from"), F.concat("high", F.lit("1")).alias("to")
+    )
+    cuts = ends.select(*key, F.explode(F.array("from", "to")).alias("cut")).distinct()
+    by_key = Window.partitionBy(*key)
+    numbered = cuts.select(
+        *key,
+        "cut",
+        (F.row_number().over(by_key.orderBy("cut")) - 1).alias("no"),
+        F.count(F.lit(1)).over(by_key).alias("n"),
+    )
+    places = numbered.select(*key, "cut", "no")
+    placed = (
+        ends.join(places.withColumnsRenamed({"cut": "from", "no": "a"}), [*key, "from"])
+        .join(places.withColumnsRenamed({"cut": "to", "no": "b"}), [*key, "to"])
+        .withColumn("level", F.explode(F.sequence(F.lit(0), _log2(F.col("b") - F.col("a")))))
+    )
+    width = F.call_function("shiftleft", F.lit(1), F.col("level"))
+    left, right = F.ceil(F.col("a") / width), F.floor(F.col("b") / width)
+    blocks = (
+        placed.select(*key, "level", "label", "row_ord", left.alias("left"), right.alias("right"))
+        .select(
+            *key,
+            "level",
+            F.struct("row_ord", "label").alias("owner"),
+            F.explode(
+                F.array_compact(
+                    F.array(
+                        F.when((F.col("left") < F.col("right")) & (F.col("left") % 2 == 1), F.col("left")),
+                        F.when((F.col("left") < F.col("right")) & (F.col("right") % 2 == 1), F.col("right") - 1),
+                    )
+                )
+            ).alias("block"),
         )
-        .withColumn("raw", hex_bound(F.col("low")))
-        .filter(F.col("raw").isNotNull())
-        .groupBy(*TABLE, "type", "id_number", "raw")
-        .agg(F.min_by("label", "row_ord").alias("label"), F.min("row_ord").alias("row_ord"))
+        .groupBy(*key, "level", "block")
+        .agg(F.min("owner").alias("owner"))
+    )
+    asking = numbered.withColumn("level", F.explode(F.sequence(F.lit(0), _log2(F.col("n"))))).withColumn(
+        "block", F.floor(F.col("no") / F.call_function("shiftleft", F.lit(1), F.col("level")))
     )
-    spans = (
-        encodings.filter(F.col("low") != F.col("high"))
-        .withColumn("lo", hex_bound(F.col("low")))
-        .withColumn("hi", hex_bound(F.col("high"), upper=True))
-        .filter("lo <= hi")
-        .select(*TABLE, "type", "id_number", "lo", "hi", "label", "row_ord")
+    return (
+        asking.join(blocks, [*key, "level", "block"], "left")
+        .groupBy(*key, "cut")
+        .agg(F.min("owner")["label"].alias("label"))
     )
-    columns = [*TABLE, "type", "id_number", "raw", "label", "row_ord"]
-    return codes.select(*columns).union(singles.select(*columns)), disjoint(spans)
+
+
+def _log2(n: Column) -> Column:
+    return (F.length(F.bin(n.cast("bigint"))) - 1).cast("int")
 
 
 def label_sets(linear: DataFrame, enumeration: DataFrame, hex_mode: str = "both") -> DataFrame:
-    """Per (family, model_year, type, id_number): label map and label ranges."""
+    """Per (family, model_year, type, id_number): starts and names of the label pieces.
+
+    ``starts`` are bigints; where a label reaches beyond 63 bits ``big_starts``
+    are the same cuts, all as sortable texts.
+    """
     key = [*TABLE, "type", "id_number"]
-    points, ranges = label_tables(linear, enumeration, hex_mode)
-    entry = F.struct("raw", F.struct("label", "row_ord"))
-    mapped = points.groupBy(*key).agg(F.map_from_entries(F.collect_list(entry)).alias("points"))
-    listed = ranges.groupBy(*key).agg(
-        F.collect_list(F.struct("lo", "hi", "label", "row_ord")).alias("ranges")
+    whole = F.expr("substr(cut, 7, length(cut) - 7)")
+    number = to_bigint(whole)
+    after = F.right("cut", F.lit(1)).cast("int")
+    pieces = label_pieces(label_spans(linear, enumeration, hex_mode)).withColumn(
+        "start", F.when((number < LARGEST) | (after == 0), number + after)
+    )
+    # The order of the cuts is also that of the numbers below 2**63.
+    listed = pieces.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("cut", "start", "label"))).alias("all"))
+    narrow = F.filter("all", lambda p: p["start"].isNotNull())
+    # What follows the largest bigint is no raw value of 63 bits, nor does a piece begin there.
+    big = F.exists("all", lambda p: p["start"].isNull() & (p["cut"] != f"{16:06d}{LARGEST:X}1"))
+    return listed.select(
+        *key,
+        F.transform(narrow, lambda p: p["start"]).alias("starts"),
+        F.transform(narrow, lambda p: p["label"]).alias("names"),
+        F.when(big, F.transform("all", lambda p: p["cut"])).alias("big_starts"),
+        F.when(big, F.transform("all", lambda p: p["label"])).alias("big_names"),
     )
-    return mapped.join(listed, key, "full")
 
 
 def enumeration_codes(enumeration: DataFrame, hex_mode: str = "both") -> DataFrame:
@@ -244,21 +340,20 @@ def enumeration_codes(enumeration: DataFrame, hex_mode: str = "both") -> DataFra
     'strict': one digit up to 9, two digits above, both for zero.
     """
     text = F.trim("min")
-    raw = F.when(
-        text.rlike(r"^\$([0-9A-F]|[0-9A-F]{2}|[1-9A-F][0-9A-F]{2,15})$"), hex_bound(text)
+    whole = F.when(
+        text.rlike(r"^\$([0-9A-F]|[0-9A-F]{2}|[1-9A-F][0-9A-F]{2,})$"), whole_bound(text)
     )
-    short = F.length(text) == 2
+    short, one_digit = F.length(text) == 2, F.length("whole") == 1
     if hex_mode == "both":
-        rank = F.when(short, F.lit(0)).when(F.col("raw") < 16, F.lit(1)).otherwise(F.lit(0))
+        rank = F.when(short, F.lit(0)).when(one_digit, F.lit(1)).otherwise(F.lit(0))
     else:
-        rank = F.when(short & (F.col("raw") <= 9), F.lit(0)).when(
-            ~short & ((F.col("raw") == 0) | (F.col("raw") > 9)), F.lit(1)
-        )
+        to_nine = F.col("whole").rlike("^[0-9]$")
+        rank = F.when(short & to_nine, F.lit(0)).when(~short & ((F.col("whole") == "0") | ~to_nine), F.lit(1))
     return (
-        enumeration.withColumn("raw", raw)
+        enumeration.withColumn("whole", whole)
         .withColumn("_rank", rank)
-        .filter(F.col("raw").isNotNull() & F.col("_rank").isNotNull())
-        .groupBy(*TABLE, F.col("id").alias("id_number"), "raw")
+        .filter(F.col("whole").isNotNull() & F.col("_rank").isNotNull())
+        .groupBy(*TABLE, F.col("id").alias("id_number"), "whole")
         .agg(
             F.min_by(F.struct("encoding_name"), F.struct("_rank", "row_ord")).alias("hit"),
             F.min("row_ord").alias("row_ord"),
@@ -267,7 +362,8 @@ def enumeration_codes(enumeration: DataFrame, hex_mode: str = "both") -> DataFra
             *TABLE,
             F.lit(ENUM).alias("type"),
             "id_number",
-            "raw",
+            sortable(F.col("whole")).alias("low"),
+            sortable(F.col("whole")).alias("high"),
             # An empty label reads as not-a-number in the message record.
             F.coalesce("hit.encoding_name", F.lit("NaN")).alias("label"),
             "row_ord",
@@ -275,30 +371,6 @@ def enumeration_codes(enumeration: DataFrame, hex_mode: str = "both") -> DataFra
     )
 
 
-def disjoint(spans: DataFrame) -> DataFrame:
-    """Cut overlapping ranges at each other's ends; the first row keeps a piece."""
-    key = [*TABLE, "type", "id_number"]
-    # Ends are exclusive and decimal: the largest raw value has a successor too.
-    after = (F.col("hi").cast("decimal(20,0)") + 1).cast("decimal(20,0)")
-    cuts = spans.select(
-        *key, F.explode(F.array(F.col("lo").cast("decimal(20,0)"), after)).alias("lo")
-    ).distinct()
-    pieces = (
-        cuts.withColumn("hi", F.lead("lo").over(Window.partitionBy(*key).orderBy("lo")) - 1)
-        .filter(F.col("hi").isNotNull())
-        .withColumns({"lo": F.col("lo").cast("bigint"), "hi": F.col("hi").cast("bigint")})
-    )
-    owners = spans.select(
-        *key, F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), "label", "row_ord"
-    )
-    return (
-        pieces.join(owners, key)
-        .filter((F.col("_lo") <= F.col("lo")) & (F.col("hi") <= F.col("_hi")))
-        .groupBy(*key, "lo", "hi")
-        .agg(F.min_by("label", "row_ord").alias("label"), F.min("row_ord").alias("row_ord"))
-    )
-
-
 def undefined_columns(requested: DataFrame, fields: DataFrame) -> DataFrame:
     """Requested (message, description) pairs that no layout defines."""
     return requested.join(

@@ -19,21 +19,76 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from byteloom import fixed_values as fixed
-from byteloom.functions.convert import ENUM, LINEAR, SCALED, failed_text, numeric_value, text_value
-from byteloom.functions.hexbits import Message, extract_error, is_readable, raw_value
+from byteloom.functions.choice import choose
+from byteloom.functions.convert import (
+    ENUM,
+    LINEAR,
+    SCALED,
+    big_number,
+    big_text,
+    failed_text,
+    numeric_value,
+    text_value,
+)
+from byteloom.functions.hexbits import Message, extract_error, is_readable, raw_value, wide_value
+from byteloom.functions.intervals import advanced, known_label, powers, searched
 from byteloom.functions.types import TYPE_NAMES, cast_text
+from byteloom.functions.wholes import decimal_text, let, sortable, to_bigint
 from byteloom.operators.catalog import FIELD_COLUMNS, LAYOUT, FieldCatalog
 from byteloom.operators.lookup import lookup_join
 
 WIDE_EXPRESSION_LIMIT = 2_000
-
-
 def with_message_columns(messages: DataFrame, hex_column: str = "hex") -> DataFrame:
     return messages.withColumns(Message.columns(F.col(hex_column)))
 
 
-def _names(get: Any) -> SimpleNamespace:
-    return SimpleNamespace(**{name: get(name) for name in FIELD_COLUMNS})
+def _names(get: Any, catalog: FieldCatalog) -> SimpleNamespace:
+    """A field's definition as columns; what no field of the catalog has is left out of the plan."""
+    absent = {name: False for name in ("wide", "large") if not catalog.facts[name]}
+    return SimpleNamespace(**{name: get(name) for name in FIELD_COLUMNS} | absent)
+
+
+# --- rules over one field ----------------------------------------------------
+
+
+def whole_of(m: Message, f: Any) -> Column:
+    """Hex text of a wide field, NULL for others."""
+    return choose([(f.wide, lambda: wide_value(m, f))], lambda: F.lit(None).cast("string"))
+
+
+def raw_of(m: Message, f: Any, whole: Column) -> Column:
+    """Raw integer; NULL where it has more than 63 bits."""
+    return choose([(f.wide, lambda: to_bigint(whole))], lambda: raw_value(m, f))
+
+
+def label_of(f: Any, raw: Column, big: Column, pieces: int, big_pieces: int) -> Column | None:
+    """Label of the raw value in the catalog's pieces."""
+    label = searched(f.starts, f.names, raw, pieces) if pieces else None
+    if f.wide is False or not big_pieces:
+        return label
+    beyond = searched(f.big_starts, f.big_names, _cut(big), big_pieces)
+    return F.when(big.isNotNull(), beyond).otherwise(label)
+
+
+def _cut(big: Column) -> Column:
+    return F.concat(sortable(big), F.lit("0"))
+
+
+def number_of(f: Any, raw: Column, big: Column, label: Any) -> Column:
+    number = numeric_value(raw, f, label)
+    return number if f.wide is False else F.when(big.isNotNull(), big_number(big, f, label)).otherwise(number)
+
+
+def text_of(f: Any, raw: Column, big: Column, label: Any, num: Column) -> Column:
+    text = text_value(raw, f, label, num)
+    return text if f.wide is False else F.when(big.isNotNull(), big_text(big, f, label, num)).otherwise(text)
+
+
+def shows_raw(f: Any) -> Any:
+    """Records show the raw value of table-driven types with an id."""
+    if isinstance(f.type, Column):
+        return f.type.isin(LINEAR, ENUM) & f.id.isNotNull()
+    return f.type in (LINEAR, ENUM) and f.id is not None
 
 
 # --- long form -------------------------------------------------------------
@@ -47,56 +102,52 @@ def join_fields(messages: DataFrame, catalog: FieldCatalog) -> DataFrame:
     )
 
 
-def decode_fields(joined: DataFrame) -> DataFrame:
-    """Add error, raw, label, num and value to joined (message, field) rows.
+def decode_fields(joined: DataFrame, catalog: FieldCatalog) -> DataFrame:
+    """Add error, raw, raw_big, label, num and value to joined (message, field) rows.
 
-    The steps are separate projections so that no step is computed twice.
+    The steps are separate projections so that no step is computed twice; the
+    search for a label is a projection for each halving of the largest table.
     """
-    field = _names(F.col)
+    field = _names(F.col, catalog)
     message = Message.joined()
     readable = F.col("error").isNull()
+    raw, big, label = F.col("raw"), F.col("_big"), F.col("label")
+    rows = joined.withColumn("error", extract_error(message, field))
+    if field.wide is False:
+        rows = rows.withColumn("_big", F.lit(None).cast("string"))
+        rows = rows.withColumn("raw", F.when(readable, raw_value(message, field)))
+    else:
+        rows = rows.withColumn("_big", F.when(readable, whole_of(message, field)))
+        rows = rows.withColumn("raw", F.when(readable, raw_of(message, field, big)))
+        rows = rows.withColumn("_big", F.when(raw.isNull(), big))
+    rows = rows.withColumn("_at", F.lit(0))
+    for step in powers(catalog.facts["starts"]) if catalog.facts["starts"] else ():
+        rows = rows.withColumn("_at", advanced(F.col("starts"), raw, F.col("_at"), step))
+    found = F.get("names", F.col("_at") - 1)
+    if field.wide is not False and catalog.facts["big_starts"]:
+        beyond = searched(F.col("big_starts"), F.col("big_names"), _cut(big), catalog.facts["big_starts"])
+        found = F.when(big.isNotNull(), beyond).otherwise(found)
     return (
-        joined.withColumn("error", extract_error(message, field))
-        .withColumn("raw", F.when(readable, raw_value(message, field)))
-        .withColumn("label", label_of(field, F.col("raw")))
-        .withColumn(
-            "num", F.when(readable, numeric_value(F.col("raw"), field, F.col("label")))
-        )
+        rows.withColumn("label", found)
+        .withColumn("num", F.when(readable, number_of(field, raw, big, label)))
         .withColumn(
             "value",
-            F.when(
-                readable, text_value(F.col("raw"), field, F.col("label"), F.col("num"))
-            ).otherwise(failed_text(F.col("error"))),
+            F.when(readable, text_of(field, raw, big, label, F.col("num"))).otherwise(
+                failed_text(F.col("error"))
+            ),
         )
-        .withColumn("raw_value", record_raw(field, F.col("raw")))
+        .withColumn("raw_value", F.when(shows_raw(field), raw))
+        .withColumn("raw_big", F.when(big.isNotNull(), decimal_text(big)))
     )
 
 
-def label_of(field: Any, raw: Column) -> Column:
-    """Table name of a raw value or of its range; the earlier row wins."""
-    hit = F.try_element_at(field.points, raw)
-    covering = F.get(
-        F.filter(field.ranges, lambda r: (r["lo"] <= raw) & (raw <= r["hi"])), F.lit(0)
-    )
-    both = (
-        F.when(hit.isNotNull() & (covering.isNull() | (hit["row_ord"] <= covering["row_ord"])),
-               hit["label"])
-        .otherwise(covering["label"])
-    )
-    return F.when(
-        field.has_labels & raw.isNotNull(),
-        F.when(field.ranges.isNull(), hit["label"]).otherwise(both),
-    )
-
-
-def record_raw(field: Any, raw: Column) -> Column:
-    """Raw value as shown in a record: for table-driven types with an id."""
-    return F.when(field.type.isin(LINEAR, ENUM) & field.id.isNotNull(), raw)
-
-
 def decode_long(messages: DataFrame, catalog: FieldCatalog) -> DataFrame:
-    """messages(family, model_year, message, hex, ...) -> one row per field."""
-    return decode_fields(join_fields(messages, catalog)).select(
+    """messages(family, model_year, message, hex, ...) -> one row per field.
+
+    ``raw`` is the raw value of up to 63 bits, ``raw_big`` the decimal digits
+    of a larger one.
+    """
+    return decode_fields(join_fields(messages, catalog), catalog).select(
         *messages.columns,
         "ord",
         "description",
@@ -110,59 +161,15 @@ def decode_long(messages: DataFrame, catalog: FieldCatalog) -> DataFrame:
         F.col("id").alias("msg_id"),
         "raw_value",
         "units",
+        "raw_big",
     )
 
 
 # --- array form ------------------------------------------------------------
-
-
-def _read(field: Column) -> Column:
-    f = _names(lambda name: field[name])
-    message = Message.joined()
-    return F.struct(
-        field.alias("f"),
-        extract_error(message, f).alias("error"),
-        raw_value(message, f).alias("raw"),
-    )
-
-
-def _label(item: Column) -> Column:
-    f = _names(lambda name: item["f"][name])
-    readable = item["error"].isNull()
-    return F.struct(
-        item["f"].alias("f"),
-        item["error"].alias("error"),
-        F.when(readable, item["raw"]).alias("raw"),
-        F.when(readable, label_of(f, item["raw"])).alias("label"),
-    )
-
-
-def _number(item: Column) -> Column:
-    f = _names(lambda name: item["f"][name])
-    return F.struct(
-        *[item[name].alias(name) for name in ("f", "error", "raw", "label")],
-        F.when(item["error"].isNull(), numeric_value(item["raw"], f, item["label"])).alias("num"),
-    )
-
-
-def _record(item: Column) -> Column:
-    f = _names(lambda name: item["f"][name])
-    value = F.when(item["error"].isNotNull(), failed_text(item["error"])).otherwise(
-        text_value(item["raw"], f, item["label"], item["num"])
-    )
-    return F.struct(
-        f.ord.alias("ord"),
-        f.description.alias("description"),
-        value.alias("decoded_value"),
-        f.raw_position.alias("raw_position"),
-        f.size.alias("size"),
-        f.type.alias("msg_type"),
-        f.id.alias("msg_id"),
-        record_raw(f, item["raw"]).alias("raw_value"),
-        f.units.alias("units"),
-        item["num"].alias("num"),
-        item["error"].alias("error"),
-    )
+#: What a record says besides its position in the layout.
+RECORD = (
+    "description", "decoded_value", "raw_position", "size", "msg_type", "msg_id", "raw_value", "units", "raw_big",
+)
 
 
 def decode_array(messages: DataFrame, catalog: FieldCatalog) -> DataFrame:
@@ -170,11 +177,56 @@ def decode_array(messages: DataFrame, catalog: FieldCatalog) -> DataFrame:
 
     ``decoded`` is NULL for messages without a layout and for NULL hex.
     """
-    joined = lookup_join(
-        with_message_columns(messages), catalog.packed(), LAYOUT, "left", small=catalog.small
-    )
+    message = Message.joined()
+
+    def named(item: Column) -> SimpleNamespace:
+        return _names(lambda name: item["f"][name], catalog)
+
+    def kept(item: Column, *names: str) -> list[Column]:
+        return [item[name].alias(name) for name in names]
+
+    def read(field: Column) -> Column:
+        f = _names(lambda name: field[name], catalog)
+        error = extract_error(message, f)
+        return F.struct(field.alias("f"), error.alias("error"), whole_of(message, f).alias("whole"))
+
+    def numbered(item: Column) -> Column:
+        raw = F.when(item["error"].isNull(), raw_of(message, named(item), item["whole"]))
+        return F.struct(*kept(item, "f", "error", "whole"), raw.alias("raw"))
+
+    def labelled(item: Column) -> Column:
+        f = named(item)
+        big = F.when(item["error"].isNull() & item["raw"].isNull(), item["whole"])
+        label = label_of(f, item["raw"], big, catalog.facts["starts"], catalog.facts["big_starts"])
+        return F.struct(
+            *kept(item, "f", "error", "raw"),
+            big.alias("big"),
+            (F.lit(None).cast("string") if label is None else label).alias("label"),
+        )
+
+    def counted(item: Column) -> Column:
+        num = number_of(named(item), item["raw"], item["big"], item["label"])
+        return F.struct(
+            *kept(item, "f", "error", "raw", "big", "label"), F.when(item["error"].isNull(), num).alias("num")
+        )
+
+    def recorded(item: Column) -> Column:
+        f = named(item)
+        text = text_of(f, item["raw"], item["big"], item["label"], item["num"])
+        made = {
+            "description": f.description,
+            "decoded_value": F.when(item["error"].isNotNull(), failed_text(item["error"])).otherwise(text),
+            "raw_position": f.raw_position, "size": f.size, "msg_type": f.type, "msg_id": f.id,
+            "raw_value": F.when(shows_raw(f), item["raw"]), "units": f.units,
+            "raw_big": F.when(item["big"].isNotNull(), decimal_text(item["big"])),
+        }
+        return F.struct(
+            f.ord.alias("ord"), *[made[name].alias(name) for name in RECORD], *kept(item, "num", "error")
+        )
+
+    joined = lookup_join(with_message_columns(messages), catalog.packed(), LAYOUT, "left", small=catalog.small)
     records = F.col("fields")
-    for step in (_read, _label, _number, _record):
+    for step in (read, numbered, labelled, counted, recorded):
         records = F.transform(records, step)
     return joined.withColumn("decoded", F.when(F.col("hex").isNotNull(), records)).drop(
         "fields", "hex_bytes", "hex_length", "hex_clean"
@@ -185,11 +237,7 @@ def decode_array(messages: DataFrame, catalog: FieldCatalog) -> DataFrame:
 
 
 def record_json(record: Column) -> Column:
-    names = (
-        "description", "decoded_value", "raw_position", "size", "msg_type", "msg_id",
-        "raw_value", "units",
-    )
-    return F.struct(*[record[name].alias(name) for name in names])
+    return F.struct(*[record[name].alias(name) for name in RECORD])
 
 
 def envelope(messages: DataFrame, catalog: FieldCatalog, on_error: str = "null",
@@ -220,9 +268,10 @@ def envelope(messages: DataFrame, catalog: FieldCatalog, on_error: str = "null",
             F.col("message").alias("ddt_type"),
         )
     )
-    good = F.when(F.col("decoded").isNotNull(), body)
+    good = F.when(F.size("decoded") > 0, body)
+    own = ("decoded", "layout_name", "_mapped")
     if on_error == "null":
-        return decoded.withColumn("envelope", good).drop("decoded", "layout_name")
+        return decoded.withColumn("envelope", good).drop(*own)
     if mapped is not None:
         known = mapped.select(*LAYOUT).distinct().withColumn("_mapped", F.lit(True))
         decoded = lookup_join(decoded, known, LAYOUT, "left")
@@ -244,7 +293,7 @@ def envelope(messages: DataFrame, catalog: FieldCatalog, on_error: str = "null",
     failed = F.to_json(F.struct(reason.alias("error")))
     return decoded.withColumn(
         "envelope", F.when(reason.isNotNull(), failed).otherwise(good)
-    ).drop("decoded", "layout_name", "_mapped")
+    ).drop(*own)
 
 
 def layout_file_name(message: Column, family: Column, model_year: Column, ecu: str = "BCM") -> Column:
@@ -351,8 +400,8 @@ def _wide_by_expression(df, rows, columns, hex_columns) -> DataFrame:
         )
     prepared = df.withColumns(stage1)
 
-    raws: dict[str, Column] = {}
-    values: dict[str, Column] = {}
+    # One projection per step, so that no step is computed twice.
+    checks, raws, bigs, labels, values = ({} for _ in range(5))
     for no, c in enumerate(columns):
         value = None
         m = messages.get(c.message)
@@ -365,52 +414,68 @@ def _wide_by_expression(df, rows, columns, hex_columns) -> DataFrame:
             # Only text columns show why a field cannot be read.
             as_text = TYPE_NAMES[c.type.lower()] == "string"
             ok = extract_error(m, f) if as_text else is_readable(m, f)
-            raws[f"_e{no}_{k}"] = F.when(here, ok)
-            raws[f"_r{no}_{k}"] = F.when(here, raw_value(m, f))
-            error_k, raw_k = F.col(f"_e{no}_{k}"), F.col(f"_r{no}_{k}")
-            result = typed_value(f, raw_k, error_k, _literal_label(f, raw_k), c.type)
+            checks[f"_e{no}_{k}"] = F.when(here, ok)
+            error_k, raw_k, big_k = F.col(f"_e{no}_{k}"), F.col(f"_r{no}_{k}"), None
+            if f.wide:
+                readable = error_k.isNull() if as_text else error_k
+                checks[f"_w{no}_{k}"] = F.when(here, wide_value(m, f))
+                raws[f"_r{no}_{k}"] = F.when(readable, to_bigint(F.col(f"_w{no}_{k}")))
+                big_k = F.col(f"_b{no}_{k}")
+                bigs[f"_b{no}_{k}"] = F.when(readable & raw_k.isNull(), F.col(f"_w{no}_{k}"))
+            else:
+                checks[f"_r{no}_{k}"] = F.when(here, raw_value(m, f))
+            label = literal_label(f, raw_k, big_k)
+            if label is not None:
+                labels[f"_l{no}_{k}"] = F.when(here, label)
+                label = F.col(f"_l{no}_{k}")
+            result = typed_value(f, raw_k, big_k, error_k, label, c.type)
             result = F.when(here & m.hex.isNotNull(), result)
             value = result if value is None else F.coalesce(value, result)
         values[c.name] = value if value is not None else cast_text(F.lit(None).cast("string"), c.type)
-    helpers = [*stage1, *raws]
-    return prepared.withColumns(raws).withColumns(values).drop(*helpers) if raws else (
-        prepared.withColumns(values).drop(*helpers)
-    )
+    for step in (checks, raws, bigs, labels, values):
+        prepared = prepared.withColumns(step) if step else prepared
+    return prepared.drop(*stage1, *checks, *raws, *bigs, *labels)
+
+
+def literal_label(f: Row, raw: Column, big: Column | None) -> Column | None:
+    """Label search with the table's pieces as literals."""
+    label = known_label(f.starts, f.names, raw) if f.starts else None
+    if big is None or not f.big_starts:
+        return label
+    return F.when(big.isNotNull(), known_label(f.big_starts, f.big_names, _cut(big))).otherwise(label)
+
+
+def literal_number(f: Row, raw: Column, big: Column | None, label: Column | None) -> Column:
+    number = numeric_value(raw, f, label)
+    return number if big is None else F.when(big.isNotNull(), big_number(big, f, label)).otherwise(number)
+
+
+def literal_text(f: Row, raw: Column, big: Column | None, label: Column | None, num: Column) -> Column:
+    def text(n: Column) -> Column:
+        narrow = text_value(raw, f, label, n)
+        return narrow if big is None else F.when(big.isNotNull(), big_text(big, f, label, n)).otherwise(narrow)
+
+    return let(num, text) if f.large else text(num)
 
 
-def _literal_label(f: Row, raw: Column) -> Column | None:
-    """Labels as literals: a map of values, or a CASE in file order with ranges."""
-    points = f.points or {}
-    if not f.ranges:
-        if not points:
-            return None
-        pairs = [F.lit(x) for value, hit in points.items() for x in (value, hit.label)]
-        return F.try_element_at(F.create_map(*pairs), raw)
-    entries = [(hit.row_ord, value, value, hit.label) for value, hit in points.items()]
-    entries += [(r.row_ord, r.lo, r.hi, r.label) for r in f.ranges]
-    chain = None
-    for _, lo, hi, label in sorted(entries):
-        hit = (raw >= lo) & (raw <= hi)
-        chain = F.when(hit, label) if chain is None else chain.when(hit, label)
-    return chain
-
-
-def typed_value(f: Any, raw: Column, check: Column, label: Column | None, kind: str) -> Column:
+def typed_value(
+    f: Any, raw: Column, big: Column | None, check: Column, label: Column | None, kind: str
+) -> Column:
     """Typed result of one field.
 
     ``check`` is the error text for text columns, else whether the field can be
     read: a failed field is text and so no value of another type.
     """
     target = TYPE_NAMES[kind.lower()]
-    num = numeric_value(raw, f, label)
+    num = literal_number(f, raw, big, label)
     if target == "string":
-        return F.when(check.isNull(), text_value(raw, f, label, num)).otherwise(
+        return F.when(check.isNull(), literal_text(f, raw, big, label, num)).otherwise(
             failed_text(check)
         )
     if target == "double" and f.kind <= SCALED:
         value = num if label is None else F.coalesce(num, label.try_cast("double"))
     else:
-        value = cast_text(text_value(raw, f, label, num), kind)
+        value = cast_text(literal_text(f, raw, big, label, num), kind)
     return F.when(check, value)
 
 

@@ -104,6 +104,44 @@ ENUM_ROWS = [
     (206, 15, "$020", "Never"),
 ]
 
+# Fields of 8, 9 and 16 bytes, and their tables.
+LAYOUT_C = [
+    (0, "3 [0]", "Long whole", "8 [0]", "I", "64 bits", "910"),
+    (1, "3 [0]", "Longer whole", "9 [0]", "X", "72 bits", None),
+    (2, "3 [0]", "Longest whole", "16 [0]", "I", "128 bits", "911"),
+    (3, "4 [3]", "Long little", "8 [5]", "I", "69 bits", "912"),
+    (4, "5 [0]", "Longer little", "9 [4]", "I", "76 bits", "913"),
+    (5, "6 [7]", "Shifted little", "9 [1]", "-", "73 bits", "-"),
+    (6, "3 [0]", "Scaled", "8 [0]", "L", "scaled", "121"),
+    (7, "3 [0]", "Cut", "9 [0]", "L", "no decimals", "122"),
+    (8, "3 [0]", "Limited", "8 [0]", "L", "limit in hex", "123"),
+    (9, "3 [0]", "Limited decimal", "8 [0]", "L", "limit in digits", "124"),
+    (10, "3 [0]", "Limited short", "8 [0]", "L", "limit below", "125"),
+    (11, "3 [0]", "Code", "8 [0]", "T", "Code", "221"),
+    (12, "3 [0]", "Yes or no", "8 [0]", "T", "False / True", "222"),
+    (13, "3 [0]", "No label id", "8 [0]", "T", "no id", None),
+    (14, "3 [0]", "No factor", "8 [0]", "L", "no factor", "126"),
+    (15, "11 [0]", "Beyond the end", "16 [0]", "I", "cut tail", "914"),
+    (16, "11 [0]", "Little beyond", "15 [1]", "I", "too short", "915"),
+    (17, "0 [0]", "Nothing before", "8 [2]", "I", "no byte before", "916"),
+]
+LINEAR_ROWS_C = [
+    (121, 0, 0.5, 10.0, 1, "V", None, None, None),
+    (122, 1, 0.25, -3.0, 0, None, None, None, None),
+    (123, 2, 1.0, 0.0, 1, None, "$0", "$8FFFFFFFFFFFFFFF", None),
+    (123, 3, None, None, 0, None, "$FFFFFFFFFFFFFFFF", "$FFFFFFFFFFFFFFFF", "All bits"),
+    (123, 4, None, None, 0, None, "$7000000000000000", "$85FFFFFFFFFFFFFF", "Around the sign"),
+    (123, 5, None, None, 0, None, "$8000000000000000", "$8100000000000000", "Hidden"),
+    (124, 6, 2.0, 0.0, 0, None, "0", "10000000000000000000", None),
+    (125, 7, 1.0, 0.0, 0, None, "$00", "$FFFE", None),
+    (126, 8, None, None, 0, None, None, None, None),
+]
+ENUM_ROWS_C = [
+    (221, 0, "$FFFFFFFFFFFFFFFF", "Unset"),
+    (221, 1, "$7FFFFFFFFFFFFFFF", "Largest"),
+    (222, 2, "$00", "Zero"),
+]
+
 FAMILIES = ("AU", "BU", "MA")
 YEARS = ("2024", "2025", "2026")
 # No tables for this pair; no layout at all for the families FU and HO.
@@ -151,6 +189,10 @@ PAIRS_WITH_TABLES = [
 ]
 
 
+PAIRS = [(family, year) for family in FAMILIES for year in YEARS]
+FIELD_ROWS_C = [(*pair, "C", "C_%s_%s" % pair, *entry) for pair in PAIRS for entry in LAYOUT_C]
+
+
 def _table(spark: SparkSession, rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> DataFrame:
     columns = list(zip(*rows))
     return spark.createDataFrame(
@@ -160,32 +202,32 @@ def _table(spark: SparkSession, rows: list[tuple], schema: list[tuple[str, pa.Da
     )
 
 
-def layouts(spark: SparkSession) -> DataFrame:
+def layouts(spark: SparkSession, rows: list[tuple] = FIELD_ROWS) -> DataFrame:
     s = pa.string()
     return _table(
         spark,
-        FIELD_ROWS,
+        rows,
         [("family", s), ("model_year", s), ("message", s), ("layout_name", s), ("ord", pa.int32()),
          ("byte", s), ("description", s), ("size", s), ("type", s), ("name", s), ("id", s)],
     )
 
 
-def linear_table(spark: SparkSession) -> DataFrame:
+def linear_table(spark: SparkSession, rows: list[tuple] = LINEAR_ROWS) -> DataFrame:
     s = pa.string()
     return _table(
         spark,
-        [(*pair, *row) for pair in PAIRS_WITH_TABLES for row in LINEAR_ROWS],
+        [(*pair, *row) for pair in PAIRS_WITH_TABLES for row in rows],
         [("family", s), ("model_year", s), ("id", pa.int64()), ("row_ord", pa.int64()),
          ("factor", pa.float64()), ("offset", pa.float64()), ("decimals", pa.int32()),
          ("units", s), ("raw_min", s), ("raw_max", s), ("encoding_name", s)],
     )
 
 
-def enum_table(spark: SparkSession) -> DataFrame:
+def enum_table(spark: SparkSession, rows: list[tuple] = ENUM_ROWS) -> DataFrame:
     s = pa.string()
     return _table(
         spark,
-        [(*pair, *row) for pair in PAIRS_WITH_TABLES for row in ENUM_ROWS],
+        [(*pair, *row) for pair in PAIRS_WITH_TABLES for row in rows],
         [("family", s), ("model_year", s), ("id", pa.int64()), ("row_ord", pa.int64()),
          ("min", s), ("encoding_name", s)],
     )
@@ -292,6 +334,29 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def long_messages(joined: DataFrame) -> DataFrame:
+    """Message C of the joined telemetry: 22 bytes, some shorter, some with other text."""
+    e = F.col("event_id")
+    digits = F.upper(F.md5(e.cast("string").cast("binary")))
+    body = (
+        F.when(e % 5 == 0, F.repeat(F.lit("F"), F.lit(32)))
+        .when(e % 5 == 1, F.concat(F.lit("7FFFFFFFFFFFFFFF"), F.substring(digits, 17, 16)))
+        .when(e % 5 == 2, F.concat(F.lit("00000000000000"), F.substring(digits, 15, 18)))
+        .when(e % 5 == 3, F.concat(F.lit("8"), F.substring(digits, 2, 31)))
+        .otherwise(digits)
+    )
+    full = F.concat(F.lit("62C001"), body, F.lower(F.substring(digits, 1, 6)))
+    hex_text = (
+        F.when(e % 17 == 0, None)
+        .when(e % 17 == 1, F.substring(full, 1, 15))
+        .when(e % 17 == 2, F.substring(full, 1, 21))
+        .when(e % 17 == 3, F.concat(F.substring(full, 1, 9), F.lit("G"), F.substring(full, 11, 34)))
+        .when(e % 17 == 4, F.lower(full))
+        .otherwise(full)
+    )
+    return joined.select("event_id", "model_name", "family", "model_year", F.lit("C").alias("message"), hex_text.alias("hex"))
+
+
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vehicle master: vin 7 is missing and vin 11 occurs twice."""
     k = F.col("c_custkey")
@@ -389,3 +454,26 @@ SQL_ENUM = values_sql(
     [(*pair, *row) for pair in PAIRS_WITH_TABLES for row in ENUM_ROWS],
     ["family", "model_year", "id", "row_ord", "min", "encoding_name"],
 )
+
+SQL_LONG_MESSAGES = """
+SELECT event_id, model_name, family, model_year, 'C' AS message,
+  CASE event_id % 17 WHEN 0 THEN NULL WHEN 1 THEN substr(full_c, 1, 15) WHEN 2 THEN substr(full_c, 1, 21)
+    WHEN 3 THEN substr(full_c, 1, 9) || 'G' || substr(full_c, 11, 34) WHEN 4 THEN lower(full_c) ELSE full_c END AS hex
+FROM (
+  SELECT *, '62C001' || CASE event_id % 5 WHEN 0 THEN repeat('F', 32)
+      WHEN 1 THEN '7FFFFFFFFFFFFFFF' || substr(digits, 17, 16)
+      WHEN 2 THEN '00000000000000' || substr(digits, 15, 18)
+      WHEN 3 THEN '8' || substr(digits, 2, 31) ELSE digits END || lower(substr(digits, 1, 6)) AS full_c
+  FROM (SELECT *, upper(md5(CAST(event_id AS VARCHAR))) AS digits FROM joined))
+"""
+_LAYOUT_COLUMNS = ["family", "model_year", "message", "layout_name", "ord", "byte", "description", "size", "type", "name", "id"]
+SQL_LONG_LAYOUTS = values_sql(FIELD_ROWS_C, _LAYOUT_COLUMNS)
+SQL_LONG_LINEAR = values_sql(
+    [(*pair, *row) for pair in PAIRS_WITH_TABLES for row in LINEAR_ROWS_C],
+    ["family", "model_year", "id", "row_ord", "factor", "offset_b", "decimals", "units", "raw_min", "raw_max", "encoding_name"],
+    {"factor": "DOUBLE", "offset_b": "DOUBLE"},
+)
+SQL_LONG_ENUM = values_sql(
+    [(*pair, *row) for pair in PAIRS_WITH_TABLES for row in ENUM_ROWS_C],
+    ["family", "model_year", "id", "row_ord", "min", "encoding_name"],
+)

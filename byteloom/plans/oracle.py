@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from byteloom.plans import fixtures as fx
 
 _VIEWS = {
@@ -158,12 +160,85 @@ SELECT event_id, model_name, family, model_year, message, hex, ord, description,
 FROM valued
 """,
 }
+
+
+def _of_long(sql: str) -> str:
+    """The SQL of a view over the tables of the long fields."""
+    return re.sub(r"\b(messages|fields|layouts|placed|checked)\b", r"long_\1", sql)
+
+
+_VIEWS |= {
+    "long_messages": fx.SQL_LONG_MESSAGES,
+    "long_layouts": fx.SQL_LONG_LAYOUTS,
+    "long_linear": fx.SQL_LONG_LINEAR,
+    "long_enums": fx.SQL_LONG_ENUM,
+    **{f"long_{name}": _of_long(_VIEWS[name]) for name in ("fields", "placed", "checked")},
+    # Numbers of up to 128 bits; the bytes are summed up one by one.
+    "long_numbers": """
+SELECT *, CASE WHEN error IS NOT NULL THEN NULL
+  WHEN k = 0 THEN list_reduce(list_transform(range(length(whole)), lambda i:
+      CAST(CAST('0x' || substr(whole, i + 1, 1) AS UTINYINT) AS UHUGEINT) << CAST(4 * (length(whole) - 1 - i) AS UHUGEINT)),
+      lambda a, b: a | b)
+  ELSE
+    ((list_reduce(list_transform(range(n + CASE WHEN after_run IS NULL THEN 0 ELSE 1 END), lambda i:
+        CAST(CAST('0x' || substr(hex, 2 * (bp + i) + 1, 2) AS UTINYINT) AS UHUGEINT) << CAST(8 * i AS UHUGEINT)),
+        lambda a, b: a | b) >> CAST(bb AS UHUGEINT)) & ((CAST(1 AS UHUGEINT) << CAST(8 * n AS UHUGEINT)) - 1))
+    | ((CAST(CAST('0x' || before AS UTINYINT) AS UHUGEINT) & ((CAST(1 AS UHUGEINT) << CAST(k AS UHUGEINT)) - 1))
+      << CAST(8 * n AS UHUGEINT)) END AS raw
+FROM long_checked
+""",
+    "long_labelled": """
+SELECT m.*, f.factor, f.offset_b, f.decimals, f.raw_max, f.id IS NOT NULL AS has_row,
+  e.family IS NOT NULL AS has_tables,
+  coalesce(nullif(ltrim(upper(CASE WHEN k = 0 THEN whole END), '0'), ''), '0') AS code,
+  (SELECT arg_min(l.encoding_name, l.row_ord) FROM long_linear l
+    WHERE l.family = m.family AND l.model_year = m.model_year AND m.type = 'L' AND l.id = TRY_CAST(m.id AS BIGINT)
+      AND l.encoding_name IS NOT NULL AND m.raw IS NOT NULL
+      AND lpad(coalesce(nullif(ltrim(upper(whole), '0'), ''), '0'), 32, '0')
+        BETWEEN lpad(replace(l.raw_min, '$', ''), 32, '0') AND lpad(replace(l.raw_max, '$', ''), 32, '0')) AS range_label,
+  (SELECT arg_min(t.encoding_name, t.row_ord) FROM long_enums t
+    WHERE t.family = m.family AND t.model_year = m.model_year AND m.type = 'T' AND t.id = TRY_CAST(m.id AS BIGINT)
+      AND m.raw IS NOT NULL AND t.min = '$' || lpad(ltrim(upper(whole), '0'), CAST(greatest(2, length(ltrim(upper(whole), '0'))) AS INTEGER), '0')
+  ) AS code_label
+FROM long_numbers m
+LEFT JOIN (SELECT DISTINCT family, model_year FROM long_linear) e
+  ON e.family = m.family AND e.model_year = m.model_year
+LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY family, model_year, id ORDER BY row_ord) AS rn
+    FROM long_linear) WHERE rn = 1) f
+  ON m.type = 'L' AND f.family = m.family AND f.model_year = m.model_year AND f.id = TRY_CAST(m.id AS BIGINT)
+""",
+    "long_valued": """
+SELECT *, coalesce(range_label, code_label) AS label,
+  CASE WHEN raw_max LIKE '$%' THEN lpad(replace(raw_max, '$', ''), 32, '0')
+    WHEN raw_max IS NOT NULL THEN lpad(printf('%X', CAST(raw_max AS UBIGINT)), 32, '0') END < lpad(code, 32, '0') AS beyond,
+  CAST(CAST(raw AS VARCHAR) AS DOUBLE) * factor + offset_b AS scaled
+FROM long_labelled
+""",
+    "long_decoded": """
+SELECT event_id, model_name, ord, description, CAST(raw AS VARCHAR) AS raw, error, CASE
+  WHEN error IS NOT NULL THEN 'Error: ' || error
+  WHEN label IS NOT NULL THEN label
+  WHEN type = 'L' AND has_row THEN CASE
+    WHEN beyond THEN 'Out of Range/Invalid'
+    WHEN factor IS NULL THEN 'Conv Error: cannot convert float NaN to integer'
+    WHEN decimals > 0 THEN CAST(round_even(scaled, CAST(decimals AS INTEGER)) AS VARCHAR)
+    ELSE CAST(CAST(trunc(scaled) AS HUGEINT) AS VARCHAR) END
+  WHEN type = 'T' AND id IS NOT NULL AND has_tables THEN CASE
+    WHEN contains(name, 'False / True') THEN CASE WHEN raw = 1 THEN 'True' ELSE 'False' END
+    ELSE '0x' || code || ' (No match)' END
+  WHEN type = 'T' THEN '0x' || code
+  ELSE CAST(raw AS VARCHAR) END AS value,
+  CASE WHEN error IS NOT NULL OR label IS NOT NULL OR type = 'T' THEN NULL
+    WHEN type = 'L' AND has_row THEN CASE WHEN beyond OR factor IS NULL THEN NULL
+      WHEN decimals > 0 THEN round_even(scaled, CAST(decimals AS INTEGER)) ELSE trunc(scaled) + 0.0 END
+    ELSE CAST(CAST(raw AS VARCHAR) AS DOUBLE) END AS num
+FROM long_valued
+""",
+}
 _ORDER = list(_VIEWS)
 
 
 def _needs(sql: str) -> list[str]:
-    import re
-
     return [name for name in _ORDER if re.search(rf"\b{name}\b", sql)]
 
 
@@ -239,6 +314,9 @@ FROM messages m
 """
 
 _SQL = {
+    "decode_long_fields": "SELECT event_id, model_name, ord, description, raw, value, error, num FROM long_decoded",
+    "decode_long_fields_forms": """
+SELECT form, event_id, model_name, description, value FROM long_decoded, (VALUES ('array'), ('wide')) AS v(form)""",
     "scan_projection": """
 SELECT event_id, vin, app_timestamp, msg_a AS "DIAG_BCM_A", msg_b AS "DIAG_BCM_B" FROM telemetry""",
     "date_window": """

@@ -446,6 +446,41 @@ def decode_mixed(spark, sf):
     return _by_shape(spark, sf, (F.col("_n") > 0) == (F.col("_k") > 0))
 
 
+@lru_cache(maxsize=4)
+def long_catalog(spark: SparkSession) -> cat.FieldCatalog:
+    return cat.compile_catalog(
+        fx.layouts(spark, fx.FIELD_ROWS_C),
+        fx.linear_table(spark, fx.LINEAR_ROWS_C),
+        fx.enum_table(spark, fx.ENUM_ROWS_C),
+    ).stored(f"{sinks.scratch_folder(spark)}/catalog")
+
+
+@query
+def decode_long_fields(spark, sf):
+    """Fields of 8, 9 and 16 bytes with the digits of their raw values."""
+    long = dec.decode_long(fx.long_messages(joined(spark, sf)), long_catalog(spark))
+    digits = F.coalesce(F.col("raw").cast("string"), F.col("raw_big"))
+    return long.select(*KEY, "ord", "description", digits.alias("raw"), "value", "error", "num")
+
+
+@query
+def decode_long_fields_forms(spark, sf):
+    """The same fields from the array form and from the wide form, as text."""
+    rows, catalog = fx.long_messages(joined(spark, sf)), long_catalog(spark)
+    arrays = dec.decode_array(rows, catalog).select(*KEY, F.explode_outer("decoded").alias("r"))
+    records = arrays.filter(F.col("r").isNotNull()).select(
+        F.lit("array").alias("form"), *KEY, F.col("r.description").alias("description"), F.col("r.decoded_value").alias("value")
+    )
+    names = {entry[2]: f"c{i}" for i, entry in enumerate(fx.LAYOUT_C)}
+    columns = [dec.WideColumn("C", description, "string", name) for description, name in names.items()]
+    wide = dec.decode_wide(rows.withColumnRenamed("hex", "msg_c"), catalog, columns, {"C": "msg_c"})
+    text = wide.withColumnsRenamed({name: d for d, name in names.items()}).unpivot(
+        list(KEY), list(names), "description", "value"
+    )
+    filled = text.filter(F.col("value").isNotNull())
+    return records.union(filled.select(F.lit("wide"), *KEY, "description", "value"))
+
+
 def _of_type(long: DataFrame, kind: str) -> DataFrame:
     return long.filter((F.col("msg_type") == kind) & F.col("error").isNull()).select(
         *KEY, "message", "ord", "raw", "value"

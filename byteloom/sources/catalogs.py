@@ -176,9 +176,9 @@ def layout_documents(spark: SparkSession, root: str, ecu: str = "BCM", tree: boo
 
 
 def explode_entries(documents: DataFrame) -> DataFrame:
-    """One row per layout entry, with its position."""
+    """One row per layout entry, with its position; a document without entries gives one row without."""
     keep = [c for c in documents.columns if c != "entries"]
-    exploded = documents.select(*keep, F.posexplode("entries").alias("ord", "entry"))
+    exploded = documents.select(*keep, F.posexplode_outer("entries").alias("ord", "entry"))
     return exploded.select(*keep, "ord", "entry.*")
 
 

@@ -7,7 +7,7 @@ import pytest
 import spec
 from pyspark.sql import functions as F
 
-from byteloom.operators.catalog import compile_catalog, label_tables
+from byteloom.operators.catalog import compile_catalog, label_sets
 from byteloom.operators.decode import (
     WideColumn,
     decode_array,
@@ -15,6 +15,7 @@ from byteloom.operators.decode import (
     decode_wide,
     envelope,
 )
+from byteloom.functions import wholes
 from byteloom.functions.numbers import float_text
 from byteloom.operators.flatten import field_positions, flatten_messages
 from byteloom.plans import fixtures as fx
@@ -114,6 +115,12 @@ def test_last_entry_of_a_description_wins_even_if_it_fails(spark):
     assert values(spark, entries, ["07"], dedup="first") == ["7"]
 
 
+def labels_by_search(sets, value):
+    """Label of a value in the pieces of a label set."""
+    at = sum(start <= value for start in sets.starts)
+    return sets.names[at - 1] if at else None
+
+
 def test_overlapping_ranges_belong_to_the_first_row(spark):
     rows = [
         ("F", "1", 1, 0, None, None, 0, None, "$10", "$40", "low"),
@@ -121,11 +128,25 @@ def test_overlapping_ranges_belong_to_the_first_row(spark):
         ("F", "1", 1, 2, None, None, 0, None, "$00", "$FF", "rest"),
     ]
     linear = spark.createDataFrame(rows, LINEAR_SCHEMA)
-    ranges = label_tables(linear, spark.createDataFrame([], ENUM_SCHEMA))[1].collect()
-    label = {v: r.label for r in ranges for v in range(r.lo, r.hi + 1)}
-    assert len(label) == sum(r.hi - r.lo + 1 for r in ranges) == 256
+    [sets] = label_sets(linear, spark.createDataFrame([], ENUM_SCHEMA)).collect()
+    assert sets.starts == sorted(set(sets.starts)) and sets.big_starts is None
     for v in range(256):
-        assert label[v] == ("low" if 16 <= v <= 64 else "high" if 48 <= v <= 96 else "rest")
+        assert labels_by_search(sets, v) == ("low" if 16 <= v <= 64 else "high" if 48 <= v <= 96 else "rest")
+    assert labels_by_search(sets, 256) is None
+
+
+def test_random_ranges_equal_a_scan_in_file_order(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(400):
+        low = rng.randrange(0, 3000)
+        high = low + rng.choice([0, 0, 1, 5, 70, 900])
+        rows.append(("F", "1", i % 3, i, None, None, 0, None, f"${low:02X}", f"${high:02X}", f"n{i}"))
+    sets = {s.id_number: s for s in label_sets(spark.createDataFrame(rows, LINEAR_SCHEMA), spark.createDataFrame([], ENUM_SCHEMA)).collect()}
+    for key in range(3):
+        for value in range(0, 4000, 7):
+            hits = [r[10] for r in rows if r[2] == key and int(r[8][1:], 16) <= value <= int(r[9][1:], 16)]
+            assert labels_by_search(sets[key], value) == (hits[0] if hits else None)
 
 
 def test_random_layouts_equal_the_slow_statement(spark):
@@ -275,3 +296,79 @@ def test_flatten_takes_every_described_field_of_the_layouts(spark):
     rows = spark.createDataFrame([("F", "1", "C807")], "family string, model_year string, m string")
     flat = flatten_messages(rows, catalog, {"A": "m"}, {"A": {"Bus*": "float"}})
     assert flat.select("Bus__Volt", "Count").collect() == [(20.0, "7")]
+
+
+def test_large_float_text_is_the_shortest(spark):
+    rng = random.Random(13)
+    numbers = [rng.choice([-1, 1]) * rng.randrange(2**56, 2 ** rng.randrange(60, 400)) / 2 for _ in range(3000)]
+    numbers += [1e16, 2.0**63, 2.0**64 - 2048, 1e23, 9.999999999999999e22, 1.7976931348623157e308]
+    rows = spark.createDataFrame([(n,) for n in numbers], "x double").select(wholes.large_float_text(F.col("x")))
+    assert [row[0] for row in rows.collect()] == [repr(n) for n in numbers]
+
+
+def test_whole_numbers_of_any_width(spark):
+    rng = random.Random(17)
+    numbers = [0, 1, 2**63 - 1, 2**63, 2**64 - 1, 2**64, 10**9, 10**38, 2**128 - 1] + [
+        rng.randrange(2 ** rng.randrange(1, 400)) for _ in range(300)
+    ]
+    rows = spark.createDataFrame([(i, f"{n:020x}", str(n)) for i, n in enumerate(numbers)], "i int, h string, d string")
+    whole = wholes.normal(F.col("h"))
+    got = rows.select(
+        "i", whole.alias("w"), wholes.decimal_text(whole).alias("d"), wholes.to_bigint(whole).alias("n"),
+        wholes.sortable(whole).alias("s"), wholes.of_decimal(F.col("d")).alias("o"), wholes.to_double(whole).alias("f"),
+    ).orderBy("i").collect()
+    for row, n in zip(got, numbers):
+        assert (row.w, row.d, row.f) == (f"{n:X}", str(n), float(n))
+        assert row.n == (n if n < 2**63 else None)
+        assert row.o == (f"{n:X}" if n < 10**38 else None)
+    assert [r.i for r in sorted(got, key=lambda r: r.s)] == sorted(range(len(numbers)), key=lambda i: (numbers[i]))
+
+
+def test_whole_part_of_large_doubles(spark):
+    numbers = [0.0, -0.75, 5.9, 2.0**62, -(2.0**63), 2.0**63, 2.0**64 - 2048, 1e22, -1.5e30, 3.3e200]
+    rows = spark.createDataFrame([(n,) for n in numbers], "x double").select(wholes.double_text(F.col("x")))
+    assert [row[0] for row in rows.collect()] == [str(int(n)) for n in numbers]
+
+
+def test_wide_layouts_equal_the_slow_statement(spark):
+    """Random fields of up to 20 bytes, in the long, the array and the wide form."""
+    rng = random.Random(19)
+    shapes = []
+    for _ in range(60):
+        n, k = rng.choice([(rng.randrange(6, 21), 0), (rng.randrange(6, 20), rng.randrange(1, 12))])
+        shapes.append((rng.randrange(0, 12), rng.randrange(0, 9), n, k))
+    entries = [(f"{p} [{b}]", f"f{i}", f"{n} [{k}]", "I", "", "1") for i, (p, b, n, k) in enumerate(shapes)]
+    texts = ["".join(rng.choice("0123456789abcdefABCDEF") for _ in range(rng.randrange(20, 80))) for _ in range(25)]
+    texts += [t[:30] + "g" + t[31:] for t in texts[:5]] + ["F" * 70, "0" * 70, "7" + "F" * 69]
+    catalog = catalog_of(spark, entries)
+    messages = messages_of(spark, texts)
+    want = {
+        (i, j): spec.read(text, *shape) for i, text in enumerate(texts) for j, shape in enumerate(shapes)
+    }
+    for row in decode_long(messages, catalog).collect():
+        number = want[row.n, row.ord]
+        assert (row.raw is None) == (number is None or number >= 2**63)
+        assert row.raw_big == (str(number) if number is not None and number >= 2**63 else None)
+        assert (row.error is None) == (number is not None) and (number is None or row.value == str(number))
+        assert row.num == (None if number is None else float(number))
+    arrays = {r.n: r.decoded for r in decode_array(messages, catalog).collect()}
+    columns = [WideColumn("A", f"f{j}", "string", f"f{j}") for j in range(len(shapes))]
+    wide = {r.n: r for r in decode_wide(messages.withColumnRenamed("hex", "h"), catalog, columns, {"A": "h"}).collect()}
+    for (i, j), number in want.items():
+        record = arrays[i][j]
+        assert record.decoded_value == wide[i][f"f{j}"]
+        if number is not None:
+            assert record.decoded_value == str(number) and (record.raw_big is None) == (number < 2**63)
+
+
+def test_ten_thousand_ranges_of_one_id(spark):
+    """Found by halving: no list of ranges is walked for a message."""
+    ranges = [(1, 0, 1.0, 0.0, 0, None, "$0000", "$FFFF", None)]
+    ranges += [(1, 1 + i, None, None, 0, None, f"${6 * i:04X}", f"${6 * i + 3:04X}", f"n{i}") for i in range(10_000)]
+    catalog = catalog_of(spark, [("0 [0]", "d", "2 [0]", "L", "", "1")], ranges)
+    raws = list(range(0, 65536, 41)) + [59997, 59998, 65535]
+    decoded = decode_long(messages_of(spark, [f"{raw:04X}" for raw in raws]), catalog)
+    got = {r.n: r.value for r in decoded.collect()}
+    for i, raw in enumerate(raws):
+        assert got[i] == (f"n{raw // 6}" if raw % 6 < 4 and raw // 6 < 10_000 else str(raw))
+    assert "lambda" not in decoded._jdf.queryExecution().optimizedPlan().toString()
