@@ -83,25 +83,30 @@ def zip_log_lines(
     Lines beyond the number of time stamps have no partner and drop out.
     """
     order = [order] if isinstance(order, str) else list(order)
-    cells = lines.withColumn("_cells", F.split(F.trim("line"), ","))
+    # Cells are made once: as a generated row they are a column of their own.
+    cells = lines.withColumn("_cells", F.explode(F.array(F.split(F.trim("line"), ","))))
     stamp = F.trim(F.get("_cells", F.lit(0))).try_cast("bigint")
     is_data = F.col("line").contains(",") & reduce(
         lambda a, b: a | b, [F.col("line").contains(mark) for mark in DATA_ROW_MARKERS]
     )
-    stamps = cells.select(file, *order, stamp.alias("timestamp_ms"), bucket.alias("_cut")).filter(
-        F.col("timestamp_ms").isNotNull()
+    # A line may be both; time stamps and data lines are numbered apart in one pass.
+    kinds = F.array_compact(F.array(F.when(F.col("_stamp").isNotNull(), 0), F.when(is_data, 1)))
+    items = (
+        cells.select(file, *order, "line", "_cells", stamp.alias("_stamp"), bucket.alias("_part"))
+        .withColumn("_kind", F.explode(kinds))
+        .select(
+            file, *order, "_part", "_kind",
+            F.when(F.col("_kind") == 0, F.col("_stamp")).alias("timestamp_ms"),
+            F.when(F.col("_kind") == 1, F.slice("_cells", 2, len(columns))).alias("_data"),
+        )
+    )
+    numbered = number_rows(items, [file, "_kind"], order, F.col("_part"), "ordinal")
+    paired = numbered.groupBy(file, "ordinal").agg(
+        F.max("timestamp_ms").alias("timestamp_ms"), F.max("_data").alias("_data")
     )
-    data = cells.filter(is_data).select(
+    return paired.filter(F.col("timestamp_ms").isNotNull() & F.col("_data").isNotNull()).select(
         file,
-        *order,
-        bucket.alias("_cut"),
-        *[
-            F.coalesce(F.get("_cells", F.lit(i + 1)), F.lit("")).alias(c)
-            for i, c in enumerate(columns)
-        ],
-    )
-    left = number_rows(stamps, [file], order, F.col("_cut"), "ordinal")
-    right = number_rows(data, [file], order, F.col("_cut"), "ordinal")
-    return left.select(file, "ordinal", "timestamp_ms").join(
-        right.select(file, "ordinal", *columns), [file, "ordinal"]
+        "ordinal",
+        "timestamp_ms",
+        *[F.coalesce(F.get("_data", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(columns)],
     )

@@ -314,6 +314,27 @@ FROM messages m
 """
 
 _SQL = {
+    "artefact_inventory": """
+SELECT DISTINCT substr(p_type, 1, 2) AS family, CAST(2024 + p_partkey % 3 AS VARCHAR) AS model_year,
+  CASE p_partkey // 11 % 4 WHEN 0 THEN 'linear' WHEN 1 THEN 'enum' WHEN 2 THEN 'A001' ELSE 'B001' END AS artefact
+FROM part WHERE p_partkey % 5 <> 0 AND p_partkey % 7 <> 0""",
+    "linear_values_many_ranges": """
+WITH read AS (
+  SELECT event_id, model_name, CAST('0x' || substr(hex, 9, 4) AS BIGINT) AS raw FROM messages
+  WHERE family = 'MA' AND model_year = '2025' AND message = 'A' AND length(hex) >= 10
+    AND regexp_full_match(substr(hex, 9, 4), '[0-9A-Fa-f]+')
+), named AS (
+  SELECT raw, arg_min(p_name, p_partkey) AS label
+  FROM (SELECT DISTINCT raw FROM read) JOIN part
+    ON raw BETWEEN p_partkey * 7 % 65536 AND p_partkey * 7 % 65536 + p_size
+  GROUP BY raw
+)
+SELECT event_id, model_name, 'A' AS message, 0 AS ord, r.raw, coalesce(label,
+    CASE WHEN raw = 65535 AND top = 65534 THEN 'Invalid/Not Available' WHEN raw = 65535 AND top < 65535 THEN 'Invalid/Sensor Error'
+      WHEN raw = 65534 AND top < 65534 THEN 'Not Initialized' WHEN raw <> 65535 AND raw > top THEN 'Out of Range/Invalid'
+      ELSE CAST(round_even(raw * 0.1::DOUBLE, 1) AS VARCHAR) END) AS value
+FROM read r LEFT JOIN named USING (raw),
+  (SELECT arg_min(p_partkey * 7 % 65536 + p_size, p_partkey) AS top FROM part)""",
     "decode_long_fields": "SELECT event_id, model_name, ord, description, raw, value, error, num FROM long_decoded",
     "decode_long_fields_forms": """
 SELECT form, event_id, model_name, description, value FROM long_decoded, (VALUES ('array'), ('wide')) AS v(form)""",

@@ -8,7 +8,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from byteloom.fixed_values import ENUM_FILE, LINEAR_FILE
+from byteloom.fixed_values import ENUM_FILE, LAYOUT_FILE, LINEAR_FILE
 from byteloom.functions.hexbits import bracket_part, position_part
 from byteloom.functions.names import clean_name_column
 from byteloom.operators import catalog as cat
@@ -290,6 +290,25 @@ def missing_artefacts(spark, sf):
     return found.withColumn("missing", F.array_join("missing", ","))
 
 
+@query
+def artefact_inventory(spark, sf):
+    """Definition files of a tree that also holds kept copies and files of another year's folder."""
+    root = sinks.scratch_folder(spark)
+    k = F.col("p_partkey")
+    year = (k % 3 + 2024).cast("string")
+    folder = F.when(k % 5 == 0, F.concat(year, F.lit("-hold"))).when(k % 7 == 0, F.lit("2030")).otherwise(year)
+    names = [LINEAR_FILE, ENUM_FILE, LAYOUT_FILE.replace("{message}", "A001"), LAYOUT_FILE.replace("{message}", "B001")]
+    family = F.substring("p_type", 1, 2)
+    file = F.lit(None).cast("string")
+    for no, name in enumerate(names):
+        named = F.format_string(name.format(ecu="BCM", family="%1$s", year="%2$s"), family, year)
+        file = F.when((k / 11).cast("int") % 4 == no, named).otherwise(file)
+    # As many rows as there are definition files, not parts.
+    paths = part(spark, sf).select(F.concat_ws("/", family, folder, file).alias("path")).distinct().collect()
+    sinks.touch_files(spark, [f"{root}/{row.path}" for row in paths])
+    return src.artefact_inventory(spark, root)
+
+
 # --- time --------------------------------------------------------------------
 
 
@@ -379,10 +398,16 @@ def zip_log_lines(spark, sf):
 def zip_log_files(spark, sf):
     """The same from text files: lines in the order (block, position) of their file."""
     path = f"{sinks.scratch_folder(spark)}/logs"
-    lines = _log_lines(spark, sf).repartition("file").sortWithinPartitions("file", "position")
-    lines.select("file", "line").write.partitionBy("file").text(path)
-    read = tel.log_lines(spark, path).withColumn("file", F.regexp_extract("file", "file=([^/]+)/", 1))
-    return reshape.zip_log_lines(read, ["msg_a", "msg_b"], "file", ["block", "position"], F.col("block"))
+    cut = F.floor(F.col("position") / 5000)
+    lines = _log_lines(spark, sf).withColumn("_cut", cut).repartition("file", "_cut")
+    lines.sortWithinPartitions("file", "_cut", "position").drop("position").write.partitionBy("file", "_cut").text(path)
+    read = tel.log_lines(spark, path).withColumns(
+        {
+            "_cut": F.regexp_extract("file", "_cut=([^/]+)/", 1).cast("bigint"),
+            "file": F.regexp_extract("file", "file=([^/]+)/", 1),
+        }
+    )
+    return reshape.zip_log_lines(read, ["msg_a", "msg_b"], "file", ["_cut", "block", "position"], F.col("_cut"))
 
 
 # --- decode --------------------------------------------------------------------
@@ -492,6 +517,24 @@ def linear_values(spark, sf):
     return _of_type(long_rows(spark, sf), "L")
 
 
+@query
+def linear_values_many_ranges(spark, sf):
+    """A label range of one id for every part, most of them overlapping."""
+    pair = [F.lit("MA").alias("family"), F.lit("2025").alias("model_year")]
+    low = F.col("p_partkey") * 7 % 65536
+    ranges = part(spark, sf).select(
+        *pair, F.lit(300).cast("bigint").alias("id"), F.col("p_partkey").cast("bigint").alias("row_ord"),
+        F.lit(0.1).alias("factor"), F.lit(0.0).alias("offset"), F.lit(1).alias("decimals"), F.lit(None).cast("string").alias("units"),
+        F.format_string("$%04X", low).alias("raw_min"), F.format_string("$%04X", low + F.col("p_size")).alias("raw_max"),
+        F.col("p_name").alias("encoding_name"),
+    )
+    entry = ("MA", "2025", "A", "Ranges", 0, "4 [0]", "Ranged", "2 [0]", "L", "ranged", "300")
+    catalog = cat.compile_catalog(
+        fx.layouts(spark, [entry]), ranges, fx.enum_table(spark, fx.ENUM_ROWS_C)
+    ).stored(f"{sinks.scratch_folder(spark)}/catalog")
+    return _of_type(dec.decode_long(messages(spark, sf), catalog), "L")
+
+
 @query
 def enum_values(spark, sf):
     return _of_type(long_rows(spark, sf), "T")
@@ -878,7 +921,9 @@ def layout_mixed_csv(spark, sf):
         (k % 3).alias("_file"),
     )
     _write_csv(base.filter(k % 3 == 0).drop("Default_Value"), f"{path}/current")
-    _write_csv(base.filter(k % 3 == 1), f"{path}/valued")
+    # Seventy more columns in front: files are read by their own header, whatever its length.
+    padded = [F.lit(f"pad, {i}").alias(f"Pad {i}") for i in range(70)]
+    _write_csv(base.filter(k % 3 == 1).select(*padded, "*"), f"{path}/valued")
     legacy = base.filter(k % 3 == 2).drop("Default_Value", "Type")
     _write_csv(legacy.withColumnsRenamed({"Name": "Type", "ID": "Name"}), f"{path}/legacy")
     return src.layout_csv(spark, path).drop("file", "ord")

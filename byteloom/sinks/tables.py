@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +82,16 @@ def write_text_file(df: DataFrame, path: str) -> None:
     fs.delete(source, True)
 
 
+def touch_files(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Files of these names with an empty line each, in any file system that Spark reaches."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        out = path.getFileSystem(conf).create(path)
+        out.write(ord("\n"))
+        out.close()
+
+
 def write_layouts(documents: DataFrame, path: str) -> None:
     """Layout documents (layout_name, entries) as JSON, one document per line."""
     documents.select(F.col("layout_name").alias("name"), "entries").write.mode(

@@ -6,16 +6,13 @@ files of all families and years.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from byteloom import fixed_values as fixed
 
-#: Columns a CSV file may have.
-CSV_COLUMNS = 64
-
 # --- fixed values: schemas of the layout and configuration documents -------
 ENTRY = (
     "struct<byte:string,description:string,size:string,type:string,name:string,id:string,"
@@ -50,27 +47,39 @@ def _in_place(df: DataFrame, path: Column, tree: bool) -> DataFrame:
     )
 
 
+def csv_cells(line: Column) -> Column:
+    """Cells of a CSV line: quoted cells may hold commas and doubled quotes; an empty cell is NULL."""
+    found = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(r'(\s*"(?:[^"]++|"")*+"[^,]*|[^,]*),'), F.lit(1))
+
+    def plain(cell: Column) -> Column:
+        inside = F.regexp_extract(cell, r'^\s*"((?:[^"]++|"")*+)"', 1)
+        quoted = cell.rlike(r'^\s*"(?:[^"]++|"")*+"')
+        return F.when(quoted, F.replace(inside, F.lit('""'), F.lit('"'))).when(cell != "", cell)
+
+    return F.transform(found, plain)
+
+
 def _read_csv(spark: SparkSession, root: str, glob: str) -> DataFrame:
     """CSV files below ``root``: cells as text, each file's own header, and the row's place.
 
-    The files may have different columns in any order; see :func:`_text`.
-    Files are definition tables, so one file is one window partition.
+    The files may have any number of columns, different ones in any order; see
+    :func:`_text`.  A cell ends with its line.  Files are definition tables, so
+    one file is one window partition.
     """
-    cells = F.array(*[F.col(f"c{i}") for i in range(CSV_COLUMNS)])
     rows = (
-        spark.read.schema(", ".join(f"c{i} string" for i in range(CSV_COLUMNS)))
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
-        .csv(root)
+        .text(root)
+        .filter(F.trim("value") != "")
         .select(
-            cells.alias("_cells"),
+            csv_cells(F.replace("value", F.lit("\ufeff"), F.lit(""))).alias("_cells"),
             F.col("_metadata.file_path").alias("_path"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_line"),
         )
     )
     window = Window.partitionBy("_path").orderBy("_block", "_line")
-    plain = F.transform("_cells", lambda c: F.trim(F.replace(c, F.lit("\ufeff"), F.lit(""))))
+    plain = F.transform("_cells", F.trim)
     return (
         rows.withColumns(
             {
@@ -281,30 +290,30 @@ def length_catalog(
     )
 
 
-def artefact_inventory(spark: SparkSession, root: str, ecu: str = "BCM") -> DataFrame:
+def artefact_inventory(spark: SparkSession, root: str, ecu: str = "BCM", tree: bool = True) -> DataFrame:
     """(family, model_year, artefact) of the definition files below ``root``.
 
-    Artefacts are 'linear', 'enum' and the message of each layout.  Only file
-    names are read.
+    Artefacts are 'linear', 'enum' and the message of each layout.  Files are
+    listed, not opened; those count that the loaders would read: with ``tree``
+    only files in <root>/<family>/<year>/.
     """
-    path = F.col("path")
+    path = F.col("_path")
     layout, linear, enum = (
-        _pattern(t, ecu) for t in (fixed.LAYOUT_FILE, fixed.LINEAR_FILE, fixed.ENUM_FILE)
+        f"/{_pattern(t, ecu)}$" for t in (fixed.LAYOUT_FILE, fixed.LINEAR_FILE, fixed.ENUM_FILE)
     )
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(
+        F.col("path").alias("_path")
     )
+    by_kind = {linear: (1, 2, F.lit("linear")), enum: (1, 2, F.lit("enum")),
+               layout: (2, 3, F.regexp_extract(path, layout, 1))}
 
-    def part(pattern: str, family: int, year: int, artefact: Column) -> DataFrame:
-        hit = files.filter(path.rlike(pattern))
-        return hit.select(
-            F.regexp_extract(path, pattern, family).alias("family"),
-            F.regexp_extract(path, pattern, year).alias("model_year"),
-            artefact.alias("artefact"),
-        )
+    def part(of: Callable[[str, tuple], Column]) -> Column:
+        return F.coalesce(*[F.when(path.rlike(pattern), of(pattern, kind)) for pattern, kind in by_kind.items()])
 
-    return (
-        part(layout, 2, 3, F.regexp_extract(path, layout, 1))
-        .union(part(linear, 1, 2, F.lit("linear")))
-        .union(part(enum, 1, 2, F.lit("enum")))
+    named = files.select(
+        "_path",
+        part(lambda pattern, kind: F.regexp_extract(path, pattern, kind[0])).alias("family"),
+        part(lambda pattern, kind: F.regexp_extract(path, pattern, kind[1])).alias("model_year"),
+        part(lambda _, kind: kind[2]).alias("artefact"),
     )
+    return _in_place(named.filter(F.col("artefact").isNotNull()), path, tree).drop("_path")
