@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # --- fixed values: prefixes that tell the kinds of columns apart ----------
@@ -80,6 +80,32 @@ def decoding_summary(df: DataFrame) -> DataFrame:
     return data.unionByName(constants)
 
 
+def watched(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows, and what their writing will have counted: rows, and errors of each decoded column."""
+    seen = Observation()
+    errors = [F.count_if(F.col(c).contains("error")).alias(c) for c in decoded_columns(df)]
+    return df.observe(seen, F.count(F.lit(1)).alias("_rows"), *errors), seen
+
+
+def watched_summary(df: DataFrame, pairs: DataFrame, figures: Mapping[str, int]) -> DataFrame:
+    """:func:`decoding_summary` of rows that were counted while they were written.
+
+    ``pairs`` has the written family and model_year columns, ``figures`` what
+    the observation of :func:`watched` has counted.
+    """
+    names = decoded_columns(df)
+    counted = [("total_rows", "", figures["_rows"])] if figures["_rows"] else []
+    counted += [("errors", name, figures[name]) for name in names if figures[name]]
+    counted += [
+        ("total_columns", "", len(df.columns)),
+        ("decoded_json_columns", "", len(names)),
+        ("flattened_data_columns", "", len(flattened_columns(df))),
+    ]
+    constants = df.sparkSession.createDataFrame(counted, "metric string, key string, value bigint")
+    per_pair = pairs.groupBy(F.concat_ws("-", "family", "model_year").alias("key")).agg(F.count(F.lit(1)).alias("value"))
+    return per_pair.select(F.lit("family").alias("metric"), "key", "value").unionByName(constants)
+
+
 def quality_report(df: DataFrame) -> DataFrame:
     """Columns with errors and the success rate in percent; NULL without columns."""
     names = decoded_columns(df)
@@ -94,6 +120,38 @@ def quality_report(df: DataFrame) -> DataFrame:
     )
 
 
+def report_body(summary: DataFrame) -> DataFrame:
+    """Report rows (section, key, value) over the (metric, key, value) rows.
+
+    Totals, rows by family, errors by column or a line that there are none,
+    and the quality: how many decoded columns have errors, and the share of
+    those without in percent.
+    """
+    section = (
+        F.when(F.col("metric") == "family", "families").when(F.col("metric") == "errors", "errors").otherwise("summary")
+    )
+    shown = F.when(F.col("metric").isin("family", "errors"), F.col("key")).otherwise(F.col("metric"))
+    told = summary.select(section.alias("section"), shown.alias("key"), F.col("value").cast("string").alias("value"))
+    figures = summary.agg(
+        F.count_if(F.col("metric") == "errors").alias("bad"),
+        F.coalesce(F.max(F.when(F.col("metric") == "decoded_json_columns", F.col("value"))), F.lit(0)).alias("n"),
+    )
+    bad, n = F.col("bad"), F.col("n")
+    rate = F.format_string("%.1f%%", F.try_divide((n - bad) * 100.0, n))
+
+    def line(name: str, key: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("section"), F.lit(key).alias("key"), value.alias("value"))
+
+    quality = F.array_compact(
+        F.array(
+            F.when(bad == 0, line("errors", "", F.lit("No errors found"))),
+            line("quality", "error_rate", F.format_string("%d/%d columns have errors", bad, n)),
+            line("quality", "success_rate", F.when(n > 0, rate).otherwise(F.lit("N/A"))),
+        )
+    )
+    return told.unionByName(figures.select(F.explode(quality).alias("line")).select("line.*"))
+
+
 def report_lines(summary: DataFrame) -> DataFrame:
     """Text lines of a report over the (metric, key, value) rows."""
     return summary.select(

@@ -14,11 +14,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampType
 
+from byteloom.functions.intervals import advanced, powers
+from byteloom.operators.lookup import lookup_join
+
 # --- fixed values: characters of "yyyy-MM-dd HH:mm:ss" up to each unit ----
 PREFIX = {"day": 10, "hour": 13, "minute": 16, "second": 19}
 SECONDS = {"day": 86_400, "hour": 3_600, "minute": 60, "second": 1}
 # Above this, Spark no longer limits the rows of a group before the shuffle.
 GROUP_LIMIT = 1_000
+# Rows that a bucket sized by the data holds, and of how many of them the splitters are made.
+BUCKET_ROWS = 1_000_000
+SAMPLES = 8
 
 
 def time_bucket(df: DataFrame, column: str, unit: str = "hour") -> Column:
@@ -34,18 +40,54 @@ def time_bucket(df: DataFrame, column: str, unit: str = "hour") -> Column:
     )
 
 
+def with_buckets(
+    df: DataFrame, groups: Sequence[str], ordering: Sequence[str], unit: str | None, rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """Add ``_group`` and ``_bucket``; a bucket never decreases along ``ordering``.
+
+    A ``unit`` of time cuts at fixed instants.  Without one the data cut
+    themselves: of every group one row in so many, chosen by a hash, is
+    collected, and a splitter is taken so often that about ``rows`` rows lie
+    between two.  However the rows of a group are spread over time, also all
+    at one instant, they are dealt out; groups of fewer rows stay whole.
+    """
+    grouped = df.withColumn("_group", F.struct(*groups))
+    if unit is not None:
+        return grouped.withColumn("_bucket", time_bucket(df, ordering[0], unit))
+    at = F.struct(*ordering)
+    rate = max(1, rows // SAMPLES)
+    every = max(1, rows // rate)
+    picked = grouped.filter(F.pmod(F.xxhash64(*groups, *ordering), F.lit(rate)) == 0)
+    samples = picked.groupBy("_group").agg(F.sort_array(F.collect_list(at)).alias("_samples"))
+    places = F.sequence(F.lit(every), F.size("_samples") - 1, F.lit(every))
+    splitters = samples.filter(F.size("_samples") > every).select(
+        "_group", F.transform(places, lambda i: F.get("_samples", i)).alias("_splitters")
+    )
+    most = splitters.agg(F.max(F.size("_splitters"))).first()[0]
+    if most is None:
+        return grouped.withColumn("_bucket", F.lit(0))
+    found = lookup_join(grouped, splitters, ["_group"], "left")
+    steps = F.array(*[F.lit(step) for step in powers(most)])
+    bucket = F.aggregate(steps, F.lit(0), lambda n, step: advanced(F.col("_splitters"), at, n, step))
+    return found.withColumn("_bucket", F.when(F.col("_splitters").isNull(), 0).otherwise(bucket)).drop("_splitters")
+
+
 def forward_fill(
     df: DataFrame,
     columns: Sequence[str],
     key: str = "vin",
     order: str = "app_timestamp",
     tiebreak: Sequence[str] = (),
-    unit: str = "hour",
+    unit: str | None = "hour",
     suffix: str = "_reference",
+    rows_per_bucket: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """Add ``<c>_reference``: last non-NULL value of ``c`` up to each row."""
+    """Add ``<c>_reference``: last non-NULL value of ``c`` up to each row.
+
+    Without a ``unit`` buckets are sized by the data: see :func:`with_buckets`.
+    """
     ordering = [order, *tiebreak]
-    rows = df.withColumns({"_group": F.struct(key), "_bucket": time_bucket(df, order, unit)})
+    rows = with_buckets(df, [key], ordering, unit, rows_per_bucket)
     at = F.struct(*ordering)
     last = rows.groupBy("_group", "_bucket").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_carry_{c}") for c in columns]
@@ -73,13 +115,18 @@ def forward_fill(
 
 
 def number_rows(
-    df: DataFrame, groups: Sequence[str], order: Sequence[str], bucket: Column, name: str = "row_num"
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], bucket: Column | None, name: str = "row_num",
+    rows_per_bucket: int = BUCKET_ROWS,
 ) -> DataFrame:
     """``row_number`` per group without a task per group.
 
-    ``bucket`` must not decrease along ``order``.
+    ``bucket`` must not decrease along ``order``; without one the buckets are
+    sized by the data.
     """
-    rows = df.withColumns({"_group": F.struct(*groups), "_bucket": bucket})
+    if bucket is None:
+        rows = with_buckets(df, groups, order, None, rows_per_bucket)
+    else:
+        rows = df.withColumns({"_group": F.struct(*groups), "_bucket": bucket})
     earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -106,12 +153,12 @@ def row_chunks(
     order: str = "app_timestamp",
     tiebreak: Sequence[str] = (),
     groups: Sequence[str] = ("family", "model_year"),
-    unit: str = "hour",
+    unit: str | None = "hour",
+    rows_per_bucket: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add ``chunk``: runs of ``size`` rows per group in time order, from 0."""
-    numbered = number_rows(
-        df, groups, [order, *tiebreak], time_bucket(df, order, unit), "_row"
-    )
+    bucket = None if unit is None else time_bucket(df, order, unit)
+    numbered = number_rows(df, groups, [order, *tiebreak], bucket, "_row", rows_per_bucket)
     return numbered.withColumn(
         "chunk", F.floor((F.col("_row") - 1) / size).cast("bigint")
     ).drop("_row")

@@ -637,6 +637,36 @@ _SQL |= {
     "flatten_wide_array": _SQL["flatten_wide"],
     "zip_log_files": _SQL["zip_log_lines"],
     "forward_fill_minute": _SQL["forward_fill"],
+    "forward_fill_by_data": _SQL["forward_fill"],
+    "row_chunks_by_data": _SQL["row_chunks"],
+    "sink_decoded_with_summary": _SQL["decoding_summary"],
+    "sink_rows_with_metadata": """
+SELECT vin, family, model_year, event_id, model_name, 'v1.0' AS pipeline_version, 'c7' AS config_version, TRUE AS stamped
+FROM joined""",
+    "report_body": f"""
+WITH e AS ({_JSON_ERRORS}), bad AS (SELECT count(DISTINCT message) AS n FROM e WHERE error IS NOT NULL)
+SELECT 'summary' AS section, 'total_rows' AS key, CAST(count(*) AS VARCHAR) AS value FROM joined
+UNION ALL SELECT 'families', family || '-' || model_year, CAST(count(*) AS VARCHAR) FROM joined GROUP BY family, model_year
+UNION ALL SELECT 'errors', 'decoded_' || message, CAST(count(*) AS VARCHAR) FROM e WHERE error IS NOT NULL GROUP BY message
+UNION ALL SELECT 'summary', 'total_columns', '6' UNION ALL SELECT 'summary', 'decoded_json_columns', '2'
+UNION ALL SELECT 'summary', 'flattened_data_columns', '1'
+UNION ALL SELECT 'errors', '', 'No errors found' FROM bad WHERE n = 0
+UNION ALL SELECT 'quality', 'error_rate', n || '/2 columns have errors' FROM bad
+UNION ALL SELECT 'quality', 'success_rate', printf('%.1f%%', (2 - n) * 100.0::DOUBLE / 2) FROM bad""",
+    "report_body_without_errors": """
+SELECT 'summary' AS section, 'total_rows' AS key, CAST(count(*) AS VARCHAR) AS value FROM joined
+UNION ALL SELECT 'families', family || '-' || model_year, CAST(count(*) AS VARCHAR) FROM joined GROUP BY family, model_year
+UNION ALL SELECT 'summary', 'total_columns', '3' UNION ALL SELECT 'summary', 'decoded_json_columns', '0'
+UNION ALL SELECT 'summary', 'flattened_data_columns', '1'
+UNION ALL SELECT 'errors', '', 'No errors found'
+UNION ALL SELECT 'quality', 'error_rate', '0/0 columns have errors'
+UNION ALL SELECT 'quality', 'success_rate', 'N/A'""",
+    "table_overwrite_partition": """
+SELECT event_id, model_name, family, model_year,
+  CASE WHEN family = 'MA' AND model_year = '2025' THEN NULL ELSE msg_a END AS msg_a,
+  CASE WHEN family = 'MA' AND model_year = '2025' THEN 'second' END AS run FROM joined""",
+    "stage_by_day": """
+SELECT event_id, model_name, dt, family, msg_a FROM joined WHERE dt >= '2024-01-05' AND dt < '2024-01-20'""",
     "decode_when_valid": f"""
 SELECT f.event_id, f.model_name, {_OF_MESSAGE} FROM ({_flattened("back = 1")}) f
 JOIN ({_CHECKED_ROWS}) c ON c.event_id = f.event_id AND c.model_name = f.model_name""",

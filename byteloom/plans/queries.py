@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -332,6 +333,21 @@ def forward_fill_minute(spark, sf):
     )
 
 
+@query
+def forward_fill_by_data(spark, sf):
+    """The same with buckets sized by the data, whatever the spread over time."""
+    filled = timeline.forward_fill(
+        fx.telemetry(spark, sf), ["voltage", "key_on"], tiebreak=["event_id"], unit=None, rows_per_bucket=200
+    )
+    return filled.select("event_id", "vin", "voltage", "key_on", "voltage_reference", "key_on_reference")
+
+
+@query
+def row_chunks_by_data(spark, sf):
+    chunked = timeline.row_chunks(joined(spark, sf), 100, tiebreak=TIEBREAK, unit=None, rows_per_bucket=200)
+    return chunked.select(*KEY, *PAIR, "chunk")
+
+
 @query
 def first_n_large(spark, sf):
     """More rows of a group than a task keeps before the shuffle."""
@@ -781,6 +797,57 @@ def sink_with_summary(spark, sf):
     return spark.read.parquet(f"{path}_summary")
 
 
+@query
+def sink_decoded_with_summary(spark, sf):
+    """Errors are counted while the decoded texts are written."""
+    path = f"{sinks.scratch_folder(spark)}/table"
+    sinks.save_with_summary(_decoded_table(spark, sf).withColumn("other", F.lit(1)).drop("vin"), path)
+    return spark.read.parquet(f"{path}_summary")
+
+
+@query
+def sink_rows_with_metadata(spark, sf):
+    """The written rows themselves, with their run columns."""
+    path = f"{sinks.scratch_folder(spark)}/table"
+    sinks.save_with_summary(joined(spark, sf).select("vin", *PAIR, *KEY), path, "c7")
+    stamped = F.col("processing_timestamp").isNotNull().alias("stamped")
+    return spark.read.parquet(path).select("vin", *PAIR, *KEY, "pipeline_version", "config_version", stamped)
+
+
+@query
+def report_body(spark, sf):
+    return summary.report_body(summary.decoding_summary(_decoded_table(spark, sf)))
+
+
+@query
+def report_body_without_errors(spark, sf):
+    return summary.report_body(summary.decoding_summary(joined(spark, sf).select(*PAIR, "event_id")))
+
+
+@query
+def table_overwrite_partition(spark, sf):
+    """The partitions of one family and year are replaced, with a new column; the others stay."""
+    table = f"byteloom_{uuid.uuid4().hex}"
+    rows = joined(spark, sf).select(*KEY, "msg_a", *PAIR)
+    sinks.overwrite_partitions(rows, table, PAIR)
+    again = rows.filter("family = 'MA' AND model_year = '2025'").withColumn("run", F.lit("second"))
+    sinks.overwrite_partitions(again.drop("msg_a"), table, PAIR)
+    return tel.scan(spark, table, [*KEY, *PAIR, "msg_a", "run"])
+
+
+@query
+def stage_by_day(spark, sf):
+    """A stage stored by day and vehicle: the window reads its days, the join needs no shuffle."""
+    name = uuid.uuid4().hex
+    sinks.write_stage(
+        fx.telemetry(spark, sf).select("event_id", "vin", "app_timestamp", "dt", "msg_a"),
+        f"byteloom_rows_{name}", buckets=8, order=["app_timestamp"],
+    )
+    sinks.write_stage(veh.vehicle_master(fx.vehicles(spark, sf)), f"byteloom_vehicles_{name}", buckets=8, day=None)
+    window = tel.date_window(tel.scan(spark, f"byteloom_rows_{name}"), "2024-01-05", "2024-01-20")
+    return veh.join_stored(window, tel.scan(spark, f"byteloom_vehicles_{name}")).select(*KEY, "dt", "family", "msg_a")
+
+
 @query
 def report_lines(spark, sf):
     path = f"{sinks.scratch_folder(spark)}/report"

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from byteloom.operators.summary import decoding_summary, report_lines, with_run_columns
+from byteloom.operators.summary import report_lines, watched, watched_summary, with_run_columns
 
 # --- fixed values: texts that mean overwrite ------------------------------
 OVERWRITE_TEXTS = ("true", "True")
@@ -55,11 +55,56 @@ def write_path(df: DataFrame, path: str, overwrite: bool | str) -> None:
 def save_with_summary(df: DataFrame, path: str, config_version: str = "unknown") -> None:
     """Write the rows with run columns, and their summary beside them.
 
-    The summary reads the written rows, so the decode runs once.
+    Rows and errors are counted while the rows are written; of the written
+    table only family and year are read again.
     """
-    with_run_columns(df, config_version=config_version).write.mode("overwrite").parquet(path)
-    written = df.sparkSession.read.parquet(path).select(*df.columns)
-    decoding_summary(written).write.mode("overwrite").parquet(f"{path}_summary")
+    rows, seen = watched(df)
+    with_run_columns(rows, config_version=config_version).write.mode("overwrite").parquet(path)
+    pairs = df.sparkSession.read.parquet(path).select("family", "model_year")
+    watched_summary(df, pairs, seen.get).write.mode("overwrite").parquet(f"{path}_summary")
+
+
+def overwrite_partitions(df: DataFrame, table: str, by: Sequence[str]) -> None:
+    """Replace the partitions of a catalog table that ``df`` has rows of; the others stay.
+
+    The table is made at first use.  Columns that it lacks are added, columns
+    that ``df`` lacks become NULL in the new rows.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        df.write.format("parquet").partitionBy(*by).saveAsTable(table)
+        return
+    known = spark.table(table).columns
+    added = [f for f in df.schema.fields if f.name not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
+    kinds = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    rows = df.select(
+        *[F.col(c) if c in df.columns else F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()]
+    )
+    # Inserts take the mode from the session only.
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        rows.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(name, before)
+
+
+def write_stage(df: DataFrame, table: str, key: str = "vin", buckets: int = 64, day: str | None = "dt",
+                order: Sequence[str] = ()) -> None:
+    """A stage as a catalog table: a folder per day, files by a hash of the key, sorted inside.
+
+    A date window then reads only its folders, and a join or grouping by the
+    key finds its rows together: no shuffle.
+    """
+    folders = [] if day is None else [day]
+    bucket = F.pmod(F.hash(key), F.lit(buckets))
+    writer = df.repartition(*folders, bucket).write.format("parquet").mode("overwrite")
+    if folders:
+        writer = writer.partitionBy(*folders)
+    writer.bucketBy(buckets, key).sortBy(key, *order).saveAsTable(table)
 
 
 def write_report(summary: DataFrame, path: str) -> None:

@@ -267,3 +267,92 @@ def test_date_by_pattern(spark):
     rows = spark.createDataFrame([("11-03-2024",), ("2024-11-03",), (None,)], "app_timestamp string")
     got = [r.dt and str(r.dt) for r in add_date(rows, pattern="MM-dd-yyyy").collect()]
     assert got == ["2024-11-03", None, None]
+
+
+def test_buckets_follow_the_data(spark):
+    """One vehicle with all rows in one second is cut into many buckets; a small one stays whole."""
+    from pyspark.sql import functions as F
+
+    from byteloom.operators import timeline
+
+    rows = spark.range(20_000).select(
+        F.lit("2024-01-01 00:00:00").alias("app_timestamp"),
+        F.when(F.col("id") < 50, 2).otherwise(1).alias("vin"),
+        "id",
+        F.when(F.col("id") % 1000 == 7, F.col("id")).alias("x"),
+    )
+    cut = timeline.with_buckets(rows, ["vin"], ["app_timestamp", "id"], None, 500)
+    by_vin = {r.vin: r.n for r in cut.groupBy("vin").agg(F.count_distinct("_bucket").alias("n")).collect()}
+    assert by_vin[2] == 1 and by_vin[1] >= 20
+    sizes = [r["count"] for r in cut.filter("vin = 1").groupBy("_bucket").count().collect()]
+    assert max(sizes) < 2500
+    ends = cut.filter("vin = 1").groupBy("_bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).orderBy("_bucket").collect()
+    assert all(a.hi < b.lo for a, b in zip(ends, ends[1:]))
+    filled = timeline.forward_fill(rows, ["x"], tiebreak=["id"], unit=None, rows_per_bucket=500)
+    wrong = filled.filter((F.col("vin") == 1) & (F.col("id") >= 1007)).filter(
+        F.col("x_reference") != F.floor((F.col("id") - 7) / 1000) * 1000 + 7
+    )
+    assert wrong.count() == 0
+
+
+def test_stored_stage_prunes_days_and_joins_in_place(spark):
+    import uuid
+
+    from byteloom.operators import vehicles as veh
+    from byteloom.sinks import tables
+    from byteloom.sources import telemetry as tel
+
+    name = uuid.uuid4().hex
+    rows = spark.range(400).selectExpr("id AS vin", "concat('2024-01-0', 1 + id % 9) AS dt", "id * 2 AS x")
+    tables.write_stage(rows, f"rows_{name}", buckets=4, order=["x"])
+    tables.write_stage(spark.range(0, 400, 2).selectExpr("id AS vin", "'MA' AS family"), f"veh_{name}", buckets=4, day=None)
+    window = tel.date_window(tel.scan(spark, f"rows_{name}"), "2024-01-03", "2024-01-05")
+    joined = veh.join_stored(window, tel.scan(spark, f"veh_{name}"))
+    assert sorted(r.vin for r in joined.collect()) == [i for i in range(0, 400, 2) if i % 9 in (2, 3)]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert "PartitionFilters: [isnotnull(dt" in plan
+
+
+def test_partitions_are_replaced_and_columns_added(spark):
+    import uuid
+
+    from byteloom.sinks import tables
+
+    table = f"t_{uuid.uuid4().hex}"
+    rows = spark.createDataFrame([(1, "a", "2024"), (2, "b", "2024"), (3, "b", "2025")], "x int, family string, year string")
+    tables.overwrite_partitions(rows, table, ["family", "year"])
+    again = spark.createDataFrame([(9, "new", "b", "2024")], "x int, note string, family string, year string")
+    tables.overwrite_partitions(again, table, ["family", "year"])
+    got = sorted(tuple(r) for r in spark.table(table).select("x", "family", "year", "note").collect())
+    assert got == [(1, "a", "2024", None), (3, "b", "2025", None), (9, "b", "2024", "new")]
+
+
+def test_csv_cells(spark):
+    from byteloom.sources.catalogs import csv_cells
+
+    lines = ['a,b', '', ',', '"x, y",z', 'say ""hi"",2', '"he said ""hi""",,"",end', 'long ' * 5000 + ',"' + 'q""' * 20000 + '"']
+    rows = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "i int, line string")
+    got = [r[0] for r in rows.orderBy("i").select(csv_cells(rows.line)).collect()]
+    assert got[:6] == [["a", "b"], [None], [None, None], ["x, y", "z"], ['say ""hi""', "2"], ['he said "hi"', None, "", "end"]]
+    assert got[6] == ["long " * 5000, 'q"' * 20000]
+
+
+def test_layouts_without_entries_are_told_apart(spark):
+    from pyspark.sql import functions as F
+
+    from byteloom.operators.catalog import compile_catalog
+    from byteloom.operators.decode import envelope
+    from byteloom.plans import fixtures as fx
+
+    pair = "'MA' AS family, '2025' AS model_year"
+    bare = spark.sql(
+        f"SELECT {pair}, 'E' AS message, 'E_MA' AS layout_name, CAST(NULL AS INT) AS ord, CAST(NULL AS STRING) AS byte, "
+        "NULL AS description, NULL AS size, NULL AS type, NULL AS name, NULL AS id"
+    )
+    catalog = compile_catalog(fx.layouts(spark).union(bare), fx.linear_table(spark), fx.enum_table(spark))
+    messages = spark.sql(f"SELECT {pair}, m AS message, '62' AS hex FROM VALUES ('E'), ('Q') AS v(m)")
+    told = {r.message: r.error for r in envelope(messages, catalog, "envelope").select(
+        "message", F.get_json_object("envelope", "$.error").alias("error")).collect()}
+    assert told["E"] != told["Q"] and "E" in told["E"]
+    assert {r.envelope for r in envelope(messages, catalog, "null").collect()} == {None}
