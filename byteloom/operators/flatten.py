@@ -12,6 +12,8 @@ from byteloom.functions.types import cast_text, type_of
 from byteloom.operators.catalog import FieldCatalog
 from byteloom.operators.decode import WideColumn, decode_wide
 
+#: Columns that a flattened table may have.
+MOST_COLUMNS = 10_000
 MAP_SCHEMA = "decoded_values map<string, map<string, string>>"
 LIST_SCHEMA = (
     "decoded_values array<struct<description: string, decoded_value: string, units: string>>"
@@ -53,15 +55,14 @@ def columns_from_list(df: DataFrame, parsed: str, columns: Sequence[WideColumn])
 def columns_by_position(
     df: DataFrame, envelope: str, columns: Sequence[tuple[int, WideColumn]], nested: bool = True
 ) -> DataFrame:
-    """Typed columns from the record at a known position of a list."""
-    root = "$.decoded_values" if nested else "$"
-    return df.withColumns(
-        {
-            c.name: cast_text(
-                F.get_json_object(envelope, f"{root}[{position}].decoded_value"), c.type
-            )
-            for position, c in columns
-        }
+    """Typed columns from the record at a known position of a list; the text is parsed once."""
+    parsed = parse_list(F.col(envelope)) if nested else F.from_json(envelope, LIST_SCHEMA.split(" ", 1)[1])
+    return (
+        df.withColumn("_list", parsed)
+        .withColumns(
+            {c.name: cast_text(F.get("_list", F.lit(position))["decoded_value"], c.type) for position, c in columns}
+        )
+        .drop("_list")
     )
 
 
@@ -89,10 +90,12 @@ def flatten_messages(
     catalog: FieldCatalog,
     hex_columns: Mapping[str, str],
     types: Mapping[str, Mapping[str, str]],
+    limit: int = MOST_COLUMNS,
 ) -> DataFrame:
     """Decode and flatten every described field of all messages of ``df``.
 
-    The column list comes from the layouts, not from a sampled row.
+    The column list comes from the layouts, not from a sampled row; more than
+    ``limit`` of them are refused, as no table has so many columns.
     """
     described = (
         catalog.fields.filter(
@@ -100,8 +103,11 @@ def flatten_messages(
         )
         .select("message", "description")
         .distinct()
+        .limit(limit + 1)
         .collect()
     )
+    if len(described) > limit:
+        raise ValueError(f"the layouts describe more than {limit} columns")
     columns = flattened_columns([tuple(row) for row in described], types)
     return decode_wide(df, catalog, columns, dict(hex_columns))
 

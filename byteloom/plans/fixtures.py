@@ -10,6 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from byteloom.functions.names import clean_name
+from byteloom.functions.types import type_of
+
 
 # --- fixed values: layouts, conversion tables and lengths of the fixture ----
 # (ord, byte, description, size, type, name, id)
@@ -170,6 +173,14 @@ COLUMN_ROWS = [
     ("B", "Unit2 - Bus1 - Charge", "float", "charge_2"),
 ]
 HEX_COLUMNS = {"A": "msg_a", "B": "msg_b"}
+# Types of columns by message and name; (message, description, type, name) of all described fields.
+FLAT_TYPES = {"A": {"Unit*": "float", "Mode": "string"}, "B": {"Counter": "float"}}
+FLAT_COLUMNS = [
+    (message, entry[2], type_of(clean_name(entry[2]), FLAT_TYPES[message]) or "string", clean_name(entry[2]))
+    for message, layout in (("A", LAYOUT_A), ("B", LAYOUT_B))
+    for entry in layout
+    if entry[2] != "Reserved" and entry[2] not in ("SID", "RecordId")
+]
 
 FIELD_ROWS = [
     (family, year, message, f"{message}_{family}_{year}", *entry)

@@ -290,11 +290,11 @@ def _typed(kind: str) -> str:
     )
 
 
-def _flattened(pick: str) -> str:
+def _flattened(pick: str, rows: list[tuple] = fx.COLUMN_ROWS) -> str:
     columns = ", ".join(
         f"max(CASE WHEN d.message = '{m}' AND description = '{text}' AND {pick} "
         f"THEN {_typed(kind)} END) AS {name}"
-        for m, text, kind, name in fx.COLUMN_ROWS
+        for m, text, kind, name in rows
     )
     return f"""
 SELECT j.event_id, j.model_name, j.family, j.model_year, {columns}
@@ -637,6 +637,32 @@ _SQL |= {
     "flatten_wide_array": _SQL["flatten_wide"],
     "zip_log_files": _SQL["zip_log_lines"],
     "forward_fill_minute": _SQL["forward_fill"],
+    "date_by_pattern": """
+SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN dt END AS day FROM telemetry""",
+    "discovered_messages": """
+SELECT event_id, 'A001' AS message, msg_a AS hex FROM telemetry
+UNION ALL SELECT event_id, 'B_2', msg_b FROM telemetry""",
+    "sample_row": "SELECT event_id, vin, dt FROM telemetry WHERE event_id = (SELECT max(event_id) FROM telemetry)",
+    "described_fields": """
+SELECT l.family, l.model_year, l.message, l.description, l.ord AS position FROM layouts l
+JOIN (SELECT DISTINCT family, model_year FROM joined) j ON j.family = l.family AND j.model_year = l.model_year
+WHERE l.description <> 'Reserved'""",
+    "flatten_by_position_all": f"""
+SELECT * EXCLUDE (absent) FROM ({_flattened("d.ord < 29")})""",
+    "flatten_messages": f"""
+SELECT * EXCLUDE (family, model_year) FROM ({_flattened("back = 1", fx.FLAT_COLUMNS)})""",
+    "envelope_bodies": """
+SELECT event_id, model_name, ord, hex AS code, layout_name AS name, family AS vehicle_family, model_year,
+  message AS ddt_type, description, value AS decoded_value, byte AS raw_position, size, type AS msg_type, id AS msg_id,
+  raw_value, CASE WHEN type = 'L' AND state = 'row' THEN unit_text END AS units FROM decoded""",
+    "envelope_reasons": f"""
+SELECT event_id, model_name, message, error FROM ({_JSON_ERRORS})
+UNION ALL SELECT event_id, model_name, 'E', CASE WHEN coalesce(hex, '') = '' THEN 'Empty DDT string'
+  WHEN NOT EXISTS (SELECT 1 FROM layouts l WHERE l.family = m.family AND l.model_year = m.model_year)
+    THEN 'Structure file not found: ' || family || '/' || model_year || '/DDT_BCM_E_' || family || '_' || model_year || '.json'
+  ELSE 'Empty structure for E' END FROM messages m WHERE message = 'A'
+UNION ALL SELECT event_id, model_name, 'U', CASE WHEN coalesce(hex, '') = '' THEN 'Empty DDT string'
+  ELSE 'DDT file mapping not found for U' END FROM messages WHERE message = 'B'""",
     "forward_fill_by_data": _SQL["forward_fill"],
     "row_chunks_by_data": _SQL["row_chunks"],
     "sink_decoded_with_summary": _SQL["decoding_summary"],

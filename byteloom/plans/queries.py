@@ -9,9 +9,9 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from byteloom.fixed_values import ENUM_FILE, LAYOUT_FILE, LINEAR_FILE
+from byteloom.fixed_values import DATE_FORMAT, ENUM_FILE, LAYOUT_FILE, LINEAR_FILE
 from byteloom.functions.hexbits import bracket_part, position_part
-from byteloom.functions.names import clean_name_column
+from byteloom.functions.names import clean_name_column, message_columns
 from byteloom.operators import catalog as cat
 from byteloom.operators import decode as dec
 from byteloom.operators import flatten, inspect, reshape, summary, timeline, validate
@@ -118,6 +118,33 @@ def parse_time(spark, sf):
     )
 
 
+@query
+def date_by_pattern(spark, sf):
+    """A date from text in a given form; other text gives NULL."""
+    text = F.when(F.col("event_id") % 4 == 0, F.col("app_timestamp")).otherwise(F.date_format(F.col("dt").cast("date"), "MM-dd-yyyy"))
+    rows = fx.telemetry(spark, sf).select("event_id", text.alias("seen"))
+    dated = reshape.add_date(rows, "day", "seen", DATE_FORMAT)
+    return dated.select("event_id", F.col("day").cast("string").alias("day"))
+
+
+@query
+def discovered_messages(spark, sf):
+    """The columns that are named after messages, found by their names and turned into rows."""
+    rows = fx.telemetry(spark, sf).select(
+        "event_id", F.col("msg_a").alias("DIAG_BCM_A001"), F.col("msg_b").alias("DIAG_BCM_B_2"),
+        F.col("vin").alias("DIAG_only"), F.col("dt").alias("BCM_DIAG_x"),
+    )
+    return reshape.unpivot_messages(rows, ["event_id"], message_columns(rows.columns))
+
+
+@query
+def sample_row(spark, sf):
+    """One row that satisfies a predicate, here that of the last event."""
+    rows = fx.telemetry(spark, sf)
+    last = rows.agg(F.max("event_id")).first()[0]
+    return timeline.sample_row(rows, F.col("event_id") == last).select("event_id", "vin", "dt")
+
+
 @query
 def join_vehicle(spark, sf):
     return joined(spark, sf).select("event_id", "vin", *PAIR, "model_name")
@@ -678,6 +705,62 @@ def props_json(spark, sf):
     )
 
 
+@query
+def flatten_by_position_all(spark, sf):
+    """Every output column of both messages, by the position that the layouts give it."""
+    rows = _with_text(spark, sf, "list", dedup="all")
+    at = {(r.message, r.description): r.position for r in flatten.field_positions(field_catalog(spark, dedup="all")).filter(
+        "family = 'MA' AND model_year = '2025'").collect()}
+    for m in fx.HEX_COLUMNS:
+        known = [(at[m, c.description], c) for c in COLUMNS if c.message == m and (m, c.description) in at]
+        rows = flatten.columns_by_position(rows, f"json_{m}", known)
+    return rows.select(*KEY, *PAIR, *[c for c in COLUMN_NAMES if c != "absent"])
+
+
+@query
+def flatten_messages(spark, sf):
+    """A column for every described field of the layouts."""
+    flat = flatten.flatten_messages(joined(spark, sf), field_catalog(spark), fx.HEX_COLUMNS, fx.FLAT_TYPES)
+    return flat.select(*KEY, *[F.col(name) for _, _, _, name in fx.FLAT_COLUMNS])
+
+
+@query
+def described_fields(spark, sf):
+    """Descriptions and positions of the layouts whose family and year occur in the data."""
+    fields = flatten.field_positions(field_catalog(spark, dedup="all"))
+    return fields.join(reshape.keys_in_both(joined(spark, sf), fx.layouts(spark), PAIR), list(PAIR)).drop("units")
+
+
+@query
+def envelope_bodies(spark, sf):
+    """Every record of the JSON texts, read back, with what stands around the records."""
+    record = ", ".join(f"{name}: {'bigint' if name == 'raw_value' else 'string'}" for name in dec.RECORD)
+    outer = "code string, name string, vehicle_family string, model_year string, ddt_type string"
+    text = dec.envelope(messages(spark, sf), field_catalog(spark, dedup="all"), "null", "list")
+    parsed = text.select(*KEY, F.from_json("envelope", f"{outer}, decoded_values array<struct<{record}>>").alias("e"))
+    opened = parsed.select(*KEY, "e", F.posexplode("e.decoded_values").alias("ord", "r"))
+    names = ("code", "name", "vehicle_family", "model_year", "ddt_type")
+    return opened.select(
+        *KEY, "ord", *[F.col(f"e.{n}").alias(n) for n in names],
+        *[F.col(f"r.{n}").alias(n) for n in dec.RECORD if n != "raw_big"],
+    )
+
+
+@query
+def envelope_reasons(spark, sf):
+    """All reasons why a message has no values: empty, not mapped, no layout, a layout without entries."""
+    every = messages(spark, sf)
+    third = every.filter("message = 'A'").withColumn("message", F.lit("E"))
+    fourth = every.filter("message = 'B'").withColumn("message", F.lit("U"))
+    bare = fx.layouts(spark, [(*pair, "E", "Empty", *[None] * 7) for pair in fx.PAIRS])
+    catalog = cat.compile_catalog(
+        fx.layouts(spark).union(bare), fx.linear_table(spark), fx.enum_table(spark)
+    ).stored(f"{sinks.scratch_folder(spark)}/catalog")
+    known = every.union(third).select(*PAIR, "message").distinct()
+    text = dec.envelope(every.union(third).union(fourth), catalog, "envelope", mapped=known)
+    return text.select(*KEY, "message", F.get_json_object("envelope", "$.error").alias("error"))
+
+
 # --- unions --------------------------------------------------------------------
 
 
