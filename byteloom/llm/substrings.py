@@ -314,5 +314,10 @@ def remove_repeats(
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that occur twice, removed from all documents."""
-    return remove_repeats(common.table(spark, sf_dir, "documents")).drop("kept")
+    """Strings of 400 bytes that occur twice, removed from all documents.
+
+    `kept_text` shows the bytes that stay; a character that was cut through is
+    shown by the replacement character.
+    """
+    found = remove_repeats(common.table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
