@@ -8,6 +8,8 @@ only when its next jump lands inside the longer range: appending shard n takes
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -72,26 +74,34 @@ def jump(key: Column, shards: int) -> Column:
         ).cast("bigint")
         return F.when(state["to"] < shards, moved.withField("to", to)).otherwise(state)
 
-    steps = F.sequence(F.lit(1), F.lit(shards))
-    return F.aggregate(
-        steps,
-        start,
-        landed,
-        lambda end: F.struct(
-            end["at"].cast("int").alias("shard"),
-            F.when(end["to"] == shards, F.lit(shards)).otherwise(end["at"]).cast("int").alias("grown"),
+    def walked(state: Column, steps: int) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), state, landed)
+
+    # A key makes about ln(shards) jumps; the few that make more walk on.
+    usual = min(shards, 16 + 8 * math.ceil(math.log(shards + 1)))
+    ends = F.array(walked(start, usual))
+    if usual < shards:
+        ends = F.transform(ends, lambda end: F.when(end["to"] < shards, walked(end, shards)).otherwise(end))
+    return F.get(
+        F.transform(
+            ends,
+            lambda end: F.struct(
+                end["at"].cast("int").alias("shard"),
+                F.when(end["to"] == shards, F.lit(shards)).otherwise(end["at"]).cast("int").alias("grown"),
+            ),
         ),
+        F.lit(0),
     )
 
 
 def numbered(rows: DataFrame, buckets: int = SLOT_BUCKETS) -> DataFrame:
     """`slot`: gapless numbers from 0 within each shard.
 
-    Rows (`shard`, `key`, `tie`, ...) are numbered by (bucket of the key, key),
-    so one shard is numbered by many tasks; the starts of the buckets are one
+    Rows (`shard`, `key`, `tie`, ...) are numbered by (bucket of key and tie,
+    key, tie), so one shard, and one key of many texts, is numbered by many tasks; the starts of the buckets are one
     row per (shard, bucket).
     """
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key", "tie"), F.lit(buckets)))
     size = rows.groupBy("shard", "bucket").agg(F.count("*").alias("size"))
     starts = size.select(
         "shard",
