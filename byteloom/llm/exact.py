@@ -2,9 +2,9 @@
 
 Rows are range-partitioned by sampled splitters over (head, fingerprint, salt)
 and sorted externally by the whole text; a window over the sorted rows compares
-neighbours in full.  A text that holds over 1/1000 of all rows is cut by a salt
-of the id over many ranges; its keeper and size come from a pre-aggregation
-that has at most one row per task and hot text.
+neighbours in full.  A text that holds over 1/1000 of all rows, or over 100,000,
+is cut by a salt of the id over many ranges; its keeper and size come from a
+pre-aggregation that has at most one row per task and hot text.
 """
 
 from __future__ import annotations
@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from byteloom.llm import common
 
-#: A text is hot when it holds more than one row in this many: so many hot texts at most.
-HOT_TEXTS = 1000
-#: Groups up to this size are never cut.
-COLD_ROWS = 1000
+#: A text is hot when it holds more than one row in this many, but groups up to
+#: COLD_ROWS are never cut and groups beyond HOT_ROWS always are.
+HOT_TEXTS, COLD_ROWS, HOT_ROWS = 1000, 1000, 100_000
+#: A list of so many hot texts is broadcast; a longer one is joined by a shuffle.
+BROADCAST_TEXTS = 500_000
 #: Characters of a text in the splitters, which travel to the driver as a sample.
 HEAD = 64
 
@@ -37,14 +38,17 @@ def exact_dedup(
         raise ValueError(keep)
     base = docs.select(F.col(id_col).alias("id"), common.text_of(text_col).alias("body"))
     base = base.withColumn("print", F.xxhash64("body"))
-    floor = max(COLD_ROWS, docs.count() // HOT_TEXTS)
+    rows = docs.count()
+    floor = min(HOT_ROWS, max(COLD_ROWS, rows // HOT_TEXTS))
+    # There are at most rows / floor hot texts.
+    small = F.broadcast if rows // floor <= BROADCAST_TEXTS else lambda df: df
     hot = (
         base.groupBy("print")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > floor)
         .select("print", F.ceil(F.col("n") / floor).alias("salts"))
     )
-    salted = base.join(F.broadcast(hot), "print", "left").withColumn(
+    salted = base.join(small(hot), "print", "left").withColumn(
         "salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("salts")))
     )
     best = F.min("id") if keep == "smallest" else F.max("id")
@@ -69,8 +73,7 @@ def exact_dedup(
         F.count("*").over(every).alias("group_size"),
         F.row_number().over(group).alias("place"),
     )
-    # `whole` has a row for each hot text, at most HOT_TEXTS.
-    merged = sorted_rows.join(F.broadcast(whole), ["print", "text_sha256"], "left").select(
+    merged = sorted_rows.join(small(whole), ["print", "text_sha256"], "left").select(
         "id",
         F.when(F.col("hot_size").isNull(), F.col("keep_id")).otherwise(F.col("hot_keep")).alias("keep_id"),
         F.coalesce("hot_size", "group_size").alias("group_size"),
