@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from byteloom.llm import attention, common, decontaminate, html, lm, mixing, registry, sharding, tokenfiles, toxicity
@@ -359,3 +360,18 @@ def test_pipeline(spark):
     leaks = {r.doc_id for r in registry.queries()["op6_decontamination"](spark, SF).collect()}
     ids = {r.doc_id for r in out.collect()}
     assert ids and not ids & toxic and not ids & leaks
+
+
+@pytest.mark.parametrize("shards", [1, 2, 300, 5000])
+def test_jumps_of_many_shards(spark, shards):
+    rows = spark.range(400).select((F.col("id") * 7919 - 1000).alias("k"))
+    for r in rows.select("k", sharding.jump(F.col("k"), shards).alias("j")).collect():
+        assert (r.j["shard"], r.j["grown"]) == (published_jump(r.k, shards), published_jump(r.k, shards + 1))
+
+
+def test_long_walks_go_on(spark, monkeypatch):
+    """Keys that jump more often than usual reach the same shards."""
+    monkeypatch.setattr(sharding.math, "ceil", lambda x: -1)
+    rows = spark.range(200).select(F.col("id").alias("k"))
+    for r in rows.select("k", sharding.jump(F.col("k"), 900).alias("j")).collect():
+        assert r.j["shard"] == published_jump(r.k, 900)
