@@ -20,6 +20,8 @@ from byteloom.llm import common
 MULTIPLIER = 2862933555777941757
 
 MASK = 0xFFFFFFFF
+#: Jumps that are walked for every key, besides eight for each factor of e in the number of shards.
+USUAL_JUMPS = 16
 #: Parts of each shard that are numbered on their own.
 SLOT_BUCKETS = 1024
 
@@ -78,7 +80,7 @@ def jump(key: Column, shards: int) -> Column:
         return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), state, landed)
 
     # A key makes about ln(shards) jumps; the few that make more walk on.
-    usual = min(shards, 16 + 8 * math.ceil(math.log(shards + 1)))
+    usual = min(shards, USUAL_JUMPS + 8 * math.ceil(math.log(shards + 1)))
     ends = F.array(walked(start, usual))
     if usual < shards:
         ends = F.transform(ends, lambda end: F.when(end["to"] < shards, walked(end, shards)).otherwise(end))
