@@ -3,23 +3,28 @@
 A mask keeps some positions of a run of words and ignores the others; the kept
 words are hashed.  A passage with substituted words still shares the hashes of
 masks whose ignored positions fall on the substitutions.  Hits on one diagonal
-(document position less item position) are verified word by word.
+(document position less item position) are verified word by word.  The masks of
+an item follow from its length: whatever substitutions the check accepts, one
+of them hits.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+from itertools import combinations
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from byteloom.llm import common
 
-#: Kept positions of a run of 8 words.
-MASKS = ("11011011", "11100111")
-SPAN = 8
 #: A document is contaminated by so many words in a row of an item (or the whole of a
 #: shorter item) of which at least this share agrees.
 WINDOW, AGREE = 13, 0.8
+#: Masks for one length of items at most, and positions that a mask ignores at most.
+MOST_MASKS, MOST_IGNORED = 3, 3
 #: The benchmark's hashes are broadcast up to this many; more are joined by a shuffle.
 BROADCAST_SEEDS = 1_000_000
 #: The same for contaminated documents, when they are dropped.
@@ -34,20 +39,51 @@ def words_of(text: str) -> Column:
     return F.transform(found, lambda w: F.xxhash64(w))
 
 
-def seeds_of(words: str, short: list[int]) -> Column:
-    """Array of (position, hash): every mask at every position, and whole runs of the short lengths."""
-    shapes = [(m, SPAN) for m in MASKS] + [("1" * n, n) for n in short]
+@lru_cache(maxsize=None)
+def masks_of(length: int) -> tuple[str, ...]:
+    """Masks for items of so many words; longer ones than WINDOW have those of WINDOW.
+
+    At most MOST_MASKS masks that keep as many words as possible, of which one
+    at least hits whatever places of the window the substitutions take.
+    """
+    window = min(length, WINDOW)
+    changed = window - ceil(window * AGREE)
+    patterns = {frozenset(some) for some in combinations(range(window), changed)}
 
-    def at(mask: str, number: int, span: int) -> Column:
+    def hit(mask: str) -> set[frozenset[int]]:
+        kept = [i for i, c in enumerate(mask) if c == "1"]
+        places = [{at + i for i in kept} for at in range(window - len(mask) + 1)]
+        return {pattern for pattern in patterns if any(not pattern & place for place in places)}
+
+    for weight in range(window - changed, 0, -1):
+        masks = []
+        for span in range(weight, min(window, weight + MOST_IGNORED) + 1):
+            for ignored in combinations(range(1, span - 1), span - weight):
+                masks.append("".join("0" if i in ignored else "1" for i in range(span)))
+        hits = {mask: hit(mask) for mask in masks}
+        chosen, left = [], set(patterns)
+        while left and len(chosen) < MOST_MASKS:
+            chosen.append(max(masks, key=lambda mask: len(hits[mask] & left)))
+            left -= hits[chosen[-1]]
+        if not left:
+            return tuple(chosen)
+    raise ValueError(f"no masks for items of {length} words")
+
+
+def seeds_of(words: str, masks: list[str]) -> Column:
+    """Array of (position, mask, hash): every mask at every position."""
+
+    def at(mask: str, number: int) -> Column:
         kept = [i for i, c in enumerate(mask) if c == "1"]
+        last = F.size(words) - len(mask)
         return F.transform(
-            F.when(F.size(words) >= span, F.sequence(F.lit(0), F.size(words) - span)).otherwise(
-                F.array().cast("array<int>")
+            F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")),
+            lambda p: F.struct(
+                p.alias("p"), F.lit(number).alias("mask"), F.xxhash64(F.lit(number), *[F.get(words, p + i) for i in kept]).alias("h")
             ),
-            lambda p: F.struct(p.alias("p"), F.xxhash64(F.lit(number), *[F.get(words, p + i) for i in kept]).alias("h")),
         )
 
-    return F.concat(*[at(mask, n, span) for n, (mask, span) in enumerate(shapes)])
+    return F.concat(*[at(mask, n) for n, mask in enumerate(masks)])
 
 
 def agreement(beside: Column, item: Column, offset: Column) -> Column:
@@ -82,8 +118,8 @@ def overlaps(
     cut off), `matched` (equal words) and `item_words`; of several places the
     one with most equal words, then the first.
 
-    NULL texts have no words; items without words match nothing; items shorter
-    than a mask are matched as whole runs.  Repeated rows give one pair.  Empty
+    NULL texts have no words; items without words match nothing; items of up to
+    4 words are matched as they are.  Repeated rows give one pair.  Empty
     tables give an empty result.
     """
     items = (
@@ -92,17 +128,22 @@ def overlaps(
         .distinct()
     )
     items = common.checkpointed(items)
-    short = sorted(r.n for r in items.where(F.size("item") < SPAN).select(F.size("item").alias("n")).distinct().collect())
+    # At most WINDOW lengths.
+    window = F.least(F.size("item"), F.lit(WINDOW))
+    lengths = sorted(r.n for r in items.select(window.alias("n")).distinct().collect())
+    masks = sorted({mask for n in lengths for mask in masks_of(n)}) or list(masks_of(WINDOW))
+    own = F.lit(False)
+    for n in lengths:
+        own = own | ((F.least("item_words", F.lit(WINDOW)) == n) & F.col("seed.mask").isin([masks.index(m) for m in masks_of(n)]))
     known = (
-        items.select("item_id", F.size("item").alias("item_words"), F.explode_outer(seeds_of("item", short)).alias("seed"))
+        items.select("item_id", F.size("item").alias("item_words"), F.explode(seeds_of("item", masks)).alias("seed"))
+        .where(own)
         .select("item_id", "item_words", F.col("seed.p").alias("item_at"), F.col("seed.h").alias("hash"))
-        .where(F.col("hash").isNotNull())
-        .where((F.col("item_words") >= SPAN) | (F.col("item_at") == 0))
     )
     few = known.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS
     rows = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(common.text_of(text_col)).alias("text_key"), words_of(f"`{text_col}`").alias("words")
-    ).withColumn("seeds", seeds_of("words", short))
+    ).withColumn("seeds", seeds_of("words", masks))
     # Not inline(): Spark would repeat the whole chain of expressions in a filter below it.
     spread = rows.select("id", "text_key", "words", F.inline_outer("seeds"))
     offset = F.col("p") - F.col("item_at")
@@ -159,23 +200,24 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("text_key")
 
 
+#: Without masks: so many equal words with so few others between them hold a run of a known length.
 OP6_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
 ), b AS (
   SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark
-), shapes(shape, kept, span) AS (
-  SELECT 0, [0, 1, 3, 4, 6, 7], 8 UNION ALL SELECT 1, [0, 1, 2, 5, 6, 7], 8
-  UNION ALL SELECT DISTINCT 100 + len(w), range(len(w)), len(w) FROM b WHERE len(w) BETWEEN 1 AND 7
+), lengths AS (
+  SELECT DISTINCT n, least(n, 13) AS width, ceil(least(n, 13) * 0.8)::INT AS need FROM (SELECT len(w) AS n FROM b) WHERE n > 0
+), runs AS (
+  SELECT n, ceil(need / (width - need + 1.0))::INT AS run FROM lengths
 ), ds AS (
-  SELECT doc_id, p, shape, list_transform(kept, lambda i: w[p + i + 1]) AS seed
-  FROM d, shapes, unnest(range(len(w) - span + 1)) AS t(p)
+  SELECT doc_id, p, run, w[p + 1 : p + run] AS seed
+  FROM d, (SELECT DISTINCT run FROM runs), unnest(range(len(w) - run + 1)) AS t(p)
 ), bs AS (
-  SELECT item_id, p, shape, list_transform(kept, lambda i: w[p + i + 1]) AS seed
-  FROM b, shapes, unnest(range(len(w) - span + 1)) AS t(p)
-  WHERE shape < 100 OR span = len(w)
+  SELECT item_id, p, run, w[p + 1 : p + run] AS seed
+  FROM b JOIN runs ON len(w) = n, unnest(range(len(w) - run + 1)) AS t(p)
 ), diagonals AS (
-  SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS "offset" FROM ds JOIN bs USING (shape, seed)
+  SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS "offset" FROM ds JOIN bs USING (run, seed)
 ), compared AS (
   SELECT doc_id, item_id, "offset", len(b.w) AS item_words,
          list_transform(range(len(b.w)), lambda i:
