@@ -52,6 +52,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Remove tables made by `stored` once nothing reads them any more."""
+    for kept in tables:
+        spark = kept.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in kept.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_of(column: str | Column = "text") -> Column:
     """The text; NULL is the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -3,8 +3,8 @@
 A fingerprint is cut into blocks.  Fingerprints that differ in few bits leave
 some blocks whole, so they meet in a bucket of those blocks; only rows of one
 bucket are compared.  Equal fingerprints are one node throughout, so copies
-never make pairs.  The stage of the pipeline compares shingle sets themselves,
-which meet by a prefix of each set.
+never make pairs.  In the stage of the pipeline shingle sets meet by a prefix of
+each set; rows whose wider fingerprints are close are compared by their sets.
 """
 
 from __future__ import annotations
@@ -32,6 +32,11 @@ BLOCKS, WHOLE = 4, 2
 
 #: The near-duplicate stage: 5-word shingles, similarity 0.8; counters that order shingles.
 STAGE_SHINGLE, COUNTERS = 5, 1 << 18
+#: Its fingerprints have so many 64-bit words.  Sets that share 0.8 differ in 39 of 256 bits on average with a
+#: deviation of 6, so 88 is over 8 deviations away; sets below SMALL_SET are compared whatever their fingerprints.
+SKETCH_WORDS, SKETCH_BITS, SMALL_SET = 4, 88, 64
+#: Texts are picked by a broadcast of up to this many keys; more are joined by a shuffle.
+BROADCAST_NODES = 500_000
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _LANES = (np.arange(8) * 256)[None, :]
@@ -241,54 +246,96 @@ def prefix(grams: np.ndarray, count: np.ndarray) -> np.ndarray:
     return grams[order[: n - (4 * n + 4) // 5 + 1]]
 
 
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """The SimHash of a shingle set in SKETCH_WORDS words."""
+    return np.array([majority(mixed(grams, 64 + i)) for i in range(SKETCH_WORDS)], np.uint64).view(np.int64)
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, body_a, body_b, node, size, tokens) of every row.
+    """(id, body_a, body_b, node, size, tokens, sketch) of every row.
 
-    `node` is a hash of the set of 5-word shingles, `size` their number and
-    `tokens` the prefix of the set by which it meets others.
+    `node` is a hash of the set of 5-word shingles, `size` their number,
+    `tokens` the prefix of the set by which it meets others and `sketch` its
+    fingerprint.
     """
     count = docs.sparkSession.sparkContext.broadcast(counters(docs, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes, tokens = [], [], []
+            nodes, sizes, tokens, sketches = [], [], [], []
             for t in batch.column(3):
                 grams = shingle_set(t.as_py())
                 nodes.append(xxhash.xxh64_intdigest(grams.tobytes(), SEED))
                 sizes.append(len(grams))
                 tokens.append(prefix(grams, count.value).view(np.int64))
+                sketches.append(sketch(grams))
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(i) for i in range(3)), pa.array(np.array(nodes, np.uint64).view(np.int64)),
-                    pa.array(sizes, pa.int64()), pa.array(tokens, pa.list_(pa.int64())),
+                    pa.array(sizes, pa.int64()), *(pa.array(a, pa.list_(pa.int64())) for a in (tokens, sketches)),
                 ],
-                ["id", "body_a", "body_b", "node", "size", "tokens"],
+                ["id", "body_a", "body_b", "node", "size", "tokens", "sketch"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
     body = common.text_of(text_col)
     return docs.select(
         F.col(id_col).alias("id"), *body_keys(body), body.alias("body")
-    ).mapInArrow(run, f"id {kind}, body_a bigint, body_b bigint, node bigint, size bigint, tokens array<bigint>")
+    ).mapInArrow(run, f"id {kind}, body_a bigint, body_b bigint, node bigint, size bigint, tokens array<bigint>, sketch array<bigint>")
 
 
 def body_keys(body: Column) -> list[Column]:
     return [F.xxhash64(body).alias("body_a"), F.xxhash64(F.lit(1), body).alias("body_b")]
 
 
-def sets_of(docs: DataFrame, some: DataFrame, text_col: str) -> DataFrame:
-    """(node, grams): the shingle sets of the nodes of `some` (node, body_a, body_b), one text for each."""
+def sets_of(docs: DataFrame, some: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, grams): the shingle sets of the nodes of `some` (node, id, body_a, body_b), one row for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams = [shingle_set(t.as_py()).view(np.int64) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.list_(pa.int64()))], ["node", "grams"])
 
+    few = some.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    some = some.toDF("node", "its_id", "its_a", "its_b")
     body = common.text_of(text_col)
-    texts = docs.select(body.alias("body"), *body_keys(body)).join(some, ["body_a", "body_b"]).select("node", "body")
+    texts = (
+        docs.select(F.col(id_col).alias("id"), body.alias("body"), *body_keys(body))
+        .join(
+            F.broadcast(some) if few else some,
+            (F.col("body_a") == F.col("its_a")) & (F.col("body_b") == F.col("its_b")) & F.col("id").eqNullSafe(F.col("its_id")),
+        )
+        .select("node", "body")
+    )
     return texts.mapInArrow(run, "node bigint, grams array<bigint>").dropDuplicates(["node"])
 
 
+def close(size: Column, its_size: Column, words: Column, its_words: Column) -> Column:
+    """Whether two sets can share 0.8 by their sizes and fingerprints."""
+    bits = sum((distance(F.get(words, F.lit(i)), F.get(its_words, F.lit(i))) for i in range(SKETCH_WORDS)), F.lit(0))
+    alike = 5 * F.least(size, its_size) >= 4 * F.greatest(size, its_size)
+    return alike & ((bits <= SKETCH_BITS) | (F.least(size, its_size) < SMALL_SET))
+
+
+def close_rows(cells: DataFrame, prints: DataFrame) -> DataFrame:
+    """The rows of the cells (cell, node) that are close to another row of their cell.
+
+    Cells go by a hash; two that share one are compared together.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        size = rows["size"].to_numpy()
+        words = np.array(rows["sketch"].to_pylist(), np.int64).view(np.uint64).reshape(len(size), SKETCH_WORDS)
+        bits = sum(np.bitwise_count(words[:, None, i] ^ words[None, :, i]).astype(np.int16) for i in range(SKETCH_WORDS))
+        least, most = np.minimum(size[:, None], size[None, :]), np.maximum(size[:, None], size[None, :])
+        near = (5 * least >= 4 * most) & ((bits <= SKETCH_BITS) | (least < SMALL_SET))
+        np.fill_diagonal(near, False)
+        return rows.select(["cell", "node"]).filter(pa.array(near.any(axis=1)))
+
+    met = cells.join(prints, "node").select(F.xxhash64("cell").alias("cell"), "node", "size", "sketch")
+    return met.groupBy("cell").applyInArrow(run, "cell bigint, node bigint")
+
+
 def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Links that connect what the pairs of share 0.8 or more connect; all pairs are compared."""
     n = len(sets)
@@ -337,14 +384,15 @@ def with_roots(met: DataFrame, links: DataFrame) -> DataFrame:
     """Rows of the buckets that hold more than one component of the links, with `root`."""
     rooted = met.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    return common.checkpointed(rooted.join(several, "token"))
+    return common.stored(rooted.join(several, "token"), "rooted")
 
 
 def similar_links(nodes: DataFrame, grams_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(u, v) links that connect all nodes (node, size, tokens) whose shingle sets share 0.8 or more.
+    """(u, v) links that connect all nodes (node, size, tokens, sketch) whose shingle sets share 0.8 or more.
 
-    Nodes meet in a bucket of each of their tokens.  First every node is
-    compared within its largest bucket, in cells of CELL rows, and the links
+    Nodes meet in a bucket of each of their tokens.  Rows that meet are compared
+    by size and fingerprint; the sets of those that are close decide.  First
+    every node is compared within its largest bucket, in cells of CELL rows, and the links
     found are made components.  Then a bucket of several components compares
     all pairs of different ones: small buckets as pairs, large ones in cells of
     two blocks, of which one at least is outside the largest component.  Only
@@ -359,15 +407,23 @@ def similar_links(nodes: DataFrame, grams_of: Callable[[DataFrame], DataFrame])
     # Of large buckets of the same nodes one is enough; small ones keep their places for the bound below.
     large_sizes = sizes.where(F.col("n") > SMALL_BUCKET).groupBy("n", "x", "s").agg(F.min("token").alias("token"))
     sizes = sizes.where(F.col("n") <= SMALL_BUCKET).select("token", "n").union(large_sizes.select("token", "n"))
-    met = common.checkpointed(keyed.join(sizes, "token"))
-    grams = common.checkpointed(grams_of(met.select("node").distinct()))
+    met = common.stored(keyed.join(sizes, "token"), "met")
+    prints = common.stored(nodes.select("node", "size", "sketch").join(met.select("node").distinct(), "node"), "prints")
+
+    def links_of(cells: DataFrame, found: DataFrame | None = None) -> DataFrame:
+        near = common.stored(close_rows(cells, prints), "near")
+        grams = common.stored(grams_of(near.select("node").distinct()), "grams")
+        links = cell_links(near, grams)
+        links = common.checkpointed(links if found is None else found.union(links).distinct())
+        common.forget(near, grams)
+        return links
 
     block = F.ceil(F.col("n") / CELL)
     top = met.groupBy("node").agg(F.max(F.struct("n", "token")).alias("top")).select("node", "top.n", "top.token")
     cells = top.select(
         "node", "token", block.alias("blocks"), F.explode(F.sequence(F.lit(0), F.when(F.col("n") > CELL, 1).otherwise(0))).alias("salt")
     ).select("node", F.struct("token", "salt", F.pmod(F.xxhash64("node", "salt"), "blocks").alias("block")).alias("cell"))
-    found = common.checkpointed(cell_links(cells, grams))
+    found = links_of(cells)
     rest = with_roots(met, found)
 
     small = rest.where(F.col("n") <= SMALL_BUCKET)
@@ -379,12 +435,21 @@ def similar_links(nodes: DataFrame, grams_of: Callable[[DataFrame], DataFrame])
         .where((F.col("node") > F.col("its_node")) & (F.col("root") != F.col("its_root")))
         .where(9 * room >= 4 * (F.col("size") + F.col("its_size")))
         .select(F.col("node").alias("u"), F.col("its_node").alias("v")).distinct()
-        .join(grams.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u")
-        .join(grams.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
+        .join(prints.toDF("u", "size", "sketch"), "u")
+        .join(prints.toDF("v", "its_size", "its_sketch"), "v")
+        .where(close(F.col("size"), F.col("its_size"), F.col("sketch"), F.col("its_sketch")))
+        .select("u", "v")
+    )
+    pairs = common.stored(pairs, "pairs")
+    grams = common.stored(grams_of(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()), "grams")
+    links = (
+        pairs.join(grams.toDF("u", "a"), "u")
+        .join(grams.toDF("v", "b"), "v")
         .where(9 * F.size(F.array_intersect("a", "b")) >= 4 * (F.size("a") + F.size("b")))
         .select("u", "v")
     )
-    found = common.checkpointed(found.union(pairs))
+    found = common.checkpointed(found.union(links))
+    common.forget(pairs, grams, rest)
 
     rest = with_roots(met.where(F.col("n") > SMALL_BUCKET), found)
     main = (
@@ -401,7 +466,9 @@ def similar_links(nodes: DataFrame, grams_of: Callable[[DataFrame], DataFrame])
         .select("node", "token", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), against - 1)).alias("its"))
         .select("node", F.struct("token", F.least("own", "its").alias("a"), F.greatest("own", "its").alias("b")).alias("cell"))
     )
-    return common.checkpointed(found.union(cell_links(cells, grams)).distinct())
+    found = links_of(cells, found)
+    common.forget(rest, met, prints)
+    return found
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -412,13 +479,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     without words are one group.  Of repeated rows one stays; a NULL id stays
     only where a group has no other.
     """
-    rows = common.checkpointed(signatures(docs, id_col, text_col))
-    nodes = rows.groupBy("node").agg(F.first("size").alias("size"), F.first("tokens").alias("tokens"))
+    rows = common.stored(signatures(docs, id_col, text_col), "signatures")
+    nodes = rows.groupBy("node").agg(*(F.first(c).alias(c) for c in ("size", "tokens", "sketch")))
 
     def grams_of(some: DataFrame) -> DataFrame:
-        body = F.min(F.struct("body_a", "body_b")).alias("body")
-        texts = rows.join(some, "node").groupBy("node").agg(body).select("node", "body.body_a", "body.body_b")
-        return sets_of(docs, texts, text_col)
+        one = F.min(F.struct("id", "body_a", "body_b")).alias("one")
+        return sets_of(docs, rows.join(some, "node").groupBy("node").agg(one).select("node", "one.*"), id_col, text_col)
 
     roots = components(similar_links(nodes, grams_of))
     rank = F.struct(F.col("id").isNull().alias("null_id"), F.col("id"), F.col("body_a"), F.col("body_b"))
@@ -435,6 +501,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.col("s.id").eqNullSafe(F.col("r.id")) & (F.col("s.body_a") == F.col("r.body_a")) & (F.col("s.body_b") == F.col("r.body_b")),
     ).select(F.col("s.id").alias("stay_id"), F.col("s.body_a").alias("stay_a"), F.col("s.body_b").alias("stay_b"), "times")
     stay = common.checkpointed(stay)
+    common.forget(rows)
     body = common.text_of(F.col("row")[text_col])
     kept = (
         common.wrapped(docs)

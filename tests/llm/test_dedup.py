@@ -233,3 +233,32 @@ def test_prefixes_of_near_sets_meet():
         if shares(set(a.tolist()), set(b.tolist())):
             count = rng.integers(0, 3, simhash.COUNTERS)
             assert set(simhash.prefix(a, count).tolist()) & set(simhash.prefix(b, count).tolist())
+
+
+def test_sketches_of_near_sets_are_close():
+    """Sets that share 0.8 stay well inside the Hamming bound, whichever side is longer; others are far beyond it."""
+    rng = np.random.default_rng(12)
+    for _ in range(300):
+        n = int(rng.integers(simhash.SMALL_SET, 600))
+        base = rng.integers(0, 2**63, n).astype(np.uint64)
+        add = rng.integers(0, 2**63, n // 4).astype(np.uint64)
+        cut, grown = np.unique(base[: -(-4 * n // 5)]), np.unique(np.concatenate([base, add]))
+        swapped = np.unique(np.concatenate([base[n // 9 :], add[: n // 9]]))
+        whole = np.unique(base)
+        other = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        bits = lambda a, b: int(np.bitwise_count((simhash.sketch(a) ^ simhash.sketch(b)).view(np.uint64)).sum())
+        assert max(bits(whole, near) for near in (cut, grown, swapped)) <= simhash.SKETCH_BITS - 8
+        assert bits(whole, other) > simhash.SKETCH_BITS
+
+
+def test_forgotten_tables_are_gone(spark):
+    from pathlib import Path
+
+    from byteloom.llm import common
+
+    kept = common.stored(spark.range(5).toDF("n"), "kept")
+    gone = common.stored(spark.range(5).toDF("n"), "gone")
+    folder = Path(gone.inputFiles()[0].removeprefix("file://")).parent
+    assert folder.exists()
+    common.forget(gone)
+    assert not folder.exists() and kept.count() == 5
