@@ -9,6 +9,8 @@ them against the table.
 
 from __future__ import annotations
 
+import json
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -16,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -34,7 +37,10 @@ CHECKSUM_FLAG = 0x80
 #: Ids in a frame, unless one document has more.
 FRAME_IDS = 1 << 16
 #: Words whose ids a worker remembers in each of two generations, and the longest of them in bytes.
-KNOWN_WORDS, KNOWN_BYTES = 600_000, 48
+KNOWN_WORDS, KNOWN_BYTES = 400_000, 48
+
+#: Bytes of text that are encoded at a time, unless one text has more.
+PIECE_BYTES = 8 << 20
 
 INDEX = np.dtype([("doc_id", "<i8"), ("is_null", "u1"), ("frame", "<u4"), ("at", "<u8"), ("n", "<u8")])
 
@@ -123,13 +129,79 @@ class Reader:
 # --- ids -----------------------------------------------------------------------
 
 
+def pieces(batch: pa.RecordBatch, column: int, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """All rows of a batch, so many at a time that their texts have up to `limit` bytes; a longer text is alone."""
+    before = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    start = 0
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(before, before[start] + limit, "right")) - 1)
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Of every text's runs without white space (ASCII), one after another: their numbers; what each number stands for; how many each text has.
+
+    White space at an end of a text gives an empty word there.
+    """
+    lists = pc.ascii_split_whitespace(texts)
+    words = lists.flatten().dictionary_encode()
+    return words.indices.to_numpy(), words.dictionary, lists.value_lengths().to_numpy()
+
+
+def halves(words: pa.Array) -> pa.Array:
+    """Two for each word: its letters and the ASCII marks behind them, or the whole word and nothing."""
+    heads = pc.ascii_rtrim(words, characters=string.punctuation)
+    whole = pc.binary_length(words).to_numpy().astype(np.int64)
+    length = np.where(pc.utf8_is_alpha(heads).to_numpy(zero_copy_only=False), pc.binary_length(heads).to_numpy(), whole)
+    # The same bytes, cut at more places.
+    words = pa.concat_arrays([words.cast(pa.large_string())])
+    starts = np.cumsum(whole) - whole
+    cuts = np.append(np.stack([starts, starts + length], axis=1).ravel(), whole.sum())
+    first = np.frombuffer(words.buffers()[1], np.int64, 1, 8 * words.offset)[0] if len(words) else 0
+    return pa.LargeStringArray.from_buffers(2 * len(words), pa.py_buffer(cuts + first), words.buffers()[2])
+
+
+def gathered(items: np.ndarray, lengths: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of `items`, one of each length after another, in the order of `place`; and where each ends."""
+    n = lengths[place]
+    ends = np.cumsum(n)
+    at = np.repeat((np.cumsum(lengths) - lengths)[place] - (ends - n), n)
+    at += np.arange(len(at))
+    return items[at], ends
+
+
+#: What keeps letters apart from marks and does not look across white space.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PRE_TOKENIZERS = [
+    {
+        "type": "Split",
+        "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: Words of letters that are encoded at a time.
+JOINED = 100
+
+
+def letters_and_marks(word: str) -> bool:
+    """Whether a word is letters, then ASCII marks, either of which may be missing."""
+    head = word.rstrip(string.punctuation)
+    return not head or head.isalpha()
+
+
 @dataclass
 class Encoder:
     """Ids of texts as bytes, by the tokenizer of a file.
 
     White space ends tokens, so words are encoded one by one and the ids of
     frequent words are remembered.  Only for tokenizers that drop white space
-    before anything else looks across it.
+    before anything else looks across it.  Where a tokenizer also keeps letters
+    apart from marks, a word of letters and then ASCII marks is encoded as two,
+    so far fewer words are met, and words of letters are encoded many at a time:
+    each then gives one id that ends a piece, by which the ids are dealt.
     """
 
     path: str
@@ -138,34 +210,92 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(self.path)
+        self.ends = self._ends()
         # When the recent words are many, they become the older ones, and words
         # that are met again move back; so frequent words stay.
         self.recent: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        return [b"".join(words) for words in self.encode_words([t.encode().split() for t in texts])]
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; distinct words are looked up once."""
+        place, words, counts = split_words(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+        ids, ends = gathered(*self.ids_of(words), place)
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
 
     def encode_words(self, texts: list[list[bytes]]) -> list[list[bytes]]:
         """Ids of every word of every text."""
+        words = list(set().union(*texts)) if texts else []
+        ids, lengths = self.ids_of(pa.array(words, pa.large_binary()).cast(pa.large_string()))
+        data, bounds = ids.tobytes(), [0, *(4 * np.cumsum(lengths)).tolist()]
+        known = dict(zip(words, (data[a:b] for a, b in zip(bounds, bounds[1:]))))
+        return [list(map(known.__getitem__, text)) for text in texts]
+
+    def ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after another, and how many each has."""
+        parts = (words if self.ends is None else halves(words)).dictionary_encode()
+        codes = self._remembered(parts.dictionary.cast(pa.large_string()).cast(pa.large_binary()).to_pylist())
+        lengths = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        place = parts.indices.to_numpy()
+        ids, _ = gathered(np.frombuffer(b"".join(codes), "<u4"), lengths, place)
+        return ids, lengths[place].reshape(len(words), 1 if self.ends is None else 2).sum(axis=1)
+
+    def _ends(self) -> np.ndarray | None:
+        """Which ids end a piece; None if letters and marks are not known to be kept apart."""
+        from tokenizers.models import BPE
+
+        model = self.tokenizer.model
+        suffix = model.end_of_word_suffix if isinstance(model, BPE) else None
+        parts = json.loads(self.tokenizer.to_str())
+        added = [t["content"] for t in parts["added_tokens"]]
+        plain = (parts["normalizer"] or {}).get("normalizers"), (parts["pre_tokenizer"] or {}).get("pretokenizers")
+        if not suffix or plain != (NORMALIZERS, PRE_TOKENIZERS) or any(letters_and_marks(t) for t in added):
+            return None
+        out = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            out[i] = token.endswith(suffix)
+        return out
+
+    def _coded(self, words: list[str]) -> list[bytes]:
+        return [np.array(code.ids, "<u4").tobytes() for code in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _coded_letters(self, words: list[str]) -> list[bytes]:
+        """Words of letters, JOINED at a time; where one gives more than one piece, they are encoded one by one."""
+        out = []
+        groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        for some, code in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(code.ids, "<u4")
+            last = np.nonzero(self.ends[ids])[0]
+            if len(last) != len(some) or last[-1] != len(ids) - 1:
+                out += self._coded(some)
+                continue
+            data, bounds = ids.tobytes(), [0, *(4 * (last + 1)).tolist()]
+            out += [data[a:b] for a, b in zip(bounds, bounds[1:])]
+        return out
+
+    def _coded_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        letters = [w for w in words if w.isalpha()] if self.ends is not None else []
+        others = [w for w in words if not w.isalpha()] if self.ends is not None else words
+        yield from zip(letters, self._coded_letters(letters))
+        yield from zip(others, self._coded(others))
+
+    def _remembered(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
         if len(self.recent) > KNOWN_WORDS:
             self.recent, self.older = {}, self.recent
         recent, older, once = self.recent, self.older, {}
-        met = set().union(*texts).difference(recent) if texts else set()
-        again = met.intersection(older)
-        recent.update(zip(again, map(older.__getitem__, again)))
-        fresh = list(met.difference(again))
+        met = [w for w in words if w not in recent]
+        fresh = []
+        for word in met:
+            if word in older:
+                recent[word] = older[word]
+            else:
+                fresh.append(word)
         for start in range(0, len(fresh), 50_000):
-            some = fresh[start : start + 50_000]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            for word, code in zip(some, coded):
-                ids = np.array(code.ids, "<u4").tobytes()
+            for text, ids in self._coded_words([w.decode() for w in fresh[start : start + 50_000]]):
+                word = text.encode()
                 (recent if len(word) <= KNOWN_BYTES else once)[word] = ids
-        if once:
-            return [[recent[w] if w in recent else once[w] for w in words] for words in texts]
-        get = recent.__getitem__
-        return [list(map(get, words)) for words in texts]
+        return [recent[w] if w in recent else once[w] for w in words] if once else list(map(recent.__getitem__, words))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -214,9 +344,8 @@ def write_files(
             writer = Writer(out)
             batch = first
             while batch is not None:
-                for start in range(0, batch.num_rows, 500):
-                    some = batch.slice(start, 500)
-                    for doc_id, code in zip(some.column(0).to_pylist(), encoder(tokenizer_path).encode(some.column(1).to_pylist())):
+                for some in pieces(batch, 1):
+                    for doc_id, code in zip(some.column(0).to_pylist(), encoder(tokenizer_path).encode(some.column(1))):
                         writer.add(doc_id, code + end)
                         ids += len(code) // 4 + 1
                         docs_written += 1

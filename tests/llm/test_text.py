@@ -93,6 +93,28 @@ def test_words_encode_like_texts(text):
     assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == want
 
 
+def test_letters_and_marks_are_coded_apart():
+    """Words that differ in the marks behind them are one word to the tokenizer, and all give the tokenizer's own ids."""
+    coder = tokenfiles.Encoder(TOKENIZER)
+    texts = ["Straße straße, straße... (straße) it's its' 's x' a1, 1. <|endoftext|>! a<|endoftext|>", "\u0130x, \u00aa\u00b2 e\u0301! \u65e5\u672c. \u0301a", "", " , a\x1cb c\u00a0d\u2003e"]
+    want = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(c, "<u4").tolist() for c in coder.encode(texts)] == want
+    words = [w for t in texts for w in t.encode().split()]
+    assert [x for c in coder.encode_words([[], words])[1] for x in np.frombuffer(c, "<u4").tolist()] == [x for w in want for x in w]
+    assert "straße".encode() in coder.recent and "straße,".encode() not in coder.recent
+    coder.ends = None
+    assert [np.frombuffer(c, "<u4").tolist() for c in coder.encode(texts)] == want
+
+
+def test_pieces_hold_all_rows():
+    import pyarrow as pa
+
+    texts = ["a" * n for n in (0, 3, 50, 2, 2, 2, 0, 7)]
+    found = list(tokenfiles.pieces(pa.RecordBatch.from_arrays([pa.array(texts)], ["t"]).slice(1), 0, 6))
+    assert [t for p in found for t in p.column(0).to_pylist()] == texts[1:]
+    assert all(p.num_rows == 1 or sum(map(len, p.column(0).to_pylist())) <= 6 for p in found)
+
+
 def test_seekable_file(monkeypatch):
     monkeypatch.setattr(tokenfiles, "FRAME_IDS", 50)
     rng = np.random.default_rng(1)
