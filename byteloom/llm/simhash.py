@@ -3,8 +3,10 @@
 A fingerprint is cut into blocks.  Fingerprints that differ in few bits leave
 some blocks whole, so they meet in a bucket of those blocks; only rows of one
 bucket are compared.  Equal fingerprints are one node throughout, so copies
-never make pairs.  In the stage of the pipeline shingle sets meet by a prefix of
-each set; rows whose wider fingerprints are close are compared by their sets.
+never make pairs.  In the stage of the pipeline wider fingerprints meet by their
+blocks first.  What their sets link is one component from then on; components
+meet by a prefix of each set, which finds whatever differs in every block.  Rows
+whose fingerprints are close are compared by their sets.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ STAGE_SHINGLE, COUNTERS = 5, 1 << 18
 #: Its fingerprints have so many 64-bit words.  Sets that share 0.8 differ in 39 of 256 bits on average with a
 #: deviation of 6, so 88 is over 8 deviations away; sets below SMALL_SET are compared whatever their fingerprints.
 SKETCH_WORDS, SKETCH_BITS, SMALL_SET = 4, 88, 64
+#: Fingerprints that differ in less bits than this have one of so many blocks in common.
+SKETCH_BLOCKS = 8
 #: Texts are picked by a broadcast of up to this many keys; more are joined by a shuffle.
 BROADCAST_NODES = 500_000
 
@@ -317,23 +321,50 @@ def close(size: Column, its_size: Column, words: Column, its_words: Column) -> C
     return alike & ((bits <= SKETCH_BITS) | (F.least(size, its_size) < SMALL_SET))
 
 
-def close_rows(cells: DataFrame, prints: DataFrame) -> DataFrame:
-    """The rows of the cells (cell, node) that are close to another row of their cell.
+def spanning(near: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what the pairs of a symmetric matrix connect."""
+    links, fresh = [], near.any(axis=1)
+    for first in np.nonzero(fresh)[0].tolist():
+        if not fresh[first]:
+            continue
+        fresh[first], open_ = False, [first]
+        while open_:
+            at = open_.pop()
+            met = np.nonzero(near[at] & fresh)[0].tolist()
+            fresh[met] = False
+            open_ += met
+            links += [(at, other) for other in met]
+    return links
+
+
+def linked(nodes: np.ndarray, links: list[tuple[int, int]]) -> pa.Table:
+    u, v = nodes[[a for a, _ in links]], nodes[[b for _, b in links]]
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
 
-    Cells go by a hash; two that share one are compared together.
+def close_forest(met: DataFrame) -> DataFrame:
+    """(u, v) links that connect all close rows (cell, node, root, size, sketch) of a cell with different roots.
+
+    This is the Hamming check.  Cells go by a hash; two that share one are compared together.
     """
 
     def run(rows: pa.Table) -> pa.Table:
-        size = rows["size"].to_numpy()
-        words = np.array(rows["sketch"].to_pylist(), np.int64).view(np.uint64).reshape(len(size), SKETCH_WORDS)
+        size, root = rows["size"].to_numpy(), rows["root"].to_numpy()
+        words = pa.concat_arrays(rows["sketch"].chunks).flatten().to_numpy().view(np.uint64).reshape(len(size), SKETCH_WORDS)
         bits = sum(np.bitwise_count(words[:, None, i] ^ words[None, :, i]).astype(np.int16) for i in range(SKETCH_WORDS))
         least, most = np.minimum(size[:, None], size[None, :]), np.maximum(size[:, None], size[None, :])
-        near = (5 * least >= 4 * most) & ((bits <= SKETCH_BITS) | (least < SMALL_SET))
-        np.fill_diagonal(near, False)
-        return rows.select(["cell", "node"]).filter(pa.array(near.any(axis=1)))
+        near = (5 * least >= 4 * most) & ((bits <= SKETCH_BITS) | (least < SMALL_SET)) & (root[:, None] != root[None, :])
+        return linked(rows["node"].to_numpy(), spanning(near))
+
+    met = met.select(F.xxhash64("cell").alias("cell"), "node", "root", "size", "sketch")
+    return met.groupBy("cell").applyInArrow(run, "u bigint, v bigint")
 
-    met = cells.join(prints, "node").select(F.xxhash64("cell").alias("cell"), "node", "size", "sketch")
-    return met.groupBy("cell").applyInArrow(run, "cell bigint, node bigint")
+
+def clumps(links: DataFrame) -> DataFrame:
+    """(token, node, n): the nodes of links, by the least node reachable, and their number."""
+    stars = components(links)
+    rows = stars.select(F.col("root").alias("token"), "node").union(stars.select("root", "root").distinct())
+    return common.stored(rows.join(rows.groupBy("token").agg(F.count("*").alias("n")), "token"), "clumps")
 
 
 def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -354,18 +385,7 @@ def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
         here[row[lo:hi], place[lo:hi] - start] = 1
         both += here @ here.T
     near = 9 * both.astype(np.int64) >= 4 * (size[:, None] + size[None, :])
-    links, fresh = [], np.ones(n, bool)
-    for first in range(n):
-        if not fresh[first]:
-            continue
-        fresh[first], open_ = False, [first]
-        while open_:
-            at = open_.pop()
-            met = np.nonzero(near[at] & fresh)[0].tolist()
-            fresh[met] = False
-            open_ += met
-            links += [(at, other) for other in met]
-    return links
+    return spanning(near)
 
 
 def cell_links(cells: DataFrame, grams: DataFrame) -> DataFrame:
@@ -374,57 +394,101 @@ def cell_links(cells: DataFrame, grams: DataFrame) -> DataFrame:
     def run(rows: pa.Table) -> pa.Table:
         nodes = rows["node"].to_numpy()
         links = forest([g.values.to_numpy() for g in rows["grams"]]) if len(nodes) > 1 else []
-        u, v = nodes[[a for a, _ in links]], nodes[[b for _, b in links]]
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+        return linked(nodes, links)
 
     return cells.join(grams, "node").select("cell", "node", "grams").groupBy("cell").applyInArrow(run, "u bigint, v bigint")
 
 
-def with_roots(met: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold more than one component of the links, with `root`."""
-    rooted = met.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+def with_roots(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold more than one component, with `root`."""
+    rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
     return common.stored(rooted.join(several, "token"), "rooted")
 
 
+def block_cells(nodes: DataFrame) -> DataFrame:
+    """(cell, node, root, size, sketch): the nodes that have a block of their fingerprint in common, in cells of CELL."""
+    halves = [
+        half
+        for i in range(SKETCH_WORDS)
+        for half in (F.get("sketch", F.lit(i)).bitwiseAND(F.lit((1 << 32) - 1).cast("bigint")), F.shiftrightunsigned(F.get("sketch", F.lit(i)), 32))
+    ]
+    keyed = nodes.select("node", "size", "sketch", F.posexplode(F.array(*halves)).alias("t", "block"))
+    sizes = keyed.groupBy("t", "block").agg(F.count("*").alias("n")).where("n > 1")
+    part = F.pmod(F.xxhash64("node", "t"), F.ceil(F.col("n") / CELL))
+    return keyed.join(sizes, ["t", "block"]).select(
+        F.struct("t", "block", part.alias("part")).alias("cell"), "node", F.col("node").alias("root"), "size", "sketch"
+    )
+
+
+def cross_cells(rest: DataFrame) -> DataFrame:
+    """(cell, node, root) of buckets (token, node, root, n): rows of different roots meet in a cell of two blocks of CELL.
+
+    One of the blocks at least is outside the largest component of the bucket.
+    """
+    main = (
+        rest.groupBy("token", "root").agg(F.count("*").alias("of_root"))
+        .groupBy("token").agg(F.max(F.struct("of_root", "root")).alias("main"))
+        .select("token", F.col("main.root").alias("main"), F.col("main.of_root").alias("of_main"))
+    )
+    outside, inside = F.ceil((F.col("n") - F.col("of_main")) / CELL), F.ceil(F.col("of_main") / CELL)
+    is_main = F.col("root") == F.col("main")
+    own = F.when(is_main, F.col("outside") + F.pmod(F.xxhash64("node"), "inside")).otherwise(F.pmod(F.xxhash64("node"), "outside"))
+    against = F.when(is_main, F.col("outside")).otherwise(F.col("outside") + F.col("inside"))
+    return (
+        rest.join(main, "token").withColumn("outside", outside).withColumn("inside", inside)
+        .select("node", "root", "token", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), against - 1)).alias("its"))
+        .select(F.struct("token", F.least("own", "its").alias("a"), F.greatest("own", "its").alias("b")).alias("cell"), "node", "root")
+    )
+
+
 def similar_links(nodes: DataFrame, grams_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(u, v) links that connect all nodes (node, size, tokens, sketch) whose shingle sets share 0.8 or more.
 
-    Nodes meet in a bucket of each of their tokens.  Rows that meet are compared
-    by size and fingerprint; the sets of those that are close decide.  First
-    every node is compared within its largest bucket, in cells of CELL rows, and the links
-    found are made components.  Then a bucket of several components compares
-    all pairs of different ones: small buckets as pairs, large ones in cells of
-    two blocks, of which one at least is outside the largest component.  Only
-    pairs that are connected already are not compared, so no link is lost
+    First nodes meet by pigeonhole blocks: fingerprints that differ in less than
+    SKETCH_BLOCKS bits have a block in common, and many others do.  Those that
+    pass the Hamming check are clumps; the sets of a clump are compared in
+    cells of CELL rows, twice dealt, and the links found are made components.
+
+    Sets that share 0.8 may differ in every block, so then nodes meet in a
+    bucket of each of their tokens.  A bucket of several components compares all
+    pairs of different ones that pass the Hamming check: small buckets as
+    pairs, large ones in cells of two blocks, of which one at least is outside
+    the largest component.  What large buckets leave is made clumps first, so
+    that a set is fetched once for its clump and not for each of its tokens.
+    Only pairs that are connected already are not compared, so no link is lost
     whatever the size of a bucket.
     """
+
+    def links_of(cells: DataFrame) -> DataFrame:
+        cells = common.stored(cells, "cells")
+        grams = common.stored(grams_of(cells.select("node").distinct()), "grams")
+        links = common.checkpointed(cell_links(cells, grams))
+        common.forget(cells, grams)
+        return links
+
+    close_by_blocks = clumps(close_forest(block_cells(nodes)))
+    salts = F.sequence(F.lit(0), F.when(F.col("n") > CELL, 1).otherwise(0))
+    dealt = F.pmod(F.xxhash64("node", "salt"), F.ceil(F.col("n") / CELL))
+    cells = close_by_blocks.select("node", "token", "n", F.explode(salts).alias("salt")).select(
+        "node", F.struct("token", "salt", dealt.alias("block")).alias("cell")
+    )
+    found = links_of(cells)
+    common.forget(close_by_blocks)
+
     keyed = nodes.select("node", "size", F.posexplode("tokens").alias("place", "token"))
     member = F.xxhash64("node")
-    sizes = keyed.groupBy("token").agg(
-        F.count("*").alias("n"), F.bit_xor(member).alias("x"), F.sum(F.shiftright(member, 20)).alias("s")
-    ).where("n > 1")
+    sizes = common.checkpointed(
+        keyed.groupBy("token").agg(
+            F.count("*").alias("n"), F.bit_xor(member).alias("x"), F.sum(F.shiftright(member, 20)).alias("s")
+        ).where("n > 1")
+    )
     # Of large buckets of the same nodes one is enough; small ones keep their places for the bound below.
     large_sizes = sizes.where(F.col("n") > SMALL_BUCKET).groupBy("n", "x", "s").agg(F.min("token").alias("token"))
     sizes = sizes.where(F.col("n") <= SMALL_BUCKET).select("token", "n").union(large_sizes.select("token", "n"))
     met = common.stored(keyed.join(sizes, "token"), "met")
     prints = common.stored(nodes.select("node", "size", "sketch").join(met.select("node").distinct(), "node"), "prints")
-
-    def links_of(cells: DataFrame, found: DataFrame | None = None) -> DataFrame:
-        near = common.stored(close_rows(cells, prints), "near")
-        grams = common.stored(grams_of(near.select("node").distinct()), "grams")
-        links = cell_links(near, grams)
-        links = common.checkpointed(links if found is None else found.union(links).distinct())
-        common.forget(near, grams)
-        return links
-
-    block = F.ceil(F.col("n") / CELL)
-    top = met.groupBy("node").agg(F.max(F.struct("n", "token")).alias("top")).select("node", "top.n", "top.token")
-    cells = top.select(
-        "node", "token", block.alias("blocks"), F.explode(F.sequence(F.lit(0), F.when(F.col("n") > CELL, 1).otherwise(0))).alias("salt")
-    ).select("node", F.struct("token", "salt", F.pmod(F.xxhash64("node", "salt"), "blocks").alias("block")).alias("cell"))
-    found = links_of(cells)
-    rest = with_roots(met, found)
+    rest = with_roots(met, components(found))
 
     small = rest.where(F.col("n") <= SMALL_BUCKET)
     other = small.select("token", *(F.col(c).alias(f"its_{c}") for c in ("node", "size", "place", "root")))
@@ -451,23 +515,13 @@ def similar_links(nodes: DataFrame, grams_of: Callable[[DataFrame], DataFrame])
     found = common.checkpointed(found.union(links))
     common.forget(pairs, grams, rest)
 
-    rest = with_roots(met.where(F.col("n") > SMALL_BUCKET), found)
-    main = (
-        rest.groupBy("token", "root").agg(F.count("*").alias("of_root"))
-        .groupBy("token").agg(F.max(F.struct("of_root", "root")).alias("main"))
-        .select("token", F.col("main.root").alias("main"), F.col("main.of_root").alias("of_main"))
-    )
-    outside, inside = F.ceil((F.col("n") - F.col("of_main")) / CELL), F.ceil(F.col("of_main") / CELL)
-    is_main = F.col("root") == F.col("main")
-    own = F.when(is_main, F.col("outside") + F.pmod(F.xxhash64("node"), "inside")).otherwise(F.pmod(F.xxhash64("node"), "outside"))
-    against = F.when(is_main, F.col("outside")).otherwise(F.col("outside") + F.col("inside"))
-    cells = (
-        rest.join(main, "token").withColumn("outside", outside).withColumn("inside", inside)
-        .select("node", "token", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), against - 1)).alias("its"))
-        .select("node", F.struct("token", F.least("own", "its").alias("a"), F.greatest("own", "its").alias("b")).alias("cell"))
-    )
-    found = links_of(cells, found)
+    roots = components(found)
+    rest = with_roots(met.where(F.col("n") > SMALL_BUCKET), roots)
+    close_by_tokens = clumps(close_forest(cross_cells(rest).join(prints, "node")))
     common.forget(rest, met, prints)
+    rest = with_roots(close_by_tokens, roots)
+    found = common.checkpointed(found.union(links_of(cross_cells(rest).select("cell", "node"))))
+    common.forget(rest, close_by_tokens)
     return found
 
 
@@ -479,14 +533,17 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     without words are one group.  Of repeated rows one stays; a NULL id stays
     only where a group has no other.
     """
-    rows = common.stored(signatures(docs, id_col, text_col), "signatures")
-    nodes = rows.groupBy("node").agg(*(F.first(c).alias(c) for c in ("size", "tokens", "sketch")))
+    signed = common.stored(signatures(docs, id_col, text_col), "signatures")
+    nodes = common.stored(signed.groupBy("node").agg(*(F.first(c).alias(c) for c in ("size", "tokens", "sketch"))), "nodes")
+    rows = common.stored(signed.select("id", "body_a", "body_b", "node"), "rows")
+    common.forget(signed)
 
     def grams_of(some: DataFrame) -> DataFrame:
         one = F.min(F.struct("id", "body_a", "body_b")).alias("one")
         return sets_of(docs, rows.join(some, "node").groupBy("node").agg(one).select("node", "one.*"), id_col, text_col)
 
     roots = components(similar_links(nodes, grams_of))
+    common.forget(nodes)
     rank = F.struct(F.col("id").isNull().alias("null_id"), F.col("id"), F.col("body_a"), F.col("body_b"))
     best = rows.groupBy("node").agg(F.min(rank).alias("best")).join(
         roots.withColumnRenamed("node", "n2"), F.col("node") == F.col("n2"), "left"

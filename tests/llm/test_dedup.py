@@ -251,6 +251,51 @@ def test_sketches_of_near_sets_are_close():
         assert bits(whole, other) > simhash.SKETCH_BITS
 
 
+def test_blocks_and_hamming_check_link_close_fingerprints(spark):
+    """Fingerprints below SKETCH_BLOCKS differing bits meet in a block whichever bits differ; far ones are not linked."""
+    rng = random.Random(17)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    rows, want = [], set()
+    for i in range(60):
+        words = [rng.getrandbits(64) for _ in range(simhash.SKETCH_WORDS)]
+        other = list(words)
+        for bit in rng.sample(range(256), simhash.SKETCH_BLOCKS - 1):
+            other[bit // 64] ^= 1 << bit % 64
+        rows += [(2 * i, 100, [signed(w) for w in words]), (2 * i + 1, 100, [signed(w) for w in other])]
+        want.add((2 * i, 2 * i + 1))
+    nodes = spark.createDataFrame(rows, "node bigint, size bigint, sketch array<bigint>")
+    links = simhash.close_forest(simhash.block_cells(nodes)).collect()
+    assert {(min(r.u, r.v), max(r.u, r.v)) for r in links} == want
+
+
+def test_sets_of_large_buckets_are_fetched_once(spark, monkeypatch):
+    """Texts that pass the Hamming check in many large buckets but are not near: each set enters one cell, not one for each token."""
+    rng = np.random.default_rng(21)
+    base = rng.integers(0, 2**63, 500).astype(np.uint64)
+    sets = {}
+    for i in range(simhash.SMALL_BUCKET + 14):
+        sets[i] = np.unique(np.concatenate([base[:420], rng.integers(0, 2**63, 80).astype(np.uint64)]))
+    assert not any(5 * len(np.intersect1d(sets[0], s)) >= 4 * len(np.union1d(sets[0], s)) for i, s in sets.items() if i)
+    count = np.full(simhash.COUNTERS, 2)
+    count[(base[:60] % np.uint64(simhash.COUNTERS)).astype(np.int64)] = 1
+    # Each of the shared tokens has a bucket of its own members, so that the buckets are not the same.
+    rows = []
+    for i, s in sets.items():
+        tokens = [t for k, t in enumerate(base[:60].view(np.int64).tolist()) if (k + i) % 30]
+        rows.append((i, len(s), tokens, simhash.sketch(s).tolist()))
+    nodes = spark.createDataFrame(rows, "node bigint, size bigint, tokens array<bigint>, sketch array<bigint>")
+    grams = spark.createDataFrame([(i, s.view(np.int64).tolist()) for i, s in sets.items()], "node bigint, grams array<bigint>")
+    met, compare = [], simhash.cell_links
+
+    def counted(cells, grams):
+        met.append(cells.count())
+        return compare(cells, grams)
+
+    monkeypatch.setattr(simhash, "cell_links", counted)
+    found = simhash.similar_links(nodes, lambda some: grams.join(some, "node"))
+    assert found.count() == 0 and met[-1] and max(met) <= 2 * len(sets)
+
+
 def test_forgotten_tables_are_gone(spark):
     from pathlib import Path
 
