@@ -156,17 +156,40 @@ class Attention:
         self.add_layer()
         inputs, targets = self._windows(texts)
         rng = np.random.default_rng(seed)
-        first, second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
+        moments = self._moments()
         for step in range(1, steps + 1):
             some = rng.integers(0, len(inputs), batch)
-            grads = self._gradients(inputs[some], targets[some])
-            now = rate * min(1, step / 50) * (1 - step / (steps + 1))
-            for k, g in grads.items():
-                first[k] += 0.1 * (g - first[k])
-                second[k] += 0.01 * (g * g - second[k])
-                self.p[k] -= now * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
+            self._step(inputs[some], targets[some], moments, step, rate * min(1, step / 50) * (1 - step / (steps + 1)))
+
+    def _moments(self) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+        return {k: np.zeros_like(v) for k, v in self.p.items()}, {k: np.zeros_like(v) for k, v in self.p.items()}
+
+    def _step(self, x: np.ndarray, y: np.ndarray, moments: tuple, step: int, rate: float) -> None:
+        first, second = moments
+        for k, g in self._gradients(x, y).items():
+            first[k] += 0.1 * (g - first[k])
+            second[k] += 0.01 * (g * g - second[k])
+            self.p[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
         self.tables = None
 
+    def fit_once(self, texts: Iterator[list[np.ndarray]], rate: float, batch: int = 96, seed: int = 11) -> int:
+        """Steps over every window of the texts, each in one step; the number of windows."""
+        if "A" not in self.p:
+            self.add_layer()
+        rng = np.random.default_rng(seed)
+        moments, step, windows = self._moments(), 0, 0
+        for some in texts:
+            inputs, targets = self._windows(some)
+            order = rng.permutation(len(inputs))
+            windows += len(inputs)
+            for at in range(0, len(inputs), batch):
+                step += 1
+                here = order[at : at + batch]
+                # A batch that is not full counts by its size.
+                now = rate * min(1, step / 50) * len(here) / batch
+                self._step(inputs[here], targets[here], moments, step, now)
+        return windows
+
     def _gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         p, d = self.p, WIDTH
         scale = np.float32(d**-0.5)

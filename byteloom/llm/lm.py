@@ -8,6 +8,7 @@ the two is fitted on sample texts that the attention model was not fitted on.
 
 from __future__ import annotations
 
+import copy
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,11 +22,15 @@ from pyspark.sql import functions as F
 
 from byteloom.llm import common
 from byteloom.llm.attention import CONTEXTS, EMBEDDED, Attention, Vocabulary, vocabulary
-from byteloom.llm.tokenfiles import encoder
+from byteloom.llm.tokenfiles import encoder, pieces
 
-#: Training texts that the attention model is fitted on at least, picked by a hash of the
+#: Training texts that the attention model starts from at least, picked by a hash of the
 #: id, and one of how many texts of a large corpus; and more of them for the share of the mixture.
 SAMPLE_TEXTS, SAMPLE_OF, SHARE_TEXTS = 1_000, 400, 200
+#: Parts of the training rows that the attention model is fitted on in turn, and its rate on the first.
+ROUNDS, ROUND_RATE = 4, 2e-3
+#: Numbers of a parameter that are averaged in one group.
+CHUNK = 2048
 #: Words in memory of a task, those with the largest counts; the others are joined.
 FREQUENT = 200_000
 #: Distinct words that a task counts before it passes them on.
@@ -219,11 +224,78 @@ class Model:
             self.share = float(np.clip(np.mean(self.share * 10.0 ** (by_count - whole)), 0.01, 0.99))
 
 
+def ids_of(texts: list[list[bytes]], tokenizer_path: str, end_id: int) -> list[np.ndarray]:
+    """Subword ids of texts as words, the end last."""
+    return [
+        np.concatenate([np.frombuffer(b"".join(c), "<u4").astype(np.int64), [end_id]])
+        for c in encoder(tokenizer_path).encode_words(texts)
+    ]
+
+
+def fit_rows(attention: Attention, train: DataFrame, tokenizer_path: str, end_id: int) -> int:
+    """Fit the attention model on all training rows, each in one step of one round; the number of windows.
+
+    A round starts every task from the same parameters; the task makes its
+    steps over its rows of the round, and the parameters of all tasks are
+    averaged by their numbers of windows.  Only averages come to the driver.
+    """
+    if "A" not in attention.p:
+        attention.add_layer()
+    part = F.pmod(F.xxhash64("id", "body"), F.lit(ROUNDS))
+    windows = 0
+    for number in range(ROUNDS):
+        shared = train.sparkSession.sparkContext.broadcast(attention)
+        rate = ROUND_RATE * (1 - number / ROUNDS)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = copy.deepcopy(shared.value)
+            texts = (
+                ids_of([words_of(t.as_py()) for t in some.column(0)], tokenizer_path, end_id)
+                for batch in batches
+                for some in pieces(batch, 0, 1 << 20)
+            )
+            n = model.fit_once(texts, rate, seed=number)
+            if not n:
+                return
+            rows = [
+                (name, at // CHUNK, n, TaskContext.get().partitionId(), value.ravel()[at : at + CHUNK].astype(np.float64) * n)
+                for name, value in model.p.items()
+                for at in range(0, value.size, CHUNK)
+            ]
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["name", "chunk", "n", "task", "value"])
+
+        def total(rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by("task")
+            summed = sum(v.values.to_numpy() for v in rows["value"])
+            n = sum(rows["n"].to_pylist())
+            return pa.table(
+                [rows["name"][:1], rows["chunk"][:1], pa.array([n], pa.int64()), pa.array([summed / n], pa.list_(pa.float64()))],
+                ["name", "chunk", "n", "value"],
+            )
+
+        # A row for each chunk of the parameters, whatever the corpus.
+        means = (
+            train.where(part == number).select("body").mapInArrow(run, "name string, chunk bigint, n bigint, task bigint, value array<double>")
+            .groupBy("name", "chunk").applyInArrow(total, "name string, chunk bigint, n bigint, value array<double>")
+            .toArrow().sort_by([("name", "ascending"), ("chunk", "ascending")]).to_pylist()
+        )
+        shared.destroy()
+        values: dict[str, list[float]] = {}
+        for row in means:
+            values.setdefault(row["name"], []).extend(row["value"])
+        attention.p.update({k: np.array(v, np.float32).reshape(attention.p[k].shape) for k, v in values.items()})
+        windows += means[0]["n"] if means else 0
+    attention.tables = None
+    return windows
+
+
 def fit(train: DataFrame, counts: DataFrame, total: int, tokenizer_path: str) -> Model:
     """A model of the training rows (`id`, `body`) of `total` words; id counts are over all of them.
 
-    The attention model is fitted on SAMPLE_TEXTS whole texts, or one of
-    SAMPLE_OF if that is more, and the share on SHARE_TEXTS.
+    The attention model starts from steps on SAMPLE_TEXTS whole texts, or one of
+    SAMPLE_OF if that is more, and is then fitted on all rows; the share is
+    fitted on SHARE_TEXTS texts that the start leaves out.
     """
     from tokenizers import Tokenizer
 
@@ -239,16 +311,14 @@ def fit(train: DataFrame, counts: DataFrame, total: int, tokenizer_path: str) ->
     rng = np.random.default_rng(3)
     rng.shuffle(texts)
     fitted = texts[: max(1, len(texts) * sample // (sample + SHARE_TEXTS))]
-    ids = [
-        np.concatenate([np.frombuffer(b"".join(c), "<u4").astype(np.int64), [size]])
-        for c in encoder(tokenizer_path).encode_words(fitted)
-    ]
+    ids = ids_of(fitted, tokenizer_path, size)
     followers = common.checkpointed(follower_counts(counts, tokenizer_path))
     ends = frequent.get(END, 0)
     words = vocabulary(id_counts(followers, ends, size), ids)
     words.set_pairs(pair_counts(followers, words, ends))
     attention = Attention(words)
     attention.fit(ids)
+    fit_rows(attention, train, tokenizer_path, size)
     model = Model(attention, frequent, total, size, tokenizer_path)
     held = texts[len(fitted) :]
     # The words of at most SHARE_TEXTS texts.

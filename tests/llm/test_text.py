@@ -215,6 +215,23 @@ def test_layer_and_reach():
     assert attention.WINDOW - attention.STRIDE + 1 >= 9 and attention.EMBEDDED >= 4096 and attention.GROUPS >= 96
 
 
+def test_attention_is_fitted_on_all_training_rows(spark, docs, texts):
+    """Every window of every row is in one step, and texts beyond the sample change the parameters."""
+    common.share_package(spark)
+    rows = spark.createDataFrame([(i, t or "") for i, t in texts], "id bigint, body string").repartition(3)
+    coded = lm.ids_of([lm.words_of(t or "") for _, t in texts], TOKENIZER, 49408)
+    words = attention.vocabulary(np.bincount(np.concatenate(coded), minlength=49409).astype(float), coded)
+    model = attention.Attention(words)
+    model.fit(coded[:5], steps=20)
+    before, start = {k: v.copy() for k, v in model.p.items()}, model.score(coded).sum()
+    windows = lm.fit_rows(model, rows, TOKENIZER, 49408)
+    assert windows == sum(-(-len(c) // attention.WINDOW) for c in coded)
+    assert all((model.p[k] != before[k]).any() for k in before)
+    assert model.score(coded).sum() > start
+    lone = attention.Attention(words)
+    assert lm.fit_rows(lone, rows.limit(0), TOKENIZER, 49408) == 0
+
+
 def test_windows_score_each_id_once_with_its_context():
     """Windows in batches give what one window at a time gives, and need nothing behind an id."""
     rng = np.random.default_rng(3)
