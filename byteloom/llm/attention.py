@@ -8,7 +8,7 @@ are grouped by the ids that come before and after them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +22,8 @@ WINDOW, STRIDE = 32, 24
 STEPS = 1_000
 
 MASKED = np.float32(-1e9)
+#: Windows whose gradients are worked out at once, and numbers that a step changes at once.
+PART, PIECE = 32, 1 << 14
 
 #: Ids before that have counts of their own; the others and word starts share one each.
 CONTEXTS = 768
@@ -103,10 +105,20 @@ def vocabulary(counts: np.ndarray, texts: list[np.ndarray], seed: int = 5) -> Vo
     return Vocabulary(row, group, share)
 
 
-def _exp(x: np.ndarray) -> np.ndarray:
-    """e^x in place; bounded far above any score of a fitted model, so that nothing overflows."""
-    np.minimum(x, np.float32(80), out=x)
-    return np.exp(x, out=x)
+def _exps(scores: Callable[[], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray | np.float32]:
+    """e^(score - top), its sums along the last axis, and top: 0 unless a sum would overflow or vanish."""
+    x = scores()
+    ones = np.ones(x.shape[-1], x.dtype)
+    with np.errstate(over="ignore", invalid="ignore"):
+        np.exp(x, out=x)
+        total = x @ ones
+    if total.min(initial=1) > 1e-30 and total.max(initial=1) < 1e30:
+        return x, total, np.float32(0)
+    x = scores()
+    top = x.max(axis=-1)
+    x -= top[..., None]
+    np.exp(x, out=x)
+    return x, x @ ones, top
 
 
 class Attention:
@@ -165,11 +177,26 @@ class Attention:
         return {k: np.zeros_like(v) for k, v in self.p.items()}, {k: np.zeros_like(v) for k, v in self.p.items()}
 
     def _step(self, x: np.ndarray, y: np.ndarray, moments: tuple, step: int, rate: float) -> None:
-        first, second = moments
-        for k, g in self._gradients(x, y).items():
-            first[k] += 0.1 * (g - first[k])
-            second[k] += 0.01 * (g * g - second[k])
-            self.p[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
+        """One step of Adam, in place and in pieces that stay in the cache."""
+        rate, unbias = rate / (1 - 0.9**step), np.sqrt(1 - 0.99**step)
+        grads, rows, by_row = self._sums(x, y)
+        for k, p in self.p.items():
+            first, second = moments[0][k], moments[1][k]
+            first *= 0.9
+            second *= 0.99
+            if k == "E":
+                first[rows] += 0.1 * by_row
+                second[rows] += 0.01 * by_row * by_row
+            else:
+                first += 0.1 * grads[k]
+                second += 0.01 * grads[k] * grads[k]
+            first, second, p = first.reshape(-1), second.reshape(-1), p.reshape(-1)
+            for at in range(0, p.size, PIECE):
+                change = np.sqrt(second[at : at + PIECE])
+                change += float(1e-8 * unbias)
+                np.divide(first[at : at + PIECE], change, out=change)
+                change *= float(rate * unbias)
+                p[at : at + PIECE] -= change
         self.tables = None
 
     def fit_once(self, texts: Iterator[list[np.ndarray]], rate: float, batch: int = 96, seed: int = 11) -> int:
@@ -190,98 +217,168 @@ class Attention:
                 self._step(inputs[here], targets[here], moments, step, now)
         return windows
 
+    def _product(self) -> np.ndarray:
+        """M = Q K^T, scaled; the score of two places is e M e^T."""
+        return self.p["Q"] @ self.p["K"].T * np.float32(WIDTH**-0.5)
+
     def _gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        p, d = self.p, WIDTH
-        scale = np.float32(d**-0.5)
-        e = p["E"][x]
-        q, k, v = e @ p["Q"] * scale, e @ p["K"], e @ p["V"]
-        s = q @ k.transpose(0, 2, 1) + self._bias()
-        s = np.exp(s - s.max(axis=2, keepdims=True))
-        s /= s.sum(axis=2, keepdims=True)
-        h = e + s @ v
-        t = np.tanh(h @ p["A"] + p["a"]) if "A" in p else np.zeros_like(h)
-        z = h + t
-        logits = z @ p["U"] + p["u"]
-        out = np.exp(logits - logits.max(axis=2, keepdims=True))
-        out /= out.sum(axis=2, keepdims=True)
-        known = y >= 0
-        b, i = np.nonzero(known)
-        out[b, i, self.words.group[y[b, i]]] -= 1
-        out *= known[:, :, None] / max(1, len(b))
-        flat = lambda m: m.reshape(-1, m.shape[-1])
-        g = {"U": flat(z).T @ flat(out), "u": out.sum(axis=(0, 1))}
-        dh = out @ p["U"].T
-        if "A" in p:
-            dt = dh * (1 - t * t)
-            g["A"], g["a"] = flat(h).T @ flat(dt), dt.sum(axis=(0, 1))
-            dh = dh + dt @ p["A"].T
-        dv = s.transpose(0, 2, 1) @ dh
-        ds = dh @ v.transpose(0, 2, 1)
-        ds = s * (ds - (ds * s).sum(axis=2, keepdims=True))
-        by_pair = ds.sum(axis=0)
-        g["R"] = np.array([np.trace(by_pair, -j) for j in range(WINDOW)], np.float32)
-        dq, dk = ds @ k * scale, ds.transpose(0, 2, 1) @ q
-        g["Q"], g["K"], g["V"] = flat(e).T @ flat(dq), flat(e).T @ flat(dk), flat(e).T @ flat(dv)
-        de = flat(dh + dq @ p["Q"].T + dk @ p["K"].T + dv @ p["V"].T)
-        order = np.argsort(x, axis=None, kind="stable")
-        rows, starts = np.unique(x.ravel()[order], return_index=True)
-        g["E"] = np.zeros_like(p["E"])
-        g["E"][rows] = np.add.reduceat(de[order], starts)
+        """Of the mean loss over the known targets, by every parameter."""
+        g, rows, by_row = self._sums(x, y)
+        g["E"] = np.zeros_like(self.p["E"])
+        g["E"][rows] = by_row
         return g
 
-    def _batches(self, texts: list[np.ndarray], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Windows of STRIDE scored positions behind up to WINDOW - STRIDE of context, `size` at a time."""
-        lead = WINDOW - STRIDE
-        xs, ys, held = [], [], 0
-        for ids in texts:
-            n = -(-len(ids) // STRIDE)
-            x = np.full(lead + n * STRIDE, -1)
-            x[lead] = self.words.start
-            x[lead + 1 : lead + len(ids)] = self.words.row[ids[:-1]]
-            y = np.full(n * STRIDE, -1)
-            y[: len(ids)] = ids
-            x, y = np.lib.stride_tricks.sliding_window_view(x, WINDOW)[::STRIDE], y.reshape(n, STRIDE)
-            for at in range(0, n, size):
-                xs.append(x[at : at + size])
-                ys.append(y[at : at + size])
-                held += len(xs[-1])
-                if held >= size:
-                    yield np.concatenate(xs), np.concatenate(ys)
-                    xs, ys, held = [], [], 0
-        if held:
-            yield np.concatenate(xs), np.concatenate(ys)
+    def _sums(self, x: np.ndarray, y: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+        """Gradients by all parameters but E, the rows of E that the inputs use, and the gradients by these rows.
+
+        The batch is cut into parts that stay in the cache.
+        """
+        p, weight = self.p, 1 / max(1, np.count_nonzero(y >= 0))
+        m, bias = self._product(), self._bias()
+        g: dict[str, np.ndarray] = {}
+        by_input = []
+        for at in range(0, len(x), PART):
+            part, by_x = self._part_gradients(x[at : at + PART], y[at : at + PART], weight, m, bias)
+            by_input.append(by_x)
+            for k, v in part.items():
+                g[k] = g[k] + v if k in g else v
+        by_m, by_pair, scale = g.pop("M"), g.pop("pair"), np.float32(WIDTH**-0.5)
+        g["Q"], g["K"] = by_m @ p["K"] * scale, by_m.T @ p["Q"] * scale
+        apart = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]
+        g["R"] = np.bincount(np.maximum(apart, 0).ravel(), np.where(apart >= 0, by_pair, 0).ravel(), WINDOW).astype(np.float32)
+        # Embedding rows are few enough for the fast sort of short integers.
+        x = x.reshape(-1)
+        order = np.argsort(x.astype(np.uint16), kind="stable")
+        x = x[order]
+        starts = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+        return g, x[starts], np.add.reduceat(np.concatenate(by_input).take(order, axis=0), starts, axis=0)
+
+    def _part_gradients(
+        self, x: np.ndarray, y: np.ndarray, weight: float, m: np.ndarray, bias: np.ndarray
+    ) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        """Gradients by all parameters but E, by M and the scores of each pair of places; and by every input."""
+        p, d, ones = self.p, WIDTH, np.ones(x.size, self.p["E"].dtype)
+        e = p["E"].take(x, axis=0)
+        flat = e.reshape(-1, d)
+        em, ev = (flat @ m).reshape(e.shape), (flat @ p["V"]).reshape(e.shape)
+
+        def scores() -> np.ndarray:
+            s = em @ e.transpose(0, 2, 1)
+            s += bias
+            return s
+
+        s, total, _ = _exps(scores)
+        total = 1 / total[:, :, None]
+        mix = s @ ev
+        mix *= total
+        h = (e + mix).reshape(-1, d)
+        z = h
+        if "A" in p:
+            t = h @ p["A"]
+            t += p["a"]
+            np.tanh(t, out=t)
+            z = h + t
+
+        def logits() -> np.ndarray:
+            x = z @ p["U"]
+            x += p["u"]
+            return x
+
+        out, whole, _ = _exps(logits)
+        y = y.reshape(-1)
+        known = np.flatnonzero(y >= 0)
+        part = np.zeros(len(y), out.dtype)
+        part[known] = weight / whole[known]
+        out *= part[:, None]
+        out.reshape(-1)[known * GROUPS + self.words.group[y[known]]] -= weight
+        g = {"U": z.T @ out, "u": ones @ out}
+        dh = out @ p["U"].T
+        if "A" in p:
+            t *= t
+            np.subtract(1, t, out=t)
+            t *= dh
+            g["A"], g["a"] = h.T @ t, ones @ t
+            dh += t @ p["A"].T
+        # The sums of the attention are left in the factors of width d.
+        dmix = dh.reshape(e.shape) * total
+        ds = dmix @ ev.transpose(0, 2, 1)
+        ds -= np.einsum("bid,bid->bi", dmix, mix)[:, :, None]
+        ds *= s
+        g["pair"] = (ones[: len(ds)] @ ds.reshape(len(ds), -1)).reshape(WINDOW, WINDOW)
+        dem, dev = (ds @ e).reshape(-1, d), (s.transpose(0, 2, 1) @ dmix).reshape(-1, d)
+        g["M"], g["V"] = flat.T @ dem, flat.T @ dev
+        dh += (ds.transpose(0, 2, 1) @ em).reshape(-1, d)
+        dh += dem @ m.T
+        dh += dev @ p["V"].T
+        return g, dh
+
+    def _batches(self, texts: list[np.ndarray], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Windows of STRIDE scored positions behind up to WINDOW - STRIDE of context, `size` at a time; which are a text's first."""
+        lead, start = WINDOW - STRIDE, self.words.start
+        lengths = np.array([len(t) for t in texts], np.int64)
+        n = -(-lengths // STRIDE)
+        if not n.sum():
+            return
+        ids = np.concatenate(texts)
+        # The place of every id among the padded texts; inputs have the context of the first window before them.
+        of = np.repeat(np.arange(len(texts)), lengths)
+        at = np.arange(len(ids)) + ((np.cumsum(n) - n) * STRIDE - (np.cumsum(lengths) - lengths))[of]
+        y = np.full(n.sum() * STRIDE, -1)
+        y[at] = ids
+        x = np.full(len(y) + lead * len(texts), start)
+        before = self.words.row.take(ids[:-1])
+        inside = of[1:] == of[:-1]
+        x[(at + lead * (of + 1))[1:][inside]] = before[inside]
+        y = y.reshape(-1, STRIDE)
+        which = np.repeat(np.arange(len(texts)), n)
+        begin = np.arange(len(y)) * STRIDE + lead * which
+        first = np.concatenate([[True], which[1:] != which[:-1]])
+        windows = np.lib.stride_tricks.sliding_window_view(x, WINDOW)
+        for i in range(0, len(y), size):
+            yield windows[begin[i : i + size]], y[i : i + size], np.flatnonzero(first[i : i + size])
 
     def score(self, texts: list[np.ndarray], size: int = 128) -> np.ndarray:
         """log10 probability of the group of every id of the texts, one after another.
 
         Each id is scored once, with the ids before it in its window.
         """
-        p = self.p
+        p, d, lead = self.p, WIDTH, WINDOW - STRIDE
         if self.tables is None:
-            self.tables = (p["E"] @ p["Q"] * np.float32(WIDTH**-0.5), p["E"] @ p["K"], p["E"] @ p["V"], self._bias()[WINDOW - STRIDE :])
-        by_q, by_k, by_v, bias = self.tables
-        ones, every = np.ones(WINDOW, np.float32), np.ones(GROUPS, np.float32)
+            self.tables = (p["E"] @ self._product(), p["E"] @ p["V"], self._bias()[lead:])
+        by_m, by_v, bias = self.tables
         out = []
-        for x, y in self._batches(texts, size):
-            absent = x < 0
-            x = np.where(absent, self.words.start, x)
-            own = x[:, WINDOW - STRIDE :]
-            s = by_q[own] @ by_k[x].transpose(0, 2, 1)
-            s += bias
-            if absent.any():
-                s += np.where(absent, MASKED, np.float32(0))[:, None, :]
-            weight = _exp(s)
-            mix = weight @ by_v[x]
-            # Padding attends to nothing; its scores are not counted.
-            mix /= np.maximum(weight @ ones, np.float32(1e-30))[:, :, None]
-            h = (p["E"][own] + mix).reshape(-1, WIDTH)
+        for x, y, first in self._batches(texts, size):
+            em, e, ev = by_m.take(x[:, lead:], axis=0), p["E"].take(x, axis=0), by_v.take(x, axis=0)
+
+            def scores() -> np.ndarray:
+                s = em @ e.transpose(0, 2, 1)
+                s += bias
+                # Nothing is before a text; what is behind it is masked as the future.
+                s[first, :, :lead] = MASKED
+                return s
+
+            weight, total, _ = _exps(scores)
+            mix = weight @ ev
+            mix *= (1 / total)[:, :, None]
+            mix += e[:, lead:]
+            h = mix.reshape(-1, d)
             if "A" in p:
-                h += np.tanh(h @ p["A"] + p["a"])
-            logits = h @ p["U"]
-            logits += p["u"]
-            y = y.ravel()
-            real = np.nonzero(y >= 0)[0]
-            picked = logits[real, self.words.group[y[real]]]
-            norm = np.log(_exp(logits) @ every)[real]
+                t = h @ p["A"]
+                t += p["a"]
+                h += np.tanh(t, out=t)
+            y = y.reshape(-1)
+            real = np.flatnonzero(y >= 0)
+            wanted = real * GROUPS + self.words.group.take(y.take(real))
+            picked = None
+
+            def logits() -> np.ndarray:
+                nonlocal picked
+                x = h @ p["U"]
+                x += p["u"]
+                picked = x.reshape(-1).take(wanted)
+                return x
+
+            _, whole, top = _exps(logits)
+            norm = (np.log(whole) + top).take(real)
             out.append((picked - norm) / np.log(10))
         return np.concatenate(out) if out else np.zeros(0)

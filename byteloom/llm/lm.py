@@ -16,13 +16,14 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from byteloom.llm import common
 from byteloom.llm.attention import CONTEXTS, EMBEDDED, Attention, Vocabulary, vocabulary
-from byteloom.llm.tokenfiles import encoder, pieces
+from byteloom.llm.tokenfiles import encoder, gathered, pieces, split_words
 
 #: Training texts that the attention model starts from at least, picked by a hash of the
 #: id, and one of how many texts of a large corpus; and more of them for the share of the mixture.
@@ -45,6 +46,27 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def numbered(texts: list[list[bytes]]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Of every text's words and its end, one after another: their numbers; what each number stands for; how many each text has."""
+    number: dict[bytes, int] = {}
+    place = [number.setdefault(w, len(number)) for words in texts for w in (*words, END)]
+    return np.array(place, np.int64), list(number), np.array([len(t) + 1 for t in texts], np.int64)
+
+
+def numbered_texts(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """`numbered` of the words of whole texts."""
+    place, words, counts = split_words(pc.ascii_lower(texts))
+    of = np.repeat(np.arange(len(counts)), counts)
+    # White space at an end of a text is no word.
+    real = (pc.binary_length(words).to_numpy() > 0)[place]
+    lengths = np.bincount(of[real], minlength=len(counts)) + 1
+    out = np.full(lengths.sum(), len(words))
+    inside = np.ones(len(out), bool)
+    inside[np.cumsum(lengths) - 1] = False
+    out[inside] = place[real]
+    return out, [*words.cast(pa.large_string()).cast(pa.large_binary()).to_pylist(), END], lengths
+
+
 def remainder(id_col: str) -> Column:
     """crc32 of the id as text, mod 5; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 5
@@ -187,21 +209,20 @@ class Model:
     def __post_init__(self):
         self.words: Words | None = None
 
-    def parts(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Counts (0 if not in memory), log10 by counts and log10 by attention of every word and end, one after another."""
+    def parts(self, place: np.ndarray, words: list[bytes], n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts (0 if not in memory), log10 by counts and log10 by attention of every word and end of `numbered` texts."""
         self.words = self.words or Words(self)
-        flat = [w for words in texts for w in (*words, END)]
-        place = self.words.places(flat)
-        lengths = self.words.lengths[place]
+        number = self.words.places(words)
+        lengths = self.words.lengths[number]
         codes = self.words.codes
-        ids = np.frombuffer(b"".join([codes[i] for i in place.tolist()]), "<u4").astype(np.int64)
-        ends = np.cumsum(lengths)
-        last = np.cumsum([len(t) + 1 for t in texts]) - 1
+        ids = np.frombuffer(b"".join([codes[i] for i in number.tolist()]), "<u4").astype(np.int64)
+        ids, ends = gathered(ids, lengths, place)
+        last = np.cumsum(n_words) - 1
         by_id = np.concatenate([[0.0], np.cumsum(self.attention.score(np.split(ids, ends[last][:-1])))])
-        count = self.words.counts[place]
+        count = self.words.counts[number]
         with np.errstate(divide="ignore"):
             by_count = np.log10(count / max(1, self.total))
-        return count, by_count, by_id[ends] - by_id[ends - lengths] + self.words.shares[place]
+        return count[place], by_count[place], by_id[ends] - by_id[ends - lengths[place]] + self.words.shares[number][place]
 
     def mixed(self, by_count: np.ndarray, by_attention: np.ndarray) -> np.ndarray:
         ten = np.log(10)
@@ -213,7 +234,7 @@ class Model:
         if not texts or not self.frequent:
             self.share = 0.5 if self.frequent else 0.0
             return
-        by_attention = self.parts(texts)[2]
+        by_attention = self.parts(*numbered(texts))[2]
         count = np.array([counts.get(w, 0) for words in texts for w in (*words, END)])
         own = [Counter((*words, END)) for words in texts]
         here = np.array([n[w] for words, n in zip(texts, own) for w in (*words, END)])
@@ -232,6 +253,12 @@ def ids_of(texts: list[list[bytes]], tokenizer_path: str, end_id: int) -> list[n
     ]
 
 
+def ids_of_texts(texts: pa.Array, tokenizer_path: str, end_id: int) -> list[np.ndarray]:
+    """`ids_of` of the words of whole texts."""
+    end = np.array([end_id], "<u4").tobytes()
+    return [np.frombuffer(c + end, "<u4").astype(np.int64) for c in encoder(tokenizer_path).encode(pc.ascii_lower(texts))]
+
+
 def fit_rows(attention: Attention, train: DataFrame, tokenizer_path: str, end_id: int) -> int:
     """Fit the attention model on all training rows, each in one step of one round; the number of windows.
 
@@ -250,9 +277,7 @@ def fit_rows(attention: Attention, train: DataFrame, tokenizer_path: str, end_id
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = copy.deepcopy(shared.value)
             texts = (
-                ids_of([words_of(t.as_py()) for t in some.column(0)], tokenizer_path, end_id)
-                for batch in batches
-                for some in pieces(batch, 0, 1 << 20)
+                ids_of_texts(some.column(0), tokenizer_path, end_id) for batch in batches for some in pieces(batch, 0, 1 << 20)
             )
             n = model.fit_once(texts, rate, seed=number)
             if not n:
@@ -354,24 +379,22 @@ def score(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col
         for batch in batches:
             for start in range(0, batch.num_rows, 128):
                 some = batch.slice(start, 128)
-                texts = [words_of(t.as_py()) for t in some.column(2)]
-                count, by_count, by_attention = model.parts(texts)
-                lengths = np.array([len(t) + 1 for t in texts])
+                place, words, lengths = numbered_texts(some.column(2))
+                count, by_count, by_attention = model.parts(place, words, lengths)
                 starts = np.cumsum(lengths) - lengths
                 known = count > 0
                 base = np.where(known, np.log10(count + 0.5) - log_all, 0)
                 whole = np.where(known, model.mixed(by_count, by_attention), 0)
                 # Words that are not in memory, and their values by attention at each place; counts are joined below.
-                flat = [w for words in texts for w in (*words, END)]
-                rare: list[dict[bytes, list[float]]] = [{} for _ in texts]
+                rare: list[dict[bytes, list[float]]] = [{} for _ in lengths]
                 places = np.nonzero(~known)[0]
                 of = np.searchsorted(starts, places, "right") - 1
                 for text, at, value in zip(of.tolist(), places.tolist(), by_attention[places].tolist()):
-                    rare[text].setdefault(flat[at], []).append(value)
+                    rare[text].setdefault(words[place[at]], []).append(value)
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rare])]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(number, number + len(texts))), some.column(0), some.column(1), pa.array(lengths),
+                        pa.array(np.arange(number, number + len(lengths))), some.column(0), some.column(1), pa.array(lengths),
                         pa.array(np.add.reduceat(known.astype(np.int64), starts)),
                         pa.array(np.add.reduceat(base, starts)),
                         pa.array(np.add.reduceat(whole, starts)),
@@ -380,7 +403,7 @@ def score(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col
                     ],
                     ["row", "id", "held_out", "n_tokens", "known", "base", "score", "word", "places"],
                 )
-                number += len(texts)
+                number += len(lengths)
 
     kind = docs.schema[id_col].dataType.simpleString()
     scored = common.checkpointed(

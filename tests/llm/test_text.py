@@ -8,6 +8,7 @@ from collections import Counter
 
 import compare
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -244,6 +245,50 @@ def test_windows_score_each_id_once_with_its_context():
     assert np.allclose(model.score([texts[5][:70]])[:70], model.score([texts[5]])[:70], atol=1e-4)
 
 
+@pytest.mark.parametrize("by", [1, 300])
+def test_scores_and_gradients_of_any_size(by):
+    """Logits that a float cannot exponentiate are scored and fitted as their differences say."""
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, 59, n) for n in (1, 40, 70)]
+    model = attention.Attention(attention.vocabulary(np.arange(60, 0, -1).astype(float), [np.arange(60)] * 2))
+    model.add_layer()
+    model.p["U"] *= by
+    model.p["u"] += by * rng.standard_normal(attention.GROUPS).astype(np.float32)
+    x, y = model._windows(texts)
+    p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    e = p["E"][x]
+    s = (e @ p["Q"]) @ (e @ p["K"]).transpose(0, 2, 1) * attention.WIDTH**-0.5 + model._bias()
+    s = np.exp(s - s.max(axis=2, keepdims=True))
+    h = e + s / s.sum(axis=2, keepdims=True) @ (e @ p["V"])
+    z = h + np.tanh(h @ p["A"] + p["a"])
+    logits = z @ p["U"] + p["u"]
+    logits -= logits.max(axis=2, keepdims=True)
+    logits -= np.log(np.exp(logits).sum(axis=2, keepdims=True))
+    b, i = np.nonzero(y >= 0)
+    group = model.words.group[y[b, i]]
+    out = np.exp(logits)
+    out[b, i, group] -= 1
+    out *= (y >= 0)[:, :, None] / len(b)
+    grads = model._gradients(x, y)
+    assert np.allclose(grads["u"], out.sum(axis=(0, 1)), atol=1e-4)
+    assert np.allclose(grads["U"], np.einsum("bid,big->dg", z, out), atol=1e-4)
+    # The first STRIDE places of a text see the same in both kinds of windows.
+    want = logits[b, i, group] / math.log(10)
+    got = model.score(texts)
+    assert np.allclose(got[: 1 + attention.STRIDE], want[: 1 + attention.STRIDE], rtol=1e-4, atol=1e-4)
+
+
+def test_words_of_whole_texts():
+    """Words numbered for a whole batch, and their ids, are those of one text at a time."""
+    texts = ["", " ", "\t\na B\x0b\x0c ", "x", "ÀÉ İI", "\x1c a\x85b", "a\x00b  c", " lead", "trail \n", "the The THE, the."]
+    words = [lm.words_of(t) for t in texts]
+    place, kinds, lengths = lm.numbered_texts(pa.array(texts))
+    ends = np.cumsum(lengths)
+    assert [[kinds[k] for k in place[b - n : b]] for b, n in zip(ends, lengths)] == [[*w, lm.END] for w in words]
+    one = [ids.tolist() for ids in lm.ids_of(words, TOKENIZER, 49408)]
+    assert [ids.tolist() for ids in lm.ids_of_texts(pa.array(texts), TOKENIZER, 49408)] == one
+
+
 @pytest.mark.parametrize("frequent", [50, 200_000])
 def test_lm_scoring(spark, docs, texts, monkeypatch, frequent):
     monkeypatch.setattr(lm, "FREQUENT", frequent)
