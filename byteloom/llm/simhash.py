@@ -12,7 +12,7 @@ whose fingerprints are close are compared by their sets.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import combinations, repeat
+from itertools import chain, combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +39,11 @@ STAGE_SHINGLE, COUNTERS = 5, 1 << 18
 SKETCH_WORDS, SKETCH_BITS, SMALL_SET = 4, 88, 64
 #: Fingerprints that differ in less bits than this have one of so many blocks in common.
 SKETCH_BLOCKS = 8
-#: Texts are picked by a broadcast of up to this many keys; more are joined by a shuffle.
-BROADCAST_NODES = 500_000
+#: Texts are picked by a broadcast of up to this many keys.  Of more keys one bit of a map of up to so many 64-bit words
+#: each is broadcast, and texts whose bit is set are joined by a shuffle; so the driver holds some MB whatever the corpus.
+BROADCAST_NODES, MAP_WORDS = 50_000, 1 << 17
+#: Links that a task of `components` collects before it connects them.
+MOST_WAITING = 1 << 20
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _LANES = (np.arange(8) * 256)[None, :]
@@ -145,32 +148,55 @@ def close_links(prints: DataFrame, max_distance: int = 2) -> DataFrame:
     return pairs.union(stars.select(*sorted_links(F.col("p"), F.col("hub")))).distinct()
 
 
+def contracted(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links from every node to the least node that the links (u, v) connect it with."""
+    nodes, place = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = place[: len(u)], place[len(u) :]
+    least = np.arange(len(nodes))
+    while len(a):
+        a, b = least[a], least[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+        np.minimum.at(least, np.maximum(a, b), np.minimum(a, b))
+        while (further := least[least]).tobytes() != least.tobytes():
+            least = further
+    lower = np.nonzero(least < np.arange(len(nodes)))[0]
+    return nodes[lower], nodes[least[lower]]
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the least node reachable, for nodes of links (u, v).
 
     Alternates the large-star and small-star steps of Kiveris et al. until the
-    links are stars; each round is joins and minima, cut by a checkpoint.
+    links are stars.  The links of a node to lesser ones are in one task, which
+    connects all that it has (the small star and more); then links follow the
+    least link of their lesser end (the large star).  Each round is an exchange
+    and a join, cut by a checkpoint; every change of a link lowers an end of it.
     """
 
-    def star(edges: DataFrame, large: bool) -> DataFrame:
-        both = edges.union(edges.select("v", "u")) if large else edges
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        near = both.join(least, "u")
-        hub = F.least("u", "m") if large else F.col("m")
-        if large:
-            out = near.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), hub.alias("v"))
-        else:
-            out = near.select(F.col("v").alias("u"), hub.alias("v")).union(least.select("u", F.col("m").alias("v")))
-        return out.where(F.col("u") != F.col("v")).distinct()
-
-    edges = common.checkpointed(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        u, v = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        waiting: list[pa.RecordBatch] = []
+        for batch in chain(batches, [None]):
+            waiting += [batch] if batch else []
+            if batch is None or sum(b.num_rows for b in waiting) > max(MOST_WAITING, len(u)):
+                ends = [np.concatenate([x, *(b.column(i).to_numpy() for b in waiting)]) for i, x in enumerate((u, v))]
+                (u, v), waiting = contracted(*ends), []
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+    def small_stars(edges: DataFrame) -> DataFrame:
+        return common.checkpointed(edges.repartition("u").mapInArrow(run, "u bigint, v bigint"))
+
+    edges = small_stars(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v"))
     mark = None
     while True:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == mark:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = tuple(state)
-        edges = common.checkpointed(star(star(edges, True), False))
+        least = edges.groupBy(F.col("u").alias("its")).agg(F.min("v").alias("m"))
+        large = edges.join(least, F.col("v") == F.col("its"), "left").select("u", F.coalesce("m", "v").alias("v"))
+        edges = small_stars(large)
 
 
 def near_duplicates(
@@ -292,26 +318,45 @@ def body_keys(body: Column) -> list[Column]:
     return [F.xxhash64(body).alias("body_a"), F.xxhash64(F.lit(1), body).alias("body_b")]
 
 
+def picked(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The `texts` (body_a, ...) that may have one of the `keys` (body_a); few others pass.  No text is moved for it."""
+    # About 16 bits for each key, as far as MAP_WORDS goes.
+    words = min(MAP_WORDS, 1 << max(keys.count() // 4, 1).bit_length())
+
+    def word(key: str) -> Column:
+        return F.shiftright(key, 6).bitwiseAND(F.lit(words - 1).cast("bigint"))
+
+    def bit(key: str) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(key).bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
+
+    bits = keys.groupBy(word("body_a").alias("word")).agg(F.bit_or(bit("body_a")).alias("bits"))
+    return texts.join(F.broadcast(bits), word("body_a") == F.col("word")).where(F.col("bits").bitwiseAND(bit("body_a")) != 0).drop("word", "bits")
+
+
 def sets_of(docs: DataFrame, some: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, grams): the shingle sets of the nodes of `some` (node, id, body_a, body_b), one row for each."""
+    """(node, grams): the shingle sets of the nodes of `some` (node, id, body_a, body_b), one row for each; stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams = [shingle_set(t.as_py()).view(np.int64) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.list_(pa.int64()))], ["node", "grams"])
 
-    few = some.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
-    some = some.toDF("node", "its_id", "its_a", "its_b")
+    some = common.stored(some, "some")
+    few = some.count() <= BROADCAST_NODES
     body = common.text_of(text_col)
+    texts = docs.select(F.col(id_col).alias("id"), body.alias("body"), *body_keys(body))
+    keys = some.toDF("node", "its_id", "its_a", "its_b")
     texts = (
-        docs.select(F.col(id_col).alias("id"), body.alias("body"), *body_keys(body))
+        (texts if few else picked(texts, some.select("body_a")))
         .join(
-            F.broadcast(some) if few else some,
+            F.broadcast(keys) if few else keys,
             (F.col("body_a") == F.col("its_a")) & (F.col("body_b") == F.col("its_b")) & F.col("id").eqNullSafe(F.col("its_id")),
         )
         .select("node", "body")
     )
-    return texts.mapInArrow(run, "node bigint, grams array<bigint>").dropDuplicates(["node"])
+    grams = common.stored(texts.mapInArrow(run, "node bigint, grams array<bigint>").dropDuplicates(["node"]), "grams")
+    common.forget(some)
+    return grams
 
 
 def close(size: Column, its_size: Column, words: Column, its_words: Column) -> Column:
@@ -462,7 +507,7 @@ def similar_links(nodes: DataFrame, grams_of: Callable[[DataFrame], DataFrame])
 
     def links_of(cells: DataFrame) -> DataFrame:
         cells = common.stored(cells, "cells")
-        grams = common.stored(grams_of(cells.select("node").distinct()), "grams")
+        grams = grams_of(cells.select("node").distinct())
         links = common.checkpointed(cell_links(cells, grams))
         common.forget(cells, grams)
         return links
@@ -505,7 +550,7 @@ def similar_links(nodes: DataFrame, grams_of: Callable[[DataFrame], DataFrame])
         .select("u", "v")
     )
     pairs = common.stored(pairs, "pairs")
-    grams = common.stored(grams_of(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()), "grams")
+    grams = grams_of(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
     links = (
         pairs.join(grams.toDF("u", "a"), "u")
         .join(grams.toDF("v", "b"), "v")

@@ -101,6 +101,13 @@ def by_components(nodes, near):
     return {n: find(n) for n in nodes}
 
 
+def least_of(root):
+    least = {}
+    for n, r in root.items():
+        least[r] = min(n, least.get(r, n))
+    return {n: least[r] for n, r in root.items()}
+
+
 def test_simhash(docs, texts):
     prints = [(i, fingerprint(t or "")) for i, t in texts]
     root = by_components(sorted({p for _, p in prints}), lambda a, b: (a ^ b).bit_count() <= 2)
@@ -296,6 +303,51 @@ def test_sets_of_large_buckets_are_fetched_once(spark, monkeypatch):
     assert found.count() == 0 and met[-1] and max(met) <= 2 * len(sets)
 
 
+def test_components_are_found_in_few_jobs(spark):
+    """Each join and exchange of a round leaves threads and plans on the driver, so a round has few of them."""
+    rng = random.Random(17)
+    ids = list({rng.randrange(-(2**62), 2**62) for _ in range(700)})
+    pairs = list(zip(ids[:300], ids[1:300]))  # a path in random order
+    pairs += [(ids[300], x) for x in ids[301:400]] + [(rng.choice(ids[400:]), rng.choice(ids[400:])) for _ in range(200)]
+    pairs += pairs[:50] + [(a, a) for a in ids[:5]]
+    known = {frozenset(p) for p in pairs}
+    nodes = sorted({x for a, b in pairs for x in (a, b) if a != b})
+    want = least_of(by_components(nodes, lambda a, b: frozenset((a, b)) in known))
+    links = spark.createDataFrame(pairs, "u bigint, v bigint").repartition(7)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("components", "")
+    got = rows_of(simhash.components(links))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(got) == sorted((n, r) for n, r in want.items() if n != r)
+    assert len(tracker.getJobIdsForGroup("components")) <= 60
+
+
+def test_contracted_links_are_stars():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5, 300):
+        u, v = rng.integers(-50, 50, n), rng.integers(-50, 50, n)
+        known = {frozenset(p) for p in zip(u.tolist(), v.tolist())}
+        want = least_of(by_components(sorted({*u.tolist(), *v.tolist()}), lambda a, b: frozenset((a, b)) in known))
+        a, b = simhash.contracted(u, v)
+        assert sorted(zip(a.tolist(), b.tolist())) == sorted((x, r) for x, r in want.items() if x != r)
+
+
+@pytest.mark.parametrize("words", [1, 1 << 17])
+def test_many_texts_are_picked_without_a_broadcast_of_their_keys(spark, docs, texts, monkeypatch, words):
+    """Beyond BROADCAST_NODES one bit a key is broadcast, in MAP_WORDS words at most; what is fetched is the same."""
+    want = sorted(r.doc_id for r in simhash.drop_near_duplicates(docs).collect() if r.doc_id is not None)
+    monkeypatch.setattr(simhash, "BROADCAST_NODES", 0)
+    monkeypatch.setattr(simhash, "MAP_WORDS", words)
+    kept = simhash.drop_near_duplicates(docs)
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == want
+    keyed = docs.select("doc_id", *simhash.body_keys(simhash.common.text_of("text")))
+    some = keyed.where("doc_id in (0, 3, 7, 205)").dropDuplicates(["doc_id"])
+    found = simhash.picked(keyed, some.select("body_a"))
+    ids = [r.doc_id for r in found.collect()]
+    assert {0, 3, 7, 205} <= set(ids) and ids.count(7) == 3
+    assert words == 1 or len(set(ids)) <= 12
+
+
 def test_forgotten_tables_are_gone(spark):
     from pathlib import Path
 
