@@ -223,7 +223,11 @@ def deduplicate(layouts: DataFrame, dedup: str) -> DataFrame:
 
 
 def label_spans(linear: DataFrame, enumeration: DataFrame, hex_mode: str = "both") -> DataFrame:
-    """Raw values and ranges with a label: (key, low, high, label, row_ord); ends are sortable texts."""
+    """Raw values and ranges with a label: (key, low, high, label, row_ord); ends are sortable texts.
+
+    A range is left out where an earlier row begins with it and reaches as far:
+    it names nothing.  Of many ranges that begin at one value few stay.
+    """
     columns = [*TABLE, "type", "id_number", "low", "high", "label", "row_ord"]
     encodings = linear.filter(F.col("encoding_name").isNotNull()).select(
         *TABLE,
@@ -241,7 +245,14 @@ def label_spans(linear: DataFrame, enumeration: DataFrame, hex_mode: str = "both
     single = (F.col("low_text") == F.col("high_text")) & F.col("low_text").rlike(
         r"^\$([0-9A-F]{2}|[1-9A-F][0-9A-F]{2,})$"
     )
-    spans = encodings.filter(single | ((F.col("low_text") != F.col("high_text")) & (F.col("low") <= F.col("high"))))
+    valid = single | ((F.col("low_text") != F.col("high_text")) & (F.col("low") <= F.col("high")))
+    # Rows that are no range have no end; the window comes first, so that the texts are read once.
+    earlier = Window.partitionBy(*TABLE, "type", "id_number", "low").orderBy("row_ord", "label").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (
+        encodings.withColumn("high", F.when(valid, F.col("high")))
+        .withColumn("_reached", F.max("high").over(earlier))
+        .filter(F.col("high").isNotNull() & (F.col("_reached").isNull() | (F.col("_reached") < F.col("high"))))
+    )
     return enumeration_codes(enumeration, hex_mode).select(*columns).union(spans.select(*columns))
 
 

@@ -35,9 +35,13 @@ from byteloom.functions.intervals import advanced, known_label, powers, searched
 from byteloom.functions.types import TYPE_NAMES, cast_text
 from byteloom.functions.wholes import decimal_text, let, sortable, to_bigint
 from byteloom.operators.catalog import FIELD_COLUMNS, LAYOUT, FieldCatalog
-from byteloom.operators.lookup import lookup_join
+from byteloom.operators.lookup import BROADCAST_BYTES, lookup_join
 
 WIDE_EXPRESSION_LIMIT = 2_000
+#: Label pieces that a row of the long form carries at most; of larger tables it gets the block that it needs.
+PIECES_IN_ROW = 256
+
+
 def with_message_columns(messages: DataFrame, hex_column: str = "hex") -> DataFrame:
     return messages.withColumns(Message.columns(F.col(hex_column)))
 
@@ -97,9 +101,41 @@ def shows_raw(f: Any) -> Any:
 def join_fields(messages: DataFrame, catalog: FieldCatalog) -> DataFrame:
     """Messages with a layout, one row per field (other messages drop out)."""
     filled = messages.filter(F.col("hex").isNotNull())
-    return lookup_join(
-        with_message_columns(filled), catalog.fields, LAYOUT, small=catalog.small
-    )
+    fields = catalog.fields
+    if width := block_width(catalog):
+        # Only the first start of each block; a row would else be as long as the largest table.
+        first = F.when(F.col("no") % width == 0, F.col("piece.starts"))
+        heads = label_pieces_of(catalog).groupBy(*LAYOUT, "ord").agg(F.sort_array(F.collect_list(first)).alias("starts"))
+        fields = fields.drop("starts", "names").join(heads, [*LAYOUT, "ord"], "left")
+    return lookup_join(with_message_columns(filled), fields, LAYOUT, small=catalog.small)
+
+
+def block_width(catalog: FieldCatalog) -> int | None:
+    """Label pieces of a block, about the root of the largest table; None where tables are not cut into blocks."""
+    pieces = catalog.facts["starts"]
+    return 1 << (pieces.bit_length() // 2 - 1) if pieces > PIECES_IN_ROW else None
+
+
+def label_pieces_of(catalog: FieldCatalog) -> DataFrame:
+    """(family, model_year, message, ord, no, piece): a row for each label piece of a field."""
+    return catalog.fields.select(*LAYOUT, "ord", F.posexplode(F.arrays_zip("starts", "names")).alias("no", "piece"))
+
+
+def label_blocks(catalog: FieldCatalog, width: int) -> DataFrame:
+    """(family, model_year, message, ord, _block, _starts, names): the label pieces of a field in blocks of ``width``."""
+    block = F.floor(F.col("no") / width).cast("int").alias("_block")
+    # By number: a piece between two whole numbers begins with the next one's start.
+    piece = F.struct("no", "piece.starts", "piece.names")
+    pieces = label_pieces_of(catalog).groupBy(*LAYOUT, "ord", block).agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
+    return pieces.select(*LAYOUT, "ord", "_block", F.col("pieces.starts").alias("_starts"), F.col("pieces.names").alias("names"))
+
+
+def with_place(rows: DataFrame, starts: str, pieces: int) -> DataFrame:
+    """Add ``_at``: how many of at most ``pieces`` starts are not above the raw value."""
+    rows = rows.withColumn("_at", F.lit(0))
+    for step in powers(pieces) if pieces else ():
+        rows = rows.withColumn("_at", advanced(F.col(starts), F.col("raw"), F.col("_at"), step))
+    return rows
 
 
 def decode_fields(joined: DataFrame, catalog: FieldCatalog) -> DataFrame:
@@ -107,6 +143,8 @@ def decode_fields(joined: DataFrame, catalog: FieldCatalog) -> DataFrame:
 
     The steps are separate projections so that no step is computed twice; the
     search for a label is a projection for each halving of the largest table.
+    Steps may copy a row, so it carries no large table: the starts of its blocks
+    are searched first, then the one block that a join adds.
     """
     field = _names(F.col, catalog)
     message = Message.joined()
@@ -120,9 +158,15 @@ def decode_fields(joined: DataFrame, catalog: FieldCatalog) -> DataFrame:
         rows = rows.withColumn("_big", F.when(readable, whole_of(message, field)))
         rows = rows.withColumn("raw", F.when(readable, raw_of(message, field, big)))
         rows = rows.withColumn("_big", F.when(raw.isNull(), big))
-    rows = rows.withColumn("_at", F.lit(0))
-    for step in powers(catalog.facts["starts"]) if catalog.facts["starts"] else ():
-        rows = rows.withColumn("_at", advanced(F.col("starts"), raw, F.col("_at"), step))
+    pieces, width = catalog.facts["starts"], block_width(catalog)
+    if width:
+        rows = with_place(rows, "starts", -(-pieces // width)).withColumn("_block", F.col("_at") - 1).drop("starts")
+        # A table beyond the bound for a broadcast is joined by a shuffle.
+        small = catalog.facts["size"] <= BROADCAST_BYTES
+        rows = lookup_join(rows, label_blocks(catalog, width), [*LAYOUT, "ord", "_block"], "left", small=small)
+        rows = with_place(rows, "_starts", width)
+    else:
+        rows = with_place(rows, "starts", pieces)
     found = F.get("names", F.col("_at") - 1)
     if field.wide is not False and catalog.facts["big_starts"]:
         beyond = searched(F.col("big_starts"), F.col("big_names"), _cut(big), catalog.facts["big_starts"])

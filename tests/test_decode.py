@@ -7,6 +7,7 @@ import pytest
 import spec
 from pyspark.sql import functions as F
 
+from byteloom.operators import catalog as cat
 from byteloom.operators.catalog import compile_catalog, label_sets
 from byteloom.operators.decode import (
     WideColumn,
@@ -14,6 +15,7 @@ from byteloom.operators.decode import (
     decode_long,
     decode_wide,
     envelope,
+    join_fields,
 )
 from byteloom.functions import wholes
 from byteloom.functions.numbers import float_text
@@ -372,3 +374,41 @@ def test_ten_thousand_ranges_of_one_id(spark):
     for i, raw in enumerate(raws):
         assert got[i] == (f"n{raw // 6}" if raw % 6 < 4 and raw // 6 < 10_000 else str(raw))
     assert "lambda" not in decoded._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_do_not_carry_the_largest_table(spark):
+    """Steps of the search may copy a row; it holds the starts of blocks and one block, whatever the table's size."""
+    ranges = [(1, 0, 1.0, 0.0, 0, None, "$0000", "$FFFF", None)]
+    ranges += [(1, 1 + i, None, None, 0, None, f"${4 * i:04X}", f"${4 * i + 2 + i % 2:04X}", None if i % 5 == 0 else f"n{9000 - i}") for i in range(3000)]
+    ranges += [(2, 0, 1.0, 0.0, 0, None, "$0000", "$FFFF", None), (2, 1, None, None, 0, None, "$05", "$07", "few")]
+    entries = [("0 [0]", "many", "2 [0]", "L", "", "1"), ("0 [0]", "two", "2 [0]", "L", "", "2"), ("0 [0]", "plain", "2 [0]", "I", "", "1")]
+    catalog = catalog_of(spark, entries, ranges)
+    messages = messages_of(spark, [f"{raw:04X}" for raw in range(0, 13000, 7)] + ["12", "ZZZZ", None])
+    joined = join_fields(messages, catalog)
+    lists = [c for c, kind in joined.dtypes if kind.startswith("array<") and c not in ("hex_bytes", "big_starts", "big_names")]
+    longest = joined.select(F.greatest(*[F.max(F.coalesce(F.size(c), F.lit(0))) for c in lists], F.lit(0))).first()[0]
+    assert longest <= 300 < catalog.facts["starts"]
+    got = {(r.n, r.description): r.value for r in decode_long(messages, catalog).collect()}
+    for i, raw in enumerate(range(0, 13000, 7)):
+        # Odd ranges end where the next one begins.
+        labelled = raw % 4 < 3 + raw // 4 % 2 and raw // 4 < 3000 and raw // 4 % 5
+        assert got[i, "many"] == (f"n{9000 - raw // 4}" if labelled else str(raw))
+        assert got[i, "two"] == ("few" if 5 <= raw <= 7 else str(raw)) and got[i, "plain"] == str(raw)
+    # A table that is joined by a shuffle gives the same.
+    shuffled = cat.FieldCatalog(catalog.fields, catalog.empty)
+    shuffled.__dict__["facts"] = catalog.facts.asDict() | {"size": 2**40}
+    assert got == {(r.n, r.description): r.value for r in decode_long(messages, shuffled).collect()}
+
+
+def test_ranges_behind_earlier_ones_are_left_out(spark):
+    """Of ranges that begin at one value those stay that reach beyond all earlier rows."""
+    rng = random.Random(5)
+    rows = [("F", "1", 1, i, None, None, 0, None, f"${rng.randrange(4) * 16:02X}", f"${rng.randrange(64, 120):02X}", f"n{i}") for i in range(300)]
+    rows += [("F", "1", 1, 400, None, None, 0, None, "$00", "$XY", "no range"), ("F", "1", 1, None, None, None, 0, None, "$20", "$22", "first")]
+    linear = spark.createDataFrame(rows, LINEAR_SCHEMA)
+    no_codes = spark.createDataFrame([], ENUM_SCHEMA)
+    assert cat.label_spans(linear, no_codes).count() < 80
+    [sets] = label_sets(linear, no_codes).collect()
+    ranges = [(r[3] if r[3] is not None else -1, int(r[8][1:], 16), int(r[9][1:], 16), r[10]) for r in rows if r[9] != "$XY"]
+    for v in range(130):
+        assert labels_by_search(sets, v) == min(((o, n) for o, low, high, n in ranges if low <= v <= high), default=(0, None))[1]
